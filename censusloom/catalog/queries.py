@@ -1,7 +1,9 @@
 """Every operator as a named query over the driver's tables.
 
 Doubles are rounded at the very end, so that results of engines that add in
-another order compare equal; no operator rounds.
+another order compare equal; no operator rounds. A billionth is added first:
+values such as 0.0640625 lie halfway between two roundings, and engines settle
+such ties differently.
 """
 
 from __future__ import annotations
@@ -64,7 +66,7 @@ def query(name: str, cfg: Config = WINDOW):
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(
         *[
-            F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
+            F.round(F.col(f"`{f.name}`") + 1e-9, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

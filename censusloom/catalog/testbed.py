@@ -63,15 +63,14 @@ class Testbed:
     def _persons(self) -> DataFrame:
         d = F.col("l_orderkey") % 25
         c = (F.col("l_suppkey") + F.col("l_linenumber")) % 20
-        dept = code(d + 1, 2)
-        return self.table("lineitem").select(
-            "*", d.alias("d"), c.alias("c"), dept.alias("dept"), F.concat(dept, code(c, 3)).alias("commune")
-        )
+        return self.table("lineitem").select("*", d.alias("d"), c.alias("c"), ((d + 1) * 1000 + c).alias("place"))
 
     @property
     def _regions(self) -> DataFrame:
         return self.table("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("d"), F.col("n_regionkey").cast("string").alias("REGION")
+            F.col("n_nationkey").cast("bigint").alias("d"),
+            code(F.col("n_nationkey") + 1, 2).alias("dept"),
+            F.col("n_regionkey").cast("string").alias("REGION"),
         )
 
     @property
@@ -84,32 +83,33 @@ class Testbed:
 
     @property
     def census(self) -> DataFrame:
-        part = F.col("l_partkey")
+        part, place = F.col("l_partkey"), F.col("place")
         iris = (
-            F.when(F.col("dept").isin("24", "25") | (part % 7 == 0), F.lit(NO_GEO))
-            .when(part % 11 == 0, F.concat("commune", F.lit("XXXX")))
-            .otherwise(F.concat("commune", code(part % 3, 4)))
+            F.when((F.col("d") >= 23) | (part % 7 == 0), F.lit(NO_GEO))
+            .when(part % 11 == 0, F.concat(code(place, 5), F.lit("XXXX")))
+            .otherwise(code(place * 10_000 + part % 3, 9))
         )
-        born = (F.lit(CENSUS_YEAR) - (part * 7 + F.col("l_orderkey")) % 100).cast("string")
+        canton = F.when(F.col("c") == 7, F.lit("")).otherwise(code((F.col("d") + 1) * 100 + F.col("c") % 5, 4))
+        born = F.lit(CENSUS_YEAR) - (part * 7 + F.col("l_orderkey")) % 100
         return self._persons.join(self._regions, "d").select(
             iris.alias("IRIS"),
             F.rpad("dept", 3, " ").alias("DEPT"),
             "REGION",
-            F.when(F.col("c") == 7, F.lit("")).otherwise(F.concat("dept", code(F.col("c") % 5, 2))).alias("CANTVILLE"),
-            F.when(part % 101 != 100, born).alias("ANAI"),
+            canton.alias("CANTVILLE"),
+            F.when(part % 101 != 100, born.cast("string")).alias("ANAI"),
             self._sex.alias("SEXE"),
-            F.when(part % 103 != 102, F.col("l_quantity").cast("string")).alias("IPONDI"),
+            F.when(part % 103 != 102, F.col("l_quantity").cast("int").cast("string")).alias("IPONDI"),
         )
 
     @property
     def birth_records(self) -> DataFrame:
         month = F.when(F.col("l_partkey") % 50 == 0, F.lit("XX")).otherwise(code(F.month("l_shipdate"), 2))
-        unweighted = F.col("dept").isin("05", "10") & (F.col("l_linenumber") > 1)
+        unweighted = F.col("d").isin(4, 9) & (F.col("l_linenumber") > 1)
         return self._persons.join(self._regions, "d").select(
             F.when(F.col("d") % 3 == 0, F.lit("99")).otherwise(F.col("dept")).alias("DEPT"),
             "REGION",
             month.alias("MNAI"),
-            F.when(unweighted, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")).alias("IPONDI"),
+            F.when(unweighted, F.lit("n/a")).otherwise(F.col("l_quantity").cast("int").cast("string")).alias("IPONDI"),
         )
 
     @property
@@ -117,11 +117,11 @@ class Testbed:
         part, line = F.col("l_partkey"), F.col("l_linenumber")
         study = F.when(part % 10 >= F.col("d") % 10, F.col("d")).otherwise(F.col("l_suppkey") % 25)
         return self._persons.where(~((F.col("d") == 24) | ((F.col("d") == 23) & (line <= 2)))).select(
-            F.col("commune").alias("COMMUNE"),
-            F.when(part % 107 != 0, F.concat(code(study + 1, 2), code((part + line) % 20, 3))).alias("DCETUF"),
+            code(F.col("place"), 5).alias("COMMUNE"),
+            F.when(part % 107 != 0, code((study + 1) * 1000 + (part + line) % 20, 5)).alias("DCETUF"),
             F.when(line <= 2, F.lit("15")).when(line <= 5, F.lit("18")).otherwise(F.lit("25")).alias("AGEREV10"),
             self._sex.alias("SEXE"),
-            F.col("l_quantity").cast("string").alias("IPONDI"),
+            F.col("l_quantity").cast("int").cast("string").alias("IPONDI"),
         )
 
     # -- reference data ------------------------------------------------------

@@ -20,20 +20,22 @@ def base_population(census: DataFrame, year: int) -> DataFrame:
 
     Every later step reads these cells, never the persons again.
     """
-    iris = clean_code(F.col("IRIS"))
     persons = census.select(
         clean_code(F.col("DEPT")).alias("department_code"),
         clean_code(F.col("REGION")).alias("region_code"),
         clean_code(F.col("CANTVILLE")).alias("canton_code"),
-        commune_of(iris).alias("commune_code"),
-        iris.alias("iris_code"),
+        clean_code(F.col("IRIS")).alias("iris_code"),
         birth_age(F.col("ANAI"), year).alias("age"),
         decode_sex(F.col("SEXE")).alias("sex"),
         weight(F.col("IPONDI")).alias("weight"),
     ).where(valid_cell(F.col("age"), F.col("weight")))
-    keys = [c for c in persons.columns if c != "weight"]
+    # The commune follows from the area code, so it is derived per cell, not per
+    # person, and stays out of the shuffled key.
+    keys = ["department_code", "region_code", "canton_code", "iris_code", "age", "sex"]
     cells = persons.groupBy(*keys).agg(F.sum("weight").alias("population"))
-    return cells.select(F.lit(year).alias("year"), *keys, "population")
+    return cells.withColumns({"year": F.lit(year), "commune_code": commune_of(F.col("iris_code"))}).select(
+        *[f.name for f in BASE.fields]
+    )
 
 
 def age_forward(pyramid: DataFrame, territory: Territory, year: int) -> DataFrame:
