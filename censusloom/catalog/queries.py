@@ -23,9 +23,10 @@ from censusloom.operators import births as birth_ops
 from censusloom.operators import mobility, projection, quality, reconcile, shares
 from censusloom.operators.disaggregate import disaggregate, expand_birth_month
 from censusloom.plans.build import Inputs, build_levels
-from censusloom.plans.storage import settle, shared_folder
+from censusloom.plans.storage import shared_folder
 from censusloom.sinks.export import export_levels, write_level
 from censusloom.sources import (
+    commune_lookup,
     estimates_long,
     expand_bands,
     pyramid_unpivot,
@@ -111,7 +112,7 @@ def _(b):
 @query("commune_lookup")
 def _(b):
     """S4."""
-    return b.lookup
+    return commune_lookup(b.commune_records)
 
 
 @query("commune_reference")
@@ -318,19 +319,19 @@ def _(b):
 @query("mobility_rates")
 def _(b):
     """Y1, Y2."""
-    return mobility.mobility_rates(b.flow_cells, b.roles)
+    return b.mobility.rates
 
 
 @query("mobility_weights")
 def _(b):
     """Y3."""
-    return mobility.mobility_weights(mobility.mobility_rates(b.flow_cells, b.roles), b.base_cells, b.bands_cfg)
+    return mobility.mobility_weights(b.mobility.rates, b.base, b.mobility.bands)
 
 
 @query("student_flows_epci")
 def _(b):
     """Y4, Y10."""
-    return b.flows_epci
+    return b.mobility.to_epci
 
 
 @query("iris_commune_share")
@@ -342,7 +343,7 @@ def _(b):
 @query("student_flows_iris")
 def _(b):
     """Y6."""
-    return b.flows_iris
+    return b.mobility.to_iris
 
 
 @query("blend_epci")
@@ -354,7 +355,7 @@ def _(b):
 @query("intra_fraction")
 def _(b):
     """Y8."""
-    return mobility.intra_fraction(b.flows_iris)
+    return mobility.intra_fraction(b.mobility.to_iris)
 
 
 @query("blend_iris")
@@ -406,7 +407,7 @@ def _(b):
 @query("project_monthly", MONTHLY)
 def _(b):
     """J9."""
-    return projection.project(b.census_departments, b.cfg, b.estimates, b.births)
+    return projection.project(b.census_departments, b.cfg, b.estimates, b.births_table)
 
 
 @query("uncovered_cells", replace(WINDOW, min_age=0, max_age=110))
@@ -445,19 +446,19 @@ def _(b):
 @query("disaggregate_blended", SHORT)
 def _(b):
     """J12 after the mobility correction."""
-    return disaggregate(b.stable, b.blended_epci, "epci", spread=b.cfg.spread)
+    return disaggregate(b.parent, b.blended_epci, "epci", spread=b.cfg.spread)
 
 
 @query("expand_birth_month", SHORT)
 def _(b):
     """J16."""
-    return expand_birth_month(b.stable, b.births, "department", b.cfg.spread)
+    return expand_birth_month(b.stable, b.births_table, "department", b.cfg.spread)
 
 
 @query("expand_birth_month_iris", SHORT)
 def _(b):
     """J16 at the finest level, listed per area and birth month."""
-    rows = expand_birth_month(b.level("iris"), b.births, "iris", b.cfg.spread)
+    rows = expand_birth_month(b.level("iris"), b.births_table, "iris", b.cfg.spread)
     return rows.groupBy("department_code", "iris_code", "birth_month").agg(
         F.count(F.lit(1)).alias("cells"), F.sum("population").alias("population")
     )
@@ -479,7 +480,7 @@ def _(b):
     inputs = Inputs(
         census=b.census,
         birth_records=b.birth_records,
-        lookup=b.lookup,
+        lookup=commune_lookup(b.commune_records),
         departments=b.departments,
         flows=b.flows,
         estimates=b.estimates,
@@ -503,8 +504,7 @@ def _(b):
 def _(b):
     """K1, K4: written, read back from one year's folder."""
     folder = _export_folder(b.spark)
-    births = settle(b.births, "births")
-    path = write_level(b.level("epci"), births, "epci", f"{folder}/population_epci", spread=b.cfg.spread)
+    path = write_level(b.level("epci"), b.births_table, "epci", f"{folder}/population_epci", spread=b.cfg.spread)
     back = b.spark.read.parquet(path).where("year = 2023")
     return back.groupBy("epci_code", "department_code", "birth_month").agg(
         F.count(F.lit(1)).alias("n"), F.sum("population").alias("population")
@@ -515,9 +515,8 @@ def _(b):
 def _(b):
     """K2, K3: department monthly, cantons yearly."""
     folder = _export_folder(b.spark)
-    births = settle(b.births, "births")
     levels = {level: b.level(level) for level in ("department", "canton")}
-    paths = export_levels(levels, births, folder, list(levels), ["canton"], b.cfg.spread)
+    paths = export_levels(levels, b.births_table, folder, list(levels), ["canton"], b.cfg.spread)
     return fn.union_all(
         [
             b.spark.read.parquet(path)
@@ -597,19 +596,19 @@ def _(b):
 @query("child_parent_epci")
 def _(b):
     """Q10, EPCI within 5 %."""
-    return quality.child_parent(b.level("epci"), b.stable, LEVEL_KEYS, 0.95, 1.05)
+    return quality.child_parent(b.level("epci"), b.parent, LEVEL_KEYS, 0.95, 1.05)
 
 
 @query("child_parent_iris")
 def _(b):
     """Q10, areas at most 1 % above."""
-    return quality.child_parent(b.level("iris"), b.stable, LEVEL_KEYS, None, 1.01)
+    return quality.child_parent(b.level("iris"), b.parent, LEVEL_KEYS, None, 1.01)
 
 
 @query("coverage_by_department")
 def _(b):
     """Q10, coverage of each department by its finer levels."""
-    return quality.coverage_by_department(b.stable, b.level("epci"), b.level("iris"))
+    return quality.coverage_by_department(b.parent, b.level("epci"), b.level("iris"))
 
 
 @query("yoy_change")
@@ -686,13 +685,13 @@ def _(b):
 @query("epci_coverage")
 def _(b):
     """R6."""
-    return reconcile.coverage(b.level("epci"), b.stable, YEAR, "epci_code")
+    return reconcile.coverage(b.level("epci"), b.parent, YEAR, "epci_code")
 
 
 @query("band_share_vs_national")
 def _(b):
     """R7."""
-    return reconcile.band_share(b.level("epci"), b.stable, YEAR)
+    return reconcile.band_share(b.level("epci"), b.parent, YEAR)
 
 
 @query("top20_share")
@@ -710,7 +709,7 @@ def _(b):
 @query("sex_ratio_diff")
 def _(b):
     """R9."""
-    return reconcile.sex_ratio_diff(b.level("epci"), b.stable, YEAR, "epci_code")
+    return reconcile.sex_ratio_diff(b.level("epci"), b.parent, YEAR, "epci_code")
 
 
 @query("share_by_year")
@@ -746,13 +745,13 @@ def _(b):
 @query("iris_dept_coverage")
 def _(b):
     """R14, least covered."""
-    return reconcile.dept_coverage(b.level("iris"), b.stable, YEAR)
+    return reconcile.dept_coverage(b.level("iris"), b.parent, YEAR)
 
 
 @query("iris_dept_coverage_top")
 def _(b):
     """R14, most covered."""
-    return reconcile.dept_coverage(b.level("iris"), b.stable, YEAR, 10, True)
+    return reconcile.dept_coverage(b.level("iris"), b.parent, YEAR, 10, True)
 
 
 @query("code_match_rate")
@@ -813,6 +812,3 @@ def _(b):
 
     return preview(b.level("epci")).agg(F.count(F.lit(1)).alias("n"))
 
-
-# The settle helper is part of the query path, not of the operators.
-__all__ = ["queries", "settle"]

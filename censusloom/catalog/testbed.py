@@ -18,7 +18,8 @@ from censusloom.operators import base as base_ops
 from censusloom.operators import births as birth_ops
 from censusloom.operators import mobility, projection, shares
 from censusloom.operators.disaggregate import disaggregate
-from censusloom.plans.storage import settle
+from censusloom.plans.build import Mobility
+from censusloom.plans.storage import settle, settle_all
 from censusloom.sources import (
     bands_from_labels,
     commune_lookup,
@@ -53,6 +54,7 @@ class Testbed:
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config = WINDOW):
         self.spark, self.dir, self.cfg = spark, sf_dir, cfg
+        self._cells: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -143,10 +145,6 @@ class Testbed:
             .withColumn("nom", F.concat(F.lit("Commune "), "code"))
         )
 
-    @property
-    def lookup(self) -> DataFrame:
-        return commune_lookup(self.commune_records)
-
     @property
     def cog(self) -> DataFrame:
         dept, s = code(F.col("c_nationkey") + 1, 2), F.col("c_custkey") % 20
@@ -194,7 +192,7 @@ class Testbed:
         lines = (
             self.table("customer")
             .groupBy(commune.alias("c0"))
-            .agg(F.lit(11).alias("row"), F.lit("").alias("c1"), *cells)
+            .agg(F.lit(100).alias("row"), F.lit("").alias("c1"), *cells)
         )
         names = ["row", "c0", "c1", *[f"c{i + 2}" for i in range(2 * n)]]
         head = self.spark.createDataFrame(
@@ -319,54 +317,61 @@ class Testbed:
         """Base cells for a query that reads them once."""
         return base_ops.base_population(self.census, CENSUS_YEAR)
 
-    @cached_property
-    def base(self) -> DataFrame:
-        """Base cells for a query that reads them more than once: persons are scanned once."""
-        return settle(self.base_cells, "base")
-
-    @cached_property
-    def flow_cells(self) -> DataFrame:
-        return settle(mobility.flow_cells(self.flows), "flow_cells")
+    def prepare(self, *names: str) -> None:
+        """Settle the cells several steps of a query read, side by side."""
+        sources = {
+            "base": lambda: self.base_cells,
+            "lookup": lambda: commune_lookup(self.commune_records),
+            "flow_cells": lambda: mobility.flow_cells(self.flows),
+            "birth_cells": lambda: birth_ops.birth_cells(read_birth_months(self.birth_records)),
+        }
+        self._cells |= settle_all({name: sources[name]() for name in names if name not in self._cells})
 
-    @cached_property
-    def birth_cells(self) -> DataFrame:
-        return settle(birth_ops.birth_cells(read_birth_months(self.birth_records)), "birth_cells")
+    def _cell(self, name: str) -> DataFrame:
+        self.prepare(name)
+        return self._cells[name]
 
     @property
-    def births(self) -> DataFrame:
-        return birth_ops.birth_month_distribution(self.birth_cells, self.departments, BIG_DEPARTMENT)
+    def base(self) -> DataFrame:
+        """Base cells: persons are scanned once however many steps read them."""
+        return self._cell("base")
 
     @property
-    def roles(self) -> DataFrame:
-        return mobility.band_roles(self.spark)
+    def lookup(self) -> DataFrame:
+        return self._cell("lookup")
 
     @property
-    def bands_cfg(self) -> DataFrame:
-        return mobility.band_config(self.spark)
+    def flow_cells(self) -> DataFrame:
+        return self._cell("flow_cells")
 
     @property
-    def weights(self) -> DataFrame:
-        return mobility.mobility_weights(mobility.mobility_rates(self.flow_cells, self.roles), self.base, self.bands_cfg)
+    def birth_cells(self) -> DataFrame:
+        return self._cell("birth_cells")
 
-    @property
-    def flows_epci(self) -> DataFrame:
-        return mobility.student_flows_epci(self.flow_cells, self.lookup, self.roles)
+    @cached_property
+    def mobility(self) -> Mobility:
+        self.prepare("base", "lookup", "flow_cells")
+        return Mobility(self.base, self.lookup, self.flow_cells, self.cfg)
 
     @property
-    def flows_iris(self) -> DataFrame:
-        share = mobility.iris_commune_share(self.base, self.lookup)
-        return mobility.student_flows_iris(self.flow_cells, share, self.roles, self.cfg.spread)
+    def births(self) -> DataFrame:
+        return birth_ops.birth_month_distribution(self.birth_cells, self.departments, BIG_DEPARTMENT)
+
+    @cached_property
+    def births_table(self) -> DataFrame:
+        return settle(self.births, "births")
 
     def ratios(self, level: str) -> DataFrame:
+        self.prepare("base", "lookup")
         return shares.geo_ratios(level, self.base, self.lookup)
 
-    @property
+    @cached_property
     def blended_epci(self) -> DataFrame:
-        return mobility.blend_epci(self.ratios("epci"), self.flows_epci, self.weights)
+        return self.mobility.corrected_epci(self.ratios("epci"))
 
-    @property
+    @cached_property
     def blended_iris(self) -> DataFrame:
-        return mobility.blend_iris(self.ratios("iris"), self.flows_iris, self.weights)
+        return self.mobility.corrected_iris(self.ratios("iris"))
 
     @property
     def census_departments(self) -> DataFrame:
@@ -374,11 +379,17 @@ class Testbed:
 
     @property
     def stable(self) -> DataFrame:
-        births = self.births if self.cfg.monthly else None
+        births = self.births_table if self.cfg.monthly else None
         return projection.project_stable(self.census_departments, self.cfg, births)
 
+    @cached_property
+    def parent(self) -> DataFrame:
+        """The projected departments as parent of finer levels."""
+        return settle(self.stable, "department")
+
     def level(self, level: str) -> DataFrame:
         """A compact level of the cohort-stable projection with census shares."""
         if level == "department":
-            return self.stable
-        return disaggregate(self.stable, self.ratios(level), level, spread=self.cfg.spread)
+            return self.parent
+        self.prepare("base", "lookup")
+        return disaggregate(self.parent, self.ratios(level), level, spread=self.cfg.spread)

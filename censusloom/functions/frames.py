@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Rows up to which a joined side is broadcast: some tens of megabytes.
+BROADCAST_ROWS = 500_000
+
 
 def safe_ratio(part: Column, total: Column) -> Column:
     """part / total where the total is positive, else 0."""
@@ -19,7 +22,8 @@ def share_within(df: DataFrame, within: Sequence[str], value: str, out: str) ->
 
     The total is a partial-aggregated group-by joined back, not a window: a window
     would gather each whole group in one task, and one department can hold a
-    third of all areas.
+    third of all areas. The totals are a row per group, which Spark broadcasts
+    once it has seen their size.
     """
     totals = df.groupBy(*within).agg(F.sum(value).alias("_total"))
     return (
@@ -29,22 +33,36 @@ def share_within(df: DataFrame, within: Sequence[str], value: str, out: str) ->
     )
 
 
+def sized_join(
+    large: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    slices: int = 16,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Inner join on few distinct keys that multiplies rows.
+
+    ``small`` is counted first (pass a settled table: that reads its footers) and
+    broadcast up to ``max_rows`` rows. Beyond that the join is spread.
+    """
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return large.join(F.broadcast(small), list(keys))
+    return spread_join(large, small, keys, by, slices)
+
+
 def spread_join(
-    large: DataFrame, small: DataFrame, keys: Sequence[str], by: Sequence[str], slices: int, how: str = "inner"
+    large: DataFrame, small: DataFrame, keys: Sequence[str], by: Sequence[str], slices: int
 ) -> DataFrame:
-    """Equi-join on few distinct keys without sending a hot key to one task.
+    """Inner join that never sends a hot key to one task.
 
     Rows of ``large`` are cut into ``slices`` by a hash of ``by``; ``small`` is
-    repeated once per slice. Where Spark finds ``small`` below its broadcast
-    threshold it broadcasts as usual and the slices change nothing.
+    repeated once per slice. It is sort-merged, because Spark's size estimate does
+    not count the repetition and might broadcast it.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("spread_join keeps or drops rows of the large side only: inner or left")
-    if slices <= 1:
-        return large.join(small, list(keys), how)
     cut = large.withColumn("_slice", F.pmod(F.xxhash64(*by), F.lit(slices)).cast("int"))
     copies = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return cut.join(copies, [*keys, "_slice"], how).drop("_slice")
+    return cut.join(copies.hint("merge"), [*keys, "_slice"]).drop("_slice")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -79,21 +79,26 @@ def append_territories(
     skipped with a warning.
     """
     wanted = set(TOM_DEPARTMENTS if allowed is None else allowed)
-    frames, seen, required = [], set(), set()
-    for territory in territories:
-        if territory.group == "tom" and territory.department_code not in wanted:
-            continue
-        if territory.required:
-            required.add(territory.group)
-        pyramid = pyramids.get(territory.department_code)
-        if pyramid is None or pyramid.where(F.col("population") > 0).isEmpty():
+    eligible = [t for t in territories if t.group != "tom" or t.department_code in wanted]
+    filled = _filled({t.department_code: pyramids[t.department_code] for t in eligible if t.department_code in pyramids})
+    used = [t for t in eligible if t.department_code in filled]
+    for territory in eligible:
+        if territory not in used:
             log.warning("territory %s has no population rows", territory.department_code)
-            continue
-        seen.add(territory.group)
-        frames.append(age_forward(pyramid, territory, year))
-    if required - seen:
-        raise ValueError(f"no population for required territories: {sorted(required - seen)}")
-    return append(base, *frames)
+    missing = {t.group for t in eligible if t.required} - {t.group for t in used}
+    if missing:
+        raise ValueError(f"no population for required territories: {sorted(missing)}")
+    return append(base, *[age_forward(pyramids[t.department_code], t, year) for t in used])
+
+
+def _filled(pyramids: Mapping[str, DataFrame]) -> set[str]:
+    """Codes of the pyramids with any person: one job, one row per territory."""
+    if not pyramids:
+        return set()
+    found = union_all(
+        [p.where(F.col("population") > 0).select(F.lit(code).alias("code")).limit(1) for code, p in pyramids.items()]
+    )
+    return {row.code for row in found.collect()}
 
 
 def canton_weights(cog: DataFrame, lookup: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from censusloom.config import CONFIDENCE_EXTRA
-from censusloom.functions import age_band, months_between_firsts, positive, spread_join
+from censusloom.functions import age_band, months_between_firsts, positive, sized_join
 from censusloom.schemas import LEVEL_CODE, LEVEL_GEO, check_level
 
 
@@ -16,8 +16,8 @@ def disaggregate(
     """Department population x area share, with a wider margin.
 
     The key (department, band, sex) has few values and fans out into every age,
-    year and month of the band, so the share side is cut by area code.
-    The region is the department's for an EPCI and the area's own otherwise.
+    year and month of the band: the departments are broadcast if counted small, and
+    else the share side is cut by area code. The region is the department's for an EPCI and the area's own otherwise.
     """
     check_level(level)
     extra = CONFIDENCE_EXTRA[level] if extra is None else extra
@@ -29,7 +29,7 @@ def disaggregate(
         parent = parent.drop("region_code")
     margin = F.col("confidence_pct") + F.lit(extra)
     people = F.col("population") * F.col("geo_ratio")
-    joined = spread_join(area, parent, ["department_code", "age_band", "sex"], [LEVEL_CODE[level]], spread)
+    joined = sized_join(area, parent, ["department_code", "age_band", "sex"], [LEVEL_CODE[level]], spread)
     return joined.where(positive(people)).select(
         "year",
         "month",
@@ -50,8 +50,8 @@ def disaggregate(
 def expand_birth_month(level_df: DataFrame, births: DataFrame, level: str, spread: int = 16) -> DataFrame:
     """Split every row over the birth months of its department (up to twelve rows).
 
-    Kept lazy and last: nothing downstream of it joins or shuffles. Departments
-    without birth months drop out.
+    Kept last: with the births broadcast (twelve rows per department) it moves no
+    row. Departments without birth months drop out.
     """
     check_level(level)
     geo = LEVEL_GEO[level]
@@ -60,7 +60,7 @@ def expand_birth_month(level_df: DataFrame, births: DataFrame, level: str, sprea
     people = F.col("population") * F.col("month_ratio")
     by = [LEVEL_CODE[level], "year", "month", "age", "sex"]
     return (
-        spread_join(level_df, months, ["department_code"], by, spread)
+        sized_join(level_df, months, ["department_code"], by, spread)
         .where(positive(people))
         .select(
             "year",

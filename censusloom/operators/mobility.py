@@ -18,7 +18,7 @@ from censusloom.functions import (
     department_of,
     safe_ratio,
     share_within,
-    spread_join,
+    sized_join,
     usable_iris,
     weight,
 )
@@ -180,9 +180,10 @@ def iris_commune_share(base: DataFrame, lookup: DataFrame) -> DataFrame:
 def student_flows_iris(cells: DataFrame, share: DataFrame, roles: DataFrame, spread: int = 16) -> DataFrame:
     """Where a department's students study, by area.
 
-    The shares of study communes are settled first, on the small commune-level
-    cells. Splitting a commune over its areas is the last step, the only one that
-    multiplies rows, and is cut by area so that one big commune spreads out.
+    The shares of study communes are worked out first, on the small commune-level
+    cells. Splitting a commune over its areas is the last step and the only one that
+    multiplies rows; past the broadcast size it is cut by origin, so that one big
+    commune spreads out.
     """
     communes = share.select("commune_code", "commune_pop").distinct()
     flows = _by_role(cells, roles, ["department_code", "study_commune", "sex"]).withColumnRenamed(
@@ -190,7 +191,7 @@ def student_flows_iris(cells: DataFrame, share: DataFrame, roles: DataFrame, spr
     )
     reached = flows.join(communes, "commune_code")
     totals = _origin_totals(reached.where(F.col("commune_pop") > 0))
-    settled = _mixed_share(reached.drop("commune_pop"), totals).select(
+    by_commune = _mixed_share(reached.drop("commune_pop"), totals).select(
         *ORIGIN, "commune_code", F.col("study_geo_ratio").alias("_commune_ratio")
     )
     areas = share.select(
@@ -201,7 +202,7 @@ def student_flows_iris(cells: DataFrame, share: DataFrame, roles: DataFrame, spr
         "epci_code",
         safe_ratio(F.col("iris_pop"), F.col("commune_pop")).alias("_area_share"),
     )
-    return spread_join(areas, settled, ["commune_code"], ["iris_code"], spread).select(
+    return sized_join(by_commune, areas, ["commune_code"], ORIGIN, spread).select(
         "age_band",
         "department_code",
         "iris_dept",

@@ -59,22 +59,28 @@ def geo_ratios_epci(base: DataFrame, lookup: DataFrame) -> DataFrame:
     return shares.unionByName(passthrough.select(*columns))
 
 
-def iris_population(base: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Persons per usable area x band x sex, with the area's EPCI where it has one."""
-    areas = (
+def iris_population(base: DataFrame) -> DataFrame:
+    """Persons per usable area x band x sex."""
+    return (
         _banded(base.where(usable_iris(F.col("iris_code"))))
         .groupBy("department_code", "region_code", "commune_code", "iris_code", "age_band", "sex")
         .agg(F.sum("population").alias("population"))
     )
-    return areas.join(lookup.select("commune_code", "epci_code"), "commune_code", "left")
 
 
 def geo_ratios_iris(base: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Area shares; a department without usable areas keeps the codes it has, share 1."""
-    geo = ["department_code", "region_code", "commune_code", "iris_code", "epci_code"]
-    columns = [*geo, "age_band", "sex", "geo_ratio"]
-    population = iris_population(base, lookup)
-    shares = share_within(population, GROUP, "population", "geo_ratio").select(*columns)
+    """Area shares, with the area's EPCI where it has one.
+
+    A department without usable areas keeps the codes it has, share 1.
+    """
+    columns = [
+        "department_code", "region_code", "commune_code", "iris_code", "epci_code", "age_band", "sex", "geo_ratio",
+    ]
+    shares = (
+        share_within(iris_population(base), GROUP, "population", "geo_ratio")
+        .join(lookup.select("commune_code", "epci_code"), "commune_code", "left")
+        .select(*columns)
+    )
     usable = F.coalesce(usable_iris(F.col("iris_code")), F.lit(False))
     covered = _banded(base.where(usable)).select("department_code")
     passthrough = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -13,7 +14,7 @@ from censusloom.operators import base as base_ops
 from censusloom.operators import births as birth_ops
 from censusloom.operators import mobility, projection, shares
 from censusloom.operators.disaggregate import disaggregate
-from censusloom.plans.storage import settle
+from censusloom.plans.storage import settle, settle_all
 from censusloom.sinks.export import export_levels
 from censusloom.sources.microdata import in_scope, read_birth_months
 
@@ -55,33 +56,47 @@ def wanted_territories(cfg: Config) -> list:
 def build_levels(inputs: Inputs, cfg: Config) -> Build:
     """Scan each microdata file once into cells, then work on the cells.
 
-    Settled tables: the base cells (read by every share and the projection), the
-    births, the corrected shares and the department level (parent of the others).
+    Settled, each round side by side: the cells of the inputs; births, census
+    departments and shares; the projected departments and the corrected shares.
     """
     if cfg.lost_cohorts:
         log.warning("the %d youngest cohorts were not born at the census and will be absent", cfg.lost_cohorts)
-    base = settle(base_ops.base_population(in_scope(inputs.census, cfg), cfg.census_year), "base")
+    base = base_ops.base_population(in_scope(inputs.census, cfg), cfg.census_year)
     territories = wanted_territories(cfg)
     if territories:
         base = base_ops.append_territories(base, inputs.pyramids, cfg.census_year, territories=territories)
-
-    cells = settle(birth_ops.birth_cells(read_birth_months(inputs.birth_records)), "birth_cells")
-    births = settle(
-        birth_ops.birth_month_distribution(cells, inputs.departments, cfg.big_department_weight), "births"
+    cells = {
+        "base": base,
+        "lookup": inputs.lookup,
+        "birth_cells": birth_ops.birth_cells(read_birth_months(inputs.birth_records)),
+    }
+    if cfg.correct_mobility:
+        if inputs.flows is None:
+            raise ValueError("the mobility correction needs the commuting flows")
+        cells["flow_cells"] = mobility.flow_cells(inputs.flows)
+    cells = settle_all(cells)
+    base, lookup = cells["base"], cells["lookup"]
+
+    tables = settle_all(
+        {
+            "births": birth_ops.birth_month_distribution(
+                cells["birth_cells"], inputs.departments, cfg.big_department_weight
+            ),
+            "census_departments": projection.census_departments(base),
+        }
+        | {level: shares.geo_ratios(level, base, lookup) for level in ("epci", "canton", "iris")}
     )
+    births, ratios = tables["births"], {level: tables[level] for level in ("epci", "canton", "iris")}
     if births.isEmpty():
         raise ValueError("no usable birth month in the birth records")
-
-    lookup = settle(inputs.lookup, "lookup")
-    ratios = {level: shares.geo_ratios(level, base, lookup) for level in ("epci", "canton", "iris")}
+    last = {"department": projection.project(tables["census_departments"], cfg, inputs.estimates, births)}
     if cfg.correct_mobility:
-        if inputs.flows is None:
-            raise ValueError("the mobility correction needs the commuting flows")
-        ratios["epci"], ratios["iris"] = corrected_ratios(base, lookup, inputs.flows, ratios, cfg)
-    ratios = {level: settle(df, f"ratios_{level}") for level, df in ratios.items()}
-
-    census = settle(projection.census_departments(base), "census_departments")
-    department = settle(projection.project(census, cfg, inputs.estimates, births), "department")
+        moves = Mobility(base, lookup, cells["flow_cells"], cfg)
+        last["epci"] = moves.corrected_epci(ratios["epci"])
+        last["iris"] = moves.corrected_iris(ratios["iris"])
+    last = settle_all(last)
+    department = last.pop("department")
+    ratios |= last
     levels = {"department": department} | {
         level: disaggregate(department, df, level, cfg.confidence_extra[level], cfg.spread)
         for level, df in ratios.items()
@@ -89,20 +104,43 @@ def build_levels(inputs: Inputs, cfg: Config) -> Build:
     return Build(base, births, ratios, levels, cfg)
 
 
-def corrected_ratios(
-    base: DataFrame, lookup: DataFrame, flows: DataFrame, ratios: Mapping[str, DataFrame], cfg: Config
-) -> tuple[DataFrame, DataFrame]:
-    """EPCI and area shares after the student mobility correction."""
-    spark = base.sparkSession
-    roles = mobility.band_roles(spark, cfg.student_bands)
-    bands = mobility.band_config(spark, cfg.student_bands)
-    cells = settle(mobility.flow_cells(flows), "flow_cells")
-    weights = settle(mobility.mobility_weights(mobility.mobility_rates(cells, roles), base, bands), "mobility_weights")
-    to_epci = mobility.student_flows_epci(cells, lookup, roles)
-    to_iris = mobility.student_flows_iris(cells, mobility.iris_commune_share(base, lookup), roles, cfg.spread)
-    # Read for the part that stays and again for the blend.
-    to_iris = settle(to_iris, "student_flows_iris")
-    return (
-        mobility.blend_epci(settle(ratios["epci"], "ratios_epci_census"), to_epci, weights, cfg.student_bands),
-        mobility.blend_iris(settle(ratios["iris"], "ratios_iris_census"), to_iris, weights, cfg.student_bands),
-    )
+class Mobility:
+    """Student flows of a run, and the area shares corrected by them.
+
+    Works on settled base cells, commune lookup and flow cells. Weights and flows
+    are settled in turn, since each is read by more than one step.
+    """
+
+    def __init__(self, base: DataFrame, lookup: DataFrame, cells: DataFrame, cfg: Config):
+        spark = base.sparkSession
+        self.base, self.lookup, self.cells, self.cfg = base, lookup, cells, cfg
+        self.roles = mobility.band_roles(spark, cfg.student_bands)
+        self.bands = mobility.band_config(spark, cfg.student_bands)
+
+    @property
+    def rates(self) -> DataFrame:
+        return mobility.mobility_rates(self.cells, self.roles)
+
+    @cached_property
+    def weights(self) -> DataFrame:
+        return settle(mobility.mobility_weights(self.rates, self.base, self.bands), "mobility_weights")
+
+    @property
+    def to_epci(self) -> DataFrame:
+        return mobility.student_flows_epci(self.cells, self.lookup, self.roles)
+
+    @cached_property
+    def share(self) -> DataFrame:
+        return settle(mobility.iris_commune_share(self.base, self.lookup), "iris_commune_share")
+
+    @property
+    def to_iris(self) -> DataFrame:
+        return mobility.student_flows_iris(self.cells, self.share, self.roles, self.cfg.spread)
+
+    def corrected_epci(self, census_ratios: DataFrame) -> DataFrame:
+        flows = settle(self.to_epci, "student_flows_epci")
+        return mobility.blend_epci(census_ratios, flows, self.weights, self.cfg.student_bands)
+
+    def corrected_iris(self, census_ratios: DataFrame) -> DataFrame:
+        flows = settle(self.to_iris, "student_flows_iris")
+        return mobility.blend_iris(census_ratios, flows, self.weights, self.cfg.student_bands)

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCK = threading.Lock()
+
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder named by ``spark.checkpoint.dir``.
@@ -20,7 +25,9 @@ def shared_folder(spark: SparkSession) -> str | None:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         return None
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    with _LOCK:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -39,3 +46,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/censusloom/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Settle independent frames side by side, so that none waits for the others' last tasks."""
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        running = {name: pool.submit(settle, df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in running.items()}
