@@ -746,14 +746,39 @@ q("distinct_groups", "SELECT DISTINCT regroupement FROM x_enrol_row ORDER BY 1 L
 q("preview_rows", "SELECT least(COUNT(*), 10) AS n FROM x_level_epci")
 
 
-def _blocks(sql: str) -> list[str]:
+# The full build reads base cells with the territories appended, anchors the
+# departments and corrects the EPCI and area shares.
+BLOCKS["x_base_census"] = BLOCKS["x_base"]
+BLOCKS["x_anchored_bare"] = "SELECT * EXCLUDE (region_code) FROM x_anchored"
+BLOCKS["x_full_epci"] = level("x_anchored", "x_blend_epci", "0.03", EPCI_GEO)
+BLOCKS["x_full_canton"] = level(
+    "x_anchored_bare", "x_ratio_canton", "0.05", "department_code, region_code, canton_code"
+)
+BLOCKS["x_full_iris"] = level(
+    "x_anchored_bare", "x_blend_iris", "0.1", "department_code, region_code, epci_code, commune_code, iris_code"
+)
+OVERRIDES = {
+    "full_build": {
+        "x_base": """
+SELECT * FROM x_base_census UNION ALL SELECT * FROM x_t976 UNION ALL SELECT * FROM x_t986
+UNION ALL SELECT * FROM x_t988 UNION ALL SELECT * FROM x_t975"""
+    }
+}
+q("full_build", " UNION ALL ".join(
+    f"""SELECT '{lv}' AS level, year, department_code, region_code, COUNT(*) AS cells, SUM(population) AS population
+FROM {t} WHERE year IN (2022, 2023) GROUP BY ALL"""
+    for lv, t in (("department", "x_anchored"), ("epci", "x_full_epci"), ("canton", "x_full_canton"), ("iris", "x_full_iris"))
+), "population")
+
+
+def _blocks(sql: str, blocks: dict[str, str]) -> list[str]:
     """Blocks a query needs, each after the ones it reads."""
     order: list[str] = []
 
     def add(text):
         for name in dict.fromkeys(re.findall(r"\bx_\w+", text)):
             if name not in order:
-                add(BLOCKS[name])
+                add(blocks[name])
                 if name not in order:
                     order.append(name)
 
@@ -764,8 +789,9 @@ def _blocks(sql: str) -> list[str]:
 def oracle_sql() -> dict[str, str]:
     result = {}
     for name, (sql, columns) in QUERIES.items():
-        blocks = _blocks(sql)
-        text = "WITH " + ",\n".join(f"{b} AS ({BLOCKS[b].strip()})" for b in blocks) + "\n" if blocks else ""
+        known = BLOCKS | OVERRIDES.get(name, {})
+        needed = _blocks(sql, known)
+        text = "WITH " + ",\n".join(f"{b} AS ({known[b].strip()})" for b in needed) + "\n" if needed else ""
         if columns:
             # Nudged off decimal ties, like the Spark side.
             replaced = ", ".join(f'round("{c}" + CAST(1e-9 AS DOUBLE), 6) AS "{c}"' for c in columns.split())
