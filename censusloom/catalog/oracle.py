@@ -201,13 +201,20 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8"""
 
 BLOCKS["x_blend_epci"] = """
 SELECT department_code, epci_code, age_band, sex,
-       raw / SUM(raw) OVER (PARTITION BY department_code, age_band, sex) AS geo_ratio
+       coalesce(raw / nullif(SUM(raw) OVER (PARTITION BY department_code, age_band, sex), 0), 0) AS geo_ratio
 FROM (SELECT r.department_code, r.epci_code, r.age_band, r.sex,
              (1 - blend_weight) * geo_ratio + blend_weight * coalesce(study_geo_ratio, 0) AS raw
       FROM x_ratio_epci r JOIN x_weight w ON w.department_code = r.department_code AND w.age_band = r.age_band
       LEFT JOIN x_flow_epci f ON f.department_code = r.department_code AND f.age_band = r.age_band
            AND f.sex = r.sex AND f.epci_code = r.epci_code
-      WHERE r.sex IS NOT NULL) b
+      WHERE r.sex IS NOT NULL
+      UNION ALL
+      SELECT f.department_code, f.epci_code, f.age_band, f.sex, blend_weight * study_geo_ratio
+      FROM x_flow_epci f JOIN x_weight w ON w.department_code = f.department_code AND w.age_band = f.age_band
+      WHERE study_geo_ratio > 0
+        AND (f.department_code, f.sex) IN (SELECT (department_code, sex) FROM x_ratio_epci)
+        AND (f.department_code, f.age_band, f.sex) NOT IN
+            (SELECT (department_code, age_band, sex) FROM x_ratio_epci WHERE sex IS NOT NULL)) b
 UNION ALL SELECT * FROM x_ratio_epci WHERE age_band NOT IN ('15_19', '20_24')"""
 
 BLOCKS["x_intra"] = """
