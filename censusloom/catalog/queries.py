@@ -325,7 +325,7 @@ def _(b):
 @query("mobility_weights")
 def _(b):
     """Y3."""
-    return mobility.mobility_weights(b.mobility.rates, b.base, b.mobility.bands)
+    return mobility.mobility_weights(b.mobility.rates, b.base)
 
 
 @query("student_flows_epci")

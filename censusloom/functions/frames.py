@@ -65,5 +65,13 @@ def spread_join(
     return cut.join(copies.hint("merge"), [*keys, "_slice"]).drop("_slice")
 
 
+def single(df: DataFrame, *columns: Column) -> Column:
+    """A one-row aggregate of ``df`` as a column: the value itself, or a struct of several.
+
+    A scalar subquery: evaluated once, and no join with a one-row table.
+    """
+    return df.agg(columns[0] if len(columns) == 1 else F.struct(*columns)).scalar()
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -20,7 +20,9 @@ def base_population(census: DataFrame, year: int) -> DataFrame:
 
     Every later step reads these cells, never the persons again.
     """
-    persons = census.select(
+    # Strict casts fail on junk, so a missing raw value is the only way to a missing
+    # age or weight, and the reader can skip it before anything is parsed.
+    persons = census.where(valid_cell(F.col("ANAI"), F.col("IPONDI"))).select(
         clean_code(F.col("DEPT")).alias("department_code"),
         clean_code(F.col("REGION")).alias("region_code"),
         clean_code(F.col("CANTVILLE")).alias("canton_code"),
@@ -28,7 +30,7 @@ def base_population(census: DataFrame, year: int) -> DataFrame:
         birth_age(F.col("ANAI"), year).alias("age"),
         decode_sex(F.col("SEXE")).alias("sex"),
         weight(F.col("IPONDI")).alias("weight"),
-    ).where(valid_cell(F.col("age"), F.col("weight")))
+    )
     # The commune follows from the area code, so it is derived per cell, not per
     # person, and stays out of the shuffled key.
     keys = ["department_code", "region_code", "canton_code", "iris_code", "age", "sex"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusloom.config import BIG_DEPARTMENT_WEIGHT, known_departments
-from censusloom.functions import share_within, union_all
+from censusloom.functions import share_within, single, union_all
 
 
 def department_dimension(spark: SparkSession, rows: Iterable[tuple] | None = None) -> DataFrame:
@@ -30,10 +30,8 @@ def month_shares(cells: DataFrame, keys: Sequence[str], within: Sequence[str] =
     if within:
         shares = share_within(weights, within, "weight", "month_ratio")
     else:
-        total = weights.groupBy().agg(F.sum("weight").alias("_total"))
-        shares = weights.crossJoin(F.broadcast(total)).select(
-            *keys, F.coalesce(F.try_divide("weight", "_total"), F.lit(0.0)).alias("month_ratio")
-        )
+        total = single(weights, F.sum("weight"))
+        shares = weights.withColumn("month_ratio", F.coalesce(F.try_divide(F.col("weight"), total), F.lit(0.0)))
     return shares.select(*keys, "month_ratio")
 
 
@@ -69,10 +67,11 @@ def birth_month_distribution(
     small = departments.select("department_code", "region_code").join(big, "department_code", "left_anti")
     covered = cells.select("region_code").where(F.col("region_code").isNotNull()).distinct()
     from_region = small.join(regions, "region_code").select("department_code", "month", "month_ratio")
-    # At most twelve rows by construction: the reader keeps months 1 to 12 only.
+    # At most twelve values by construction: the reader keeps months 1 to 12 only.
+    metro_months = single(metro, F.collect_list(F.struct("month", "month_ratio")))
     from_metro = (
         small.join(covered, "region_code", "left_anti")
-        .select("department_code")
-        .crossJoin(F.broadcast(metro))
+        .select("department_code", F.explode(metro_months).alias("_m"))
+        .select("department_code", "_m.month", "_m.month_ratio")
     )
-    return union_all([own, from_region, from_metro.select("department_code", "month", "month_ratio")])
+    return union_all([own, from_region, from_metro])

@@ -26,15 +26,6 @@ from censusloom.functions import (
 ORIGIN = ["age_band", "department_code", "sex"]
 
 
-def band_config(spark: SparkSession, bands: Iterable[StudentBand] = STUDENT_BANDS) -> DataFrame:
-    """One row per student band: cap, default and weight of the secondary group."""
-    return spark.createDataFrame(
-        [(b.age_band, b.age_group, b.cap, b.default, b.secondary_group, b.secondary_weight) for b in bands],
-        "age_band string, age_group string, blend_cap double, blend_default double, "
-        "secondary_group string, secondary_weight double",
-    )
-
-
 def band_roles(spark: SparkSession, bands: Iterable[StudentBand] = STUDENT_BANDS) -> DataFrame:
     """Which bands an age group feeds, as main or as secondary group (a few literal rows)."""
     rows = []
@@ -104,18 +95,26 @@ def mobility_rates(cells: DataFrame, roles: DataFrame) -> DataFrame:
     )
 
 
-def mobility_weights(rates: DataFrame, base: DataFrame, bands: DataFrame) -> DataFrame:
+def mobility_weights(
+    rates: DataFrame, base: DataFrame, bands: Iterable[StudentBand] = STUDENT_BANDS
+) -> DataFrame:
     """Blend weight: the capped rate, or the band's (uncapped) default without one."""
-    observed = rates.join(F.broadcast(bands), "age_band").select(
+    bands = list(bands)
+    cap = F.create_map(*[F.lit(x) for b in bands for x in (b.age_band, b.cap)])
+    defaults = F.array(
+        *[F.struct(F.lit(b.age_band).alias("age_band"), F.lit(b.default).alias("blend_default")) for b in bands]
+    )
+    observed = rates.select(
         "age_band",
         "department_code",
         "mobility_rate",
-        F.least("mobility_rate", "blend_cap").alias("blend_weight"),
+        F.least(F.col("mobility_rate"), cap[F.col("age_band")]).alias("blend_weight"),
     )
     missing = (
         base.select("department_code")
         .distinct()
-        .crossJoin(F.broadcast(bands.select("age_band", "blend_default")))
+        .select("department_code", F.explode(defaults).alias("_b"))
+        .select("department_code", "_b.age_band", "_b.blend_default")
         .join(rates.select("age_band", "department_code"), ["age_band", "department_code"], "left_anti")
         .select(
             "age_band",

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from censusloom.functions import union_all
+from censusloom.functions import single, union_all
 from censusloom.schemas import LEVEL_CODE
 
 
@@ -58,7 +58,9 @@ def validate(base: DataFrame, expected: DataFrame) -> DataFrame:
         hit = (F.col("territory") == territory) & (F.col("present") == present)
         return F.array_join(F.sort_array(F.collect_set(F.when(hit, F.col("department_code")))), ",")
 
-    coverage = department_coverage(base, expected).agg(
+    found = department_coverage(base, expected)
+    coverage = single(
+        found,
         codes("metro", False).alias("missing_metro"),
         codes("dom", False).alias("missing_dom"),
         codes("tom", False).alias("missing_tom"),
@@ -68,9 +70,14 @@ def validate(base: DataFrame, expected: DataFrame) -> DataFrame:
             "mayotte_present"
         ),
     )
-    bad = invalid_rows(base).withColumn("is_valid", F.col("invalid_rows") == 0)
-    # Three one-row aggregates.
-    return bad.crossJoin(validation_stats(base)).crossJoin(coverage)
+    bad = single(invalid_rows(base), F.max("invalid_rows"))
+    return (
+        validation_stats(base)
+        .withColumns({"invalid_rows": bad, "_coverage": coverage})
+        .withColumn("is_valid", F.col("invalid_rows") == 0)
+        .select("*", "_coverage.*")
+        .drop("_coverage")
+    )
 
 
 def level_stats(levels: Mapping[str, DataFrame]) -> DataFrame:

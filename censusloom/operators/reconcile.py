@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from censusloom.config import NO_GEO
-from censusloom.functions import age_window, safe_ratio
+from censusloom.functions import age_window, safe_ratio, single
 from censusloom.sources.levels import read_level
 
 # The sub-bands a student correction is read from.
@@ -33,9 +33,9 @@ def _pct(part: Column, whole: Column) -> Column:
 
 
 def _same_ages(ref: DataFrame, ours: DataFrame) -> DataFrame:
-    """The reference rows within the ages we project (a one-row range, broadcast)."""
-    ages = ours.agg(F.min("age").alias("_low"), F.max("age").alias("_high"))
-    return ref.crossJoin(F.broadcast(ages)).where(F.col("age").between(F.col("_low"), F.col("_high")))
+    """The reference rows within the ages we project."""
+    ages = single(ours, F.min("age").alias("low"), F.max("age").alias("high"))
+    return ref.where(F.col("age").between(ages["low"], ages["high"]))
 
 
 # -- regions against an official pyramid -------------------------------------
@@ -156,7 +156,7 @@ def band_share(
     den: tuple[int, int] = YOUNG,
 ) -> DataFrame:
     """Share of one age band in another per area, next to the national share."""
-    national = read_level(parent, ["age"], year, "region_code").agg(_pct(_in(num), _in(den)).alias("national_pct"))
+    national = single(read_level(parent, ["age"], year, "region_code"), _pct(_in(num), _in(den)))
     rows = read_level(child, [code, "age"], year, code)
     if codes is not None:
         rows = rows.where(F.col(code).isin(list(codes)))
@@ -166,8 +166,7 @@ def band_share(
     share = F.coalesce(_pct(F.col("num_pop"), F.col("den_pop")), F.lit(0.0))
     return (
         areas.where(F.col("_total") > 0)
-        .crossJoin(F.broadcast(national))
-        .select(code, "num_pop", "den_pop", share.alias("share_pct"), (share - F.col("national_pct")).alias("vs_national"))
+        .select(code, "num_pop", "den_pop", share.alias("share_pct"), (share - national).alias("vs_national"))
     )
 
 
@@ -265,15 +264,18 @@ def drift_summary(shares: DataFrame, code: str = "epci_code", limit: float = 1.0
 def level_coverage(iris: DataFrame, epci: DataFrame, year: int) -> DataFrame:
     """One row: EPCIs and persons the area level carries of the EPCI level."""
 
-    def side(df, code, prefix):
-        cells = read_level(df, ["epci_code"], year, code)
-        return cells.agg(
-            F.countDistinct("epci_code").alias(f"{prefix}_epcis"), F.sum("pop").alias(f"{prefix}_pop")
-        )
-
+    totals = [F.count("epci_code").alias("epcis"), F.sum("pop").alias("pop")]
+    areas = single(read_level(iris, ["epci_code"], year, "iris_code"), *totals)
     return (
-        side(epci, "epci_code", "epci")
-        .crossJoin(F.broadcast(side(iris, "iris_code", "iris")))
+        read_level(epci, ["epci_code"], year, "epci_code")
+        .agg(*totals)
+        .withColumn("_areas", areas)
+        .select(
+            F.col("epcis").alias("epci_epcis"),
+            F.col("pop").alias("epci_pop"),
+            F.col("_areas.epcis").alias("iris_epcis"),
+            F.col("_areas.pop").alias("iris_pop"),
+        )
         .withColumn("coverage_pct", _pct(F.col("iris_pop"), F.col("epci_pop")))
     )
 
@@ -381,8 +383,7 @@ def enrolment_match(enrolment: DataFrame, lookup: DataFrame) -> DataFrame:
     matched = enrolment_by_epci(enrolment, lookup).agg(
         F.countDistinct("epci_code").alias("n_epcis"), F.sum("enrolled").alias("matched")
     )
-    total = enrolment.agg(F.sum("enrolled").alias("enrolled"))
-    return matched.crossJoin(F.broadcast(total)).withColumn(
+    return matched.withColumn("enrolled", single(enrolment, F.sum("enrolled"))).withColumn(
         "matched_pct", _pct(F.col("matched").cast("double"), F.col("enrolled"))
     )
 
@@ -424,8 +425,8 @@ def enrolment_national(enrolment: DataFrame, lookup: DataFrame, level: DataFrame
     ages = read_level(level, ["age"], year, "epci_code").agg(
         _in(STUDENT).alias("pop_20_24"), _in(YOUNG).alias("pop_15_24")
     )
-    matched = enrolment_by_epci(enrolment, lookup).agg(F.coalesce(F.sum("enrolled"), F.lit(0)).alias("enrolled"))
-    return matched.crossJoin(F.broadcast(ages)).withColumn(
+    matched = single(enrolment_by_epci(enrolment, lookup), F.coalesce(F.sum("enrolled"), F.lit(0)))
+    return ages.withColumn("enrolled", matched).withColumn(
         "ratio_pct", _pct(F.col("enrolled").cast("double"), F.col("pop_20_24"))
     )
 

@@ -112,10 +112,8 @@ class Mobility:
     """
 
     def __init__(self, base: DataFrame, lookup: DataFrame, cells: DataFrame, cfg: Config):
-        spark = base.sparkSession
         self.base, self.lookup, self.cells, self.cfg = base, lookup, cells, cfg
-        self.roles = mobility.band_roles(spark, cfg.student_bands)
-        self.bands = mobility.band_config(spark, cfg.student_bands)
+        self.roles = mobility.band_roles(base.sparkSession, cfg.student_bands)
 
     @property
     def rates(self) -> DataFrame:
@@ -123,7 +121,7 @@ class Mobility:
 
     @cached_property
     def weights(self) -> DataFrame:
-        return settle(mobility.mobility_weights(self.rates, self.base, self.bands), "mobility_weights")
+        return settle(mobility.mobility_weights(self.rates, self.base, self.cfg.student_bands), "mobility_weights")
 
     @property
     def to_epci(self) -> DataFrame:

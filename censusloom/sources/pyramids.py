@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censusloom.functions import age_label, decode_sex, french_number, sex_code
+from censusloom.functions import age_label, decode_sex, french_number, sex_code, single
 
 _HEADER_LINES = 15  # the header block ends before this line
 
@@ -45,12 +45,8 @@ def pyramid_unpivot(sheet: DataFrame, header: DataFrame | None = None, prefix: s
     """
     header = pyramid_header(sheet) if header is None else header
     code = F.trim("c0")
-    title = (
-        sheet.where((F.col("row") < _HEADER_LINES) & (F.lower(code) == "codgeo"))
-        .groupBy()
-        .agg(F.max("row").alias("_title"))
-    )
-    communes = sheet.crossJoin(F.broadcast(title)).where((F.col("row") > F.col("_title")) & F.col("c0").isNotNull())
+    title = single(sheet.where((F.col("row") < _HEADER_LINES) & (F.lower(code) == "codgeo")), F.max("row"))
+    communes = sheet.where((F.col("row") > title) & F.col("c0").isNotNull())
     if prefix is not None:
         communes = communes.where(code.startswith(prefix))
     # Sum every column first: one partial-aggregated row instead of a row per cell.

@@ -4,6 +4,7 @@ import pytest
 from conftest import as_dict
 from pyspark.sql import functions as F
 
+from censusloom.config import STUDENT_BANDS
 from censusloom.operators import mobility, shares
 from censusloom.operators.quality import share_sum_audit
 from censusloom.schemas import FLOW_COLUMNS
@@ -36,7 +37,7 @@ def flows(make, with_pupils=True):
 
 @pytest.fixture(scope="module")
 def parts(spark, make, base, lookup):
-    cells, roles, bands = flows(make), mobility.band_roles(spark), mobility.band_config(spark)
+    cells, roles, bands = flows(make), mobility.band_roles(spark), STUDENT_BANDS
     weights = mobility.mobility_weights(mobility.mobility_rates(cells, roles), base, bands)
     return weights, mobility.student_flows_epci(cells, lookup, roles)
 
@@ -87,7 +88,7 @@ def test_a_place_of_study_only_enters_where_nobody_has_a_census_share(make, look
 
 @pytest.fixture(scope="module")
 def iris(spark, make, base, lookup):
-    cells, roles, bands = flows(make, with_pupils=False), mobility.band_roles(spark), mobility.band_config(spark)
+    cells, roles, bands = flows(make, with_pupils=False), mobility.band_roles(spark), STUDENT_BANDS
     weights = mobility.mobility_weights(mobility.mobility_rates(cells, roles), base, bands)
     share = mobility.iris_commune_share(base, lookup)
     return weights, mobility.student_flows_iris(cells, share, roles), cells, share, roles
