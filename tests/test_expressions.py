@@ -93,13 +93,16 @@ def test_spread_join_equals_plain_join_on_a_hot_key(spark):
 def test_spread_join_splits_a_hot_key(spark):
     large = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
     small = spark.range(5).select(F.lit("hot").alias("k"), F.col("id").alias("b"))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         joined = fn.spread_join(large, small, ["k"], ["a"], 32)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 20_000 and len(sizes) > 4 and max(sizes) < 10_000
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert sum(sizes) == 20_000 and len(sizes) > 8 and max(sizes) < 5_000
 
 
 def test_sized_join_broadcasts_a_counted_small_side(spark):
