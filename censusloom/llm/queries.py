@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censusloom.llm import bpe, partenum, ring, substring, token_count, winnow
+from censusloom.llm import bpe, langid, partenum, quality, ring, simhash, substring, token_count, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +21,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).decisions()
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     joined = F.concat_ws(",", "items")
@@ -54,11 +62,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_language(_table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op2_substring_dedup, op4_decontamination, op6_byte_bpe, op7_sharding, op8_token_counts, op10_jaccard_join)
+_QUERIES = (
+    op1_quality, op2_substring_dedup, op3_simhash, op4_decontamination, op6_byte_bpe, op7_sharding, op8_token_counts, op9_language,
+    op10_jaccard_join,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
