@@ -24,7 +24,7 @@ _BINARY = ["docs", "runs", "at", "mark", "one", "two", "flags", "lone_one", "lon
 
 
 def buckets_of(spark: SparkSession) -> int:
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def key_column(name: str) -> Column:

@@ -76,13 +76,16 @@ def _tables(seed: int) -> tuple[np.ndarray, int, int]:
     return values, base, pow(base, -1, MODULUS)
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, bits: int) -> np.ndarray:
-    return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full((1 << bits) - 1, base, np.uint64))))
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    return _powers(base, max(16, int(n).bit_length()))[:n]
+    """The first n powers; the longest table so far is kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        size = max(1 << 16, 1 << int(n).bit_length())
+        known = _POWERS[base] = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, base, np.uint64))))
+    return known[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
