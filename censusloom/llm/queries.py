@@ -9,10 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censusloom.llm import bpe, langid, partenum, quality, ring, simhash, substring, token_count, winnow
+from censusloom.llm import bpe, html, langid, partenum, quality, ring, simhash, substring, token_count, winnow
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Tasks import this package too, also when only the driver's path has it.
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
@@ -22,32 +22,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).decisions()
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).decisions()
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.edited_likeness(_table(spark, sf_dir, "documents"))
+    return simhash.edited_likeness(table(spark, sf_dir, "documents"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = winnow.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = winnow.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     joined = F.concat_ws(",", "items")
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(joined, 256).alias("items_sha256"), "contaminated")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law "rows": shard sizes differ by one row at most. Null texts have size 1 and the checksum of no bytes."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = _table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents").select(
         "doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
     )
     placed = ring.shard(rows, "doc_id", [F.col("doc_id"), F.col("text_crc32"), F.col("size")])
@@ -58,20 +62,20 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     return token_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.predict_language(_table(spark, sf_dir, "documents"))
+    return langid.predict_language(table(spark, sf_dir, "documents"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partenum.jaccard_components(_table(spark, sf_dir, "documents"))
+    return partenum.jaccard_components(table(spark, sf_dir, "documents"))
 
 
 _QUERIES = (
-    op1_quality, op2_substring_dedup, op3_simhash, op4_decontamination, op6_byte_bpe, op7_sharding, op8_token_counts, op9_language,
+    op1_quality, op2_substring_dedup, op3_simhash, op4_decontamination, op5_html_text, op6_byte_bpe, op7_sharding, op8_token_counts, op9_language,
     op10_jaccard_join,
 )
 
