@@ -49,14 +49,14 @@ class Transducer:
         if self.longest > 255:
             raise ValueError("tokens of more than 255 bytes are not supported")
         self.prefixes = {token[:n] for token in ranks for n in range(1, len(token))}
-        self._agree: dict[tuple[int, int], bool] = {}
+        self._agree: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
         self._states = [(_START, b"", ())]
         self._numbers = {(_START, b""): 0}
-        self._moves: dict[int, tuple[int, list[int] | None]] = {}
-        self._last: dict[int, tuple[int, ...]] = {}
+        self._moves: dict[int, tuple[int, bytes]] = {}
+        self._last: dict[int, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The merges themselves, lowest rank first, leftmost first; used for pairs of tokens only."""
@@ -76,15 +76,16 @@ class Transducer:
         """Whether the merges leave these two tokens side by side."""
         if left == _START:
             return True
-        known = self._agree.get((left, right))
+        pair = left << 32 | right
+        known = self._agree.get(pair)
         if known is None:
             if len(self._agree) > CACHED_STATES:
                 self._agree.clear()
-            known = self._agree[left, right] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            known = self._agree[pair] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return known
 
-    def _step(self, move: int) -> tuple[int, list[int] | None]:
-        """Makes one transition (state << 8 | byte -> target << 8, emitted tokens), and its target if that is new."""
+    def _step(self, move: int) -> tuple[int, bytes]:
+        """Makes one transition (state << 8 | byte -> target << 8, emitted code), and its target if that is new."""
         state, byte = move >> 8, move & 255
         root, tail, ends = self._states[state]
         tail += bytes((byte,))
@@ -102,13 +103,13 @@ class Transducer:
             if parent not in meet:
                 meet.append(parent)
                 meet.sort()
-        cut, out = meet[0], None
+        cut, code = meet[0], b""
         if cut:
             out, j = [], cut
             while j:
                 out.append(ends[j - 1] >> 8)
                 j = ends[j - 1] & 255
-            out.reverse()
+            code = self.code_of(reversed(out))
             root, tail = ends[cut - 1] >> 8, tail[cut:]
             alive, kept = {cut}, []
             for i in range(cut + 1, n + 1):
@@ -119,41 +120,51 @@ class Transducer:
                 else:
                     kept.append(-1)
             ends = tuple(kept)
-        target = self._numbers.get((root, tail))
+        # The token before the tail matters only while a token may still start right after it.
+        key = (root, tail) if not tail or tail in prefixes else (ends, tail)
+        target = self._numbers.get(key)
         if target is None:
-            target = self._numbers[root, tail] = len(self._states)
+            target = self._numbers[key] = len(self._states)
             self._states.append((root, tail, ends))
-        made = self._moves[move] = (target << 8, out)
+        made = self._moves[move] = (target << 8, code)
         return made
 
-    def _rest(self, state: int) -> tuple[int, ...]:
+    def _rest(self, state: int) -> bytes:
         _, tail, ends = self._states[state]
         out, j = [], len(tail)
         while j:
             out.append(ends[j - 1] >> 8)
             j = ends[j - 1] & 255
-        rest = self._last[state] = tuple(reversed(out))
-        return rest
+        code = self._last[state] = self.code_of(reversed(out))
+        return code
+
+    @staticmethod
+    def code_of(tokens: Iterable[int]) -> bytes:
+        """Ids in decimal, each after a space: the transducer's output alphabet."""
+        return b"".join([b" %d" % t for t in tokens])
 
-    def stream(self, piece: Iterable[int]) -> Iterator[list[int]]:
-        """Tokens of a piece, in lists, as soon as they are certain."""
+    def stream(self, piece: Iterable[int]) -> Iterator[int]:
+        """Tokens of a piece as soon as they are certain."""
         state, known = 0, self._moves.get
         for byte in piece:
-            state, out = known(state | byte) or self._step(state | byte)
-            if out:
-                yield out
-        yield list(self._last.get(state >> 8) or self._rest(state >> 8))
+            state, code = known(state | byte) or self._step(state | byte)
+            yield from map(int, code.split())
+        yield from map(int, (self._last.get(state >> 8) or self._rest(state >> 8)).split())
 
-    def encode(self, piece: bytes) -> list[int]:
+    def encode(self, piece: bytes) -> bytes:
+        """Code of a whole piece."""
         whole = self.ranks.get(piece)
         if whole is not None:
-            return [whole]
+            return b" %d" % whole
         if len(self._moves) > CACHED_STATES:
             self._reset()
-        tokens: list[int] = []
-        for out in self.stream(piece):
-            tokens += out
-        return tokens
+        state, known, codes = 0, self._moves.get, []
+        for byte in piece:
+            state, code = known(state | byte) or self._step(state | byte)
+            if code:
+                codes.append(code)
+        codes.append(self._last.get(state >> 8) or self._rest(state >> 8))
+        return b"".join(codes)
 
 
 class Utf8Stream:
@@ -197,7 +208,7 @@ class _Codes(dict):
         self.transducer, self.before = transducer, {}
 
     def __missing__(self, piece: str) -> bytes:
-        code = self.before.get(piece) or b"".join([b" %d" % i for i in self.transducer.encode(piece.encode())])
+        code = self.before.get(piece) or self.transducer.encode(piece.encode())
         if len(piece) <= CACHED_LENGTH:
             if len(self) >= CACHED_PIECES:
                 self.before = dict(self)
