@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from censusloom.catalog.queries import RATIOS
+
 BLOCKS: dict[str, str] = {}
 
 # -- persons (lineitem) --------------------------------------------------------
@@ -59,7 +61,8 @@ UNION ALL SELECT '26', NULL, false UNION ALL SELECT '27', '9', false"""
 
 BLOCKS["x_big"] = """
 SELECT department_code FROM x_birth WHERE department_code IN (SELECT department_code FROM x_dim)
-GROUP BY 1 HAVING SUM(w) >= 20000"""
+GROUP BY 1 HAVING SUM(w) >= (SELECT AVG(s) FROM (
+    SELECT SUM(w) AS s FROM x_birth WHERE department_code IN (SELECT department_code FROM x_dim) GROUP BY department_code) k)"""
 
 BLOCKS["x_own"] = """
 SELECT department_code, month, SUM(w) / SUM(SUM(w)) OVER (PARTITION BY department_code) AS month_ratio
@@ -145,11 +148,12 @@ FROM x_banded WHERE canton_code <> '' AND sex IS NOT NULL GROUP BY 1, 2, 3, 4, 5
 
 BLOCKS["x_trip"] = """
 SELECT dept AS department_code, sex, l_quantity AS w,
-       CASE WHEN l_linenumber <= 2 THEN '15' WHEN l_linenumber <= 5 THEN '18' ELSE '25' END AS age_group,
+       CASE WHEN dept = '25' OR (dept = '24' AND l_linenumber <= 2) OR l_linenumber > 5 THEN '25'
+            WHEN l_linenumber <= 2 THEN '15' ELSE '18' END AS age_group,
        CASE WHEN l_partkey % 107 <> 0
             THEN lpad(CAST((CASE WHEN l_partkey % 10 >= d % 10 THEN d ELSE l_suppkey % 25 END) + 1 AS VARCHAR), 2, '0')
                  || lpad(CAST((l_partkey + l_linenumber) % 20 AS VARCHAR), 3, '0') END AS study_commune
-FROM x_place WHERE dept <> '25' AND NOT (dept = '24' AND l_linenumber <= 2)"""
+FROM x_place"""
 
 BLOCKS["x_role"] = """
 SELECT * FROM (VALUES ('15', '15_19', CAST(0.75 AS DOUBLE), true), ('18', '15_19', CAST(0.25 AS DOUBLE), false),
@@ -285,10 +289,9 @@ WHERE population > 0"""
 
 BLOCKS["x_stable"] = finish("x_stable_raw")
 BLOCKS["x_aging"] = finish("x_aging_raw")
-# The monthly build runs 2022-2023: every birth month of the department is a snapshot.
+# Monthly, every birth month of the department is a snapshot.
 BLOCKS["x_monthly_raw"] = """
-SELECT s.* EXCLUDE (month), b.month FROM x_stable_raw s JOIN x_births b USING (department_code)
-WHERE year IN (2022, 2023)"""
+SELECT s.* EXCLUDE (month), b.month FROM x_stable_raw s JOIN x_births b USING (department_code)"""
 BLOCKS["x_monthly"] = finish("x_monthly_raw")
 
 
@@ -415,7 +418,7 @@ BLOCKS["x_t975"] = forward("AUTOMOBILE", "975", "975", "9750", 0)
 
 # -- queries --------------------------------------------------------------------------------------
 
-# name -> (SELECT, columns to round to six decimals)
+# name -> (SELECT, columns to round: RATIOS to twelve decimals, others to six)
 QUERIES: dict[str, tuple[str, str]] = {}
 
 
@@ -521,25 +524,39 @@ q("disaggregate_iris", """
 SELECT year, department_code, region_code, epci_code, commune_code, iris_code, confidence_pct, COUNT(*) AS cells,
        SUM(population) AS population, SUM(population_low) AS population_low, SUM(population_high) AS population_high
 FROM x_level_iris GROUP BY ALL""", "confidence_pct population population_low population_high")
-q("disaggregate_blended", "SELECT * FROM x_level_blend WHERE year IN (2022, 2023)", BOUNDS)
+# The same level over all ages: the stable projection without an age window, joined on the band of each age.
+BLOCKS["x_wide_raw"] = BLOCKS["x_stable_raw"].replace("s.age BETWEEN 15 AND 24", "s.age BETWEEN 0 AND 110")
+BLOCKS["x_wide"] = "SELECT * FROM (" + finish("x_wide_raw") + ") w"
+BAND = """CASE WHEN d.age >= 95 THEN '95_plus'
+     ELSE CAST(d.age - d.age % 5 AS VARCHAR) || '_' || CAST(d.age - d.age % 5 + 4 AS VARCHAR) END"""
+for lv, ratios in (("epci", "x_ratio_epci"), ("canton", "x_ratio_canton"), ("iris", "x_ratio_iris")):
+    q(f"all_ages_{lv}", f"""
+SELECT year, {lv}_code, r.age_band, COUNT(*) AS cells, SUM(d.population * geo_ratio) AS population
+FROM x_wide d JOIN {ratios} r ON r.department_code = d.department_code AND r.sex = d.sex AND r.age_band = {BAND}
+WHERE d.population * geo_ratio > 0 GROUP BY ALL""", "population")
+for lv, ratios, parent in (("epci", "x_ratio_epci", "x_monthly"), ("iris", "x_ratio_iris", "x_monthly_bare")):
+    BLOCKS[f"x_monthly_{lv}"] = level(parent, ratios, "0.03", f"department_code, {lv}_code")
+    q(f"monthly_{lv}", "SELECT year, month, department_code, COUNT(*) AS cells, SUM(population) AS population FROM ("
+      + expanded(f"x_monthly_{lv}", "l.department_code") + ") e GROUP BY ALL", "population")
+BLOCKS["x_monthly_bare"] = "SELECT * EXCLUDE (region_code) FROM x_monthly"
+q("disaggregate_blended", "SELECT * FROM x_level_blend", BOUNDS)
 q("expand_birth_month", "SELECT * FROM ("
-  + expanded("x_stable", "l.department_code, region_code") + ") e WHERE year IN (2022, 2023)", BOUNDS)
+  + expanded("x_stable", "l.department_code, region_code") + ") e", BOUNDS)
 q("expand_birth_month_iris", """
 SELECT department_code, iris_code, birth_month, COUNT(*) AS cells, SUM(population) AS population
-FROM (""" + expanded("x_level_iris", "l.department_code, iris_code") + """) e
-WHERE year IN (2022, 2023) GROUP BY ALL""", "population")
+FROM (""" + expanded("x_level_iris", "l.department_code, iris_code") + """) e GROUP BY ALL""", "population")
 q("yearly_downsample", """
 SELECT year, department_code, COUNT(*) AS cells, SUM(population) AS population
 FROM x_monthly WHERE month = 1 GROUP BY ALL""", "population")
 q("write_level", """
-SELECT epci_code, department_code, birth_month, COUNT(*) AS n, SUM(population) AS population
-FROM (""" + expanded("x_level_epci", "l.department_code, epci_code") + """) e WHERE year = 2023 GROUP BY ALL""", "population")
+SELECT year, epci_code, department_code, birth_month, COUNT(*) AS n, SUM(population) AS population
+FROM (""" + expanded("x_level_epci", "l.department_code, epci_code") + """) e GROUP BY ALL""", "population")
 q("export_levels", """
 SELECT 'department' AS level, year, month, COUNT(*) AS n, SUM(population) AS population
 FROM (""" + expanded("x_monthly", "l.department_code") + """) e GROUP BY ALL
 UNION ALL
 SELECT 'canton', year, month, COUNT(*), SUM(population)
-FROM (""" + expanded("x_level_canton", "l.department_code") + """) e WHERE year IN (2022, 2023) GROUP BY ALL""", "population")
+FROM (""" + expanded("x_level_canton", "l.department_code") + """) e GROUP BY ALL""", "population")
 
 q("row_count", "SELECT COUNT(*) AS n_rows FROM x_base")
 q("validation_stats", """
@@ -621,8 +638,8 @@ FROM (SELECT stddev_samp(geo_ratio) AS s FROM {t} WHERE age_band = '20_24' GROUP
     for stage, t in (("census", "x_ratio_epci"), ("corrected", "x_blend_epci"))
 ), "mean_stddev")
 q("precision_split", """
-SELECT department_code, SUM(population) FILTER (WHERE geo_precision = 'exact') AS exact_pop,
-       SUM(population) AS total_pop, SUM(population) FILTER (WHERE geo_precision = 'exact') / SUM(population) AS exact_pct
+SELECT department_code, SUM(population) FILTER (WHERE age >= 18) AS exact_pop,
+       SUM(population) AS total_pop, SUM(population) FILTER (WHERE age >= 18) / SUM(population) AS exact_pct
 FROM x_level_epci GROUP BY 1""", "exact_pop total_pop exact_pct")
 q("single_snapshot", """
 SELECT year, department_code, age, sex, COUNT(DISTINCT month) AS n_months FROM x_monthly
@@ -749,8 +766,8 @@ SELECT epci_code, department_code, CAST(SUM(enrolled) AS BIGINT) AS enrolled, an
 FROM x_enrol_degree JOIN x_commune ON commune_code = com_id JOIN x_students USING (epci_code)
 WHERE pop_20_24 > 100 GROUP BY 1, 2
 ORDER BY round(SUM(enrolled) / any_value(pop_20_24) * 100, 9) DESC, epci_code, department_code LIMIT 20""", "pop_20_24 ratio_pct")
-q("distinct_groups", "SELECT DISTINCT regroupement FROM x_enrol_row ORDER BY 1 LIMIT 30")
-q("preview_rows", "SELECT least(COUNT(*), 10) AS n FROM x_level_epci")
+q("distinct_groups", "SELECT DISTINCT regroupement FROM x_enrol_row")
+q("preview_rows", "SELECT least(COUNT(*), 10) AS n, least(COUNT(*), 10) AS members FROM x_level_epci")
 
 
 # The full build reads base cells with the territories appended, anchors the
@@ -773,7 +790,7 @@ UNION ALL SELECT * FROM x_t988 UNION ALL SELECT * FROM x_t975"""
 }
 q("full_build", " UNION ALL ".join(
     f"""SELECT '{lv}' AS level, year, department_code, region_code, COUNT(*) AS cells, SUM(population) AS population
-FROM {t} WHERE year IN (2022, 2023) GROUP BY ALL"""
+FROM {t} GROUP BY ALL"""
     for lv, t in (("department", "x_anchored"), ("epci", "x_full_epci"), ("canton", "x_full_canton"), ("iris", "x_full_iris"))
 ), "population")
 
@@ -801,7 +818,10 @@ def oracle_sql() -> dict[str, str]:
         text = "WITH " + ",\n".join(f"{b} AS ({known[b].strip()})" for b in needed) + "\n" if needed else ""
         if columns:
             # Nudged off decimal ties, like the Spark side.
-            replaced = ", ".join(f'round("{c}" + CAST(1e-9 AS DOUBLE), 6) AS "{c}"' for c in columns.split())
+            replaced = ", ".join(
+                f'round("{c}", 12) AS "{c}"' if c in RATIOS else f'round("{c}" + CAST(1e-9 AS DOUBLE), 6) AS "{c}"'
+                for c in columns.split()
+            )
             sql = f"SELECT * REPLACE ({replaced}) FROM ({sql.strip()}) final_rows"
         result[name] = text + sql.strip()
     return result

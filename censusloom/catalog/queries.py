@@ -8,6 +8,7 @@ such ties differently.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -16,14 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from censusloom import functions as fn
-from censusloom.catalog.testbed import BIG_DEPARTMENT, CENSUS_YEAR, EXCLUDED, WINDOW, Testbed
+from censusloom.catalog.testbed import CENSUS_YEAR, EXCLUDED, WINDOW, Testbed
 from censusloom.config import Config, Territory
 from censusloom.operators import base as base_ops
 from censusloom.operators import births as birth_ops
 from censusloom.operators import mobility, projection, quality, reconcile, shares
 from censusloom.operators.disaggregate import disaggregate, expand_birth_month
 from censusloom.plans.build import Inputs, build_levels
-from censusloom.plans.storage import shared_folder
+from censusloom.plans.storage import run_folder
 from censusloom.sinks.export import export_levels, write_level
 from censusloom.sources import (
     commune_lookup,
@@ -31,15 +32,25 @@ from censusloom.sources import (
     expand_bands,
     pyramid_unpivot,
     read_birth_months,
+    read_census,
+    read_cog,
+    read_commune_records,
     read_enrolment,
+    read_flows,
     read_level,
     read_pyramid_csv,
+    read_semicolon,
 )
 from censusloom.sources.external import DEGREE_GROUPS
 
 YEAR = 2024
-SHORT = replace(WINDOW, start_year=2022, end_year=2023)
-MONTHLY = replace(SHORT, monthly=True)
+MONTHLY = replace(WINDOW, monthly=True)
+ALL_AGES = replace(WINDOW, min_age=0, max_age=110)
+# Compared to twelve digits; everything else is a number of persons, compared to six.
+RATIOS = (
+    "geo_ratio", "study_geo_ratio", "month_ratio", "dept_share", "mobility_rate", "blend_weight", "intra_frac", "ratio_sum",
+    "mean_stddev", "vs_january", "change", "decimal_age", "confidence_pct",
+)
 PIVOT_CODES = ("E0_0", "E3_1", "E7_2", "E11_3")
 LEVEL_KEYS = ["year", "month", "department_code", "age", "sex"]
 
@@ -64,13 +75,14 @@ def query(name: str, cfg: Config = WINDOW):
     return register
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(
-        *[
-            F.round(F.col(f"`{f.name}`") + 1e-9, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
-            for f in df.schema.fields
-        ]
-    )
+def rounded(df: DataFrame) -> DataFrame:
+    def one(field: T.StructField):
+        value = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, T.DoubleType):
+            return value
+        return (F.round(value, 12) if field.name in RATIOS else F.round(value + 1e-9, 6)).alias(field.name)
+
+    return df.select(*[one(f) for f in df.schema.fields])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -86,7 +98,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 @query("census_scan")
 def _(b):
     """S1: raw columns, profiled per department code as published."""
-    return b.census.groupBy("DEPT", "REGION", "SEXE").agg(
+    census = read_census(b.spark, b.file(b.census, "parquet"))
+    return census.groupBy("DEPT", "REGION", "SEXE").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(fn.weight(F.col("IPONDI"))).alias("weight"),
         F.count_if(F.col("ANAI").isNull()).alias("no_birth_year"),
@@ -106,25 +119,27 @@ def _(b):
 @query("flow_cells")
 def _(b):
     """S3, F2, F9: the commuting file as cells."""
-    return mobility.flow_cells(b.flows)
+    return mobility.flow_cells(read_flows(b.spark, b.file(b.flows, "parquet")))
 
 
 @query("commune_lookup")
 def _(b):
-    """S4."""
-    return commune_lookup(b.commune_records)
+    """S4, of one record per line."""
+    return commune_lookup(read_commune_records(b.spark, b.file(b.commune_records, "json"), lines=True))
 
 
 @query("commune_reference")
 def _(b):
     """S5."""
-    return b.cog
+    published = b.cog.select(F.col("commune_code").alias("COM"), F.col("department_code").alias("DEP"), F.col("canton_code").alias("CAN"))
+    return read_cog(b.spark, b.file(published, "csv", header=True))
 
 
 @query("pyramid_csv")
 def _(b):
     """S6."""
-    rows = read_pyramid_csv(b.pyramid_csv, 2019)
+    path = b.file(b.pyramid_csv, "csv", header=True, sep=";", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    rows = read_pyramid_csv(read_semicolon(b.spark, path), 2019)
     return rows.groupBy("age", "sex").agg(F.count(F.lit(1)).alias("n"), F.sum("population").alias("population"))
 
 
@@ -137,7 +152,7 @@ def _(b):
 @query("enrolment")
 def _(b):
     """S8, all courses."""
-    return read_enrolment(b.enrolment_rows, 2022)
+    return read_enrolment(read_semicolon(b.spark, b.file(b.enrolment_rows, "csv", header=True, sep=";")), 2022)
 
 
 @query("enrolment_degrees")
@@ -253,7 +268,7 @@ def _(b):
 @query("birth_month_own")
 def _(b):
     """M1, M3."""
-    big = birth_ops.big_groups(b.birth_cells, b.departments, BIG_DEPARTMENT)
+    big = birth_ops.big_groups(b.birth_cells, b.departments, b.big_department)
     cells = b.birth_cells.join(big, "department_code", "left_semi")
     return birth_ops.month_shares(cells, ["department_code", "month"], ["department_code"])
 
@@ -355,7 +370,7 @@ def _(b):
 @query("intra_fraction")
 def _(b):
     """Y8."""
-    return mobility.intra_fraction(b.mobility.to_iris)
+    return b.mobility.intra
 
 
 @query("blend_iris")
@@ -443,22 +458,64 @@ def _(b):
     )
 
 
-@query("disaggregate_blended", SHORT)
+def _by_band(df, level):
+    return (
+        df.groupBy("year", f"{level}_code", fn.age_band(F.col("age")).alias("age_band"))
+        .agg(F.count(F.lit(1)).alias("cells"), F.sum("population").alias("population"))
+    )
+
+
+@query("all_ages_epci", ALL_AGES)
+def _(b):
+    """J12 over all twenty bands."""
+    return _by_band(b.level("epci"), "epci")
+
+
+@query("all_ages_canton", ALL_AGES)
+def _(b):
+    """J13 over all twenty bands."""
+    return _by_band(b.level("canton"), "canton")
+
+
+@query("all_ages_iris", ALL_AGES)
+def _(b):
+    """J14 over all twenty bands."""
+    return _by_band(b.level("iris"), "iris")
+
+
+def _monthly(b, level):
+    rows = expand_birth_month(b.level(level), b.births_table, level)
+    return rows.groupBy("year", "month", "department_code").agg(F.count(F.lit(1)).alias("cells"), F.sum("population").alias("population"))
+
+
+@query("monthly_epci", MONTHLY)
+def _(b):
+    """J12, J16: 144 rows per cell, a birth month for every snapshot month."""
+    return _monthly(b, "epci")
+
+
+@query("monthly_iris", MONTHLY)
+def _(b):
+    """J14, J16 in monthly mode."""
+    return _monthly(b, "iris")
+
+
+@query("disaggregate_blended")
 def _(b):
     """J12 after the mobility correction."""
-    return disaggregate(b.parent, b.blended_epci, "epci", spread=b.cfg.spread)
+    return disaggregate(b.parent, b.blended_epci, "epci")
 
 
-@query("expand_birth_month", SHORT)
+@query("expand_birth_month")
 def _(b):
     """J16."""
-    return expand_birth_month(b.stable, b.births_table, "department", b.cfg.spread)
+    return expand_birth_month(b.stable, b.births_table, "department")
 
 
-@query("expand_birth_month_iris", SHORT)
+@query("expand_birth_month_iris")
 def _(b):
     """J16 at the finest level, listed per area and birth month."""
-    rows = expand_birth_month(b.level("iris"), b.births_table, "iris", b.cfg.spread)
+    rows = expand_birth_month(b.level("iris"), b.births_table, "iris")
     return rows.groupBy("department_code", "iris_code", "birth_month").agg(
         F.count(F.lit(1)).alias("cells"), F.sum("population").alias("population")
     )
@@ -474,7 +531,7 @@ def _(b):
     )
 
 
-@query("full_build", SHORT)
+@query("full_build")
 def _(b):
     """J17: the whole run with anchoring, territories and mobility, listed per level."""
     inputs = Inputs(
@@ -500,13 +557,12 @@ def _(b):
 # -- sinks ------------------------------------------------------------------------------
 
 
-@query("write_level", SHORT)
+@query("write_level")
 def _(b):
-    """K1, K4: written, read back from one year's folder."""
-    folder = _export_folder(b.spark)
-    path = write_level(b.level("epci"), b.births_table, "epci", f"{folder}/population_epci", spread=b.cfg.spread)
-    back = b.spark.read.parquet(path).where("year = 2023")
-    return back.groupBy("epci_code", "department_code", "birth_month").agg(
+    """K1, K4: written and read back, all years."""
+    path = write_level(b.level("epci"), b.births_table, "epci", f"{_export_folder(b.spark)}/population_epci")
+    back = b.spark.read.parquet(path)
+    return back.groupBy("year", "epci_code", "department_code", "birth_month").agg(
         F.count(F.lit(1)).alias("n"), F.sum("population").alias("population")
     )
 
@@ -516,7 +572,7 @@ def _(b):
     """K2, K3: department monthly, cantons yearly."""
     folder = _export_folder(b.spark)
     levels = {level: b.level(level) for level in ("department", "canton")}
-    paths = export_levels(levels, b.births_table, folder, list(levels), ["canton"], b.cfg.spread)
+    paths = export_levels(levels, b.births_table, folder, list(levels), ["canton"])
     return fn.union_all(
         [
             b.spark.read.parquet(path)
@@ -528,12 +584,7 @@ def _(b):
 
 
 def _export_folder(spark: SparkSession) -> str:
-    import uuid
-
-    folder = shared_folder(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
-    return f"{folder.rstrip('/')}/censusloom/{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}"
 
 
 # -- quality -----------------------------------------------------------------------------
@@ -639,8 +690,9 @@ def _(b):
 
 @query("precision_split")
 def _(b):
-    """Q15."""
-    return quality.precision_split(b.level("epci"))
+    """Q15, with some cells estimated."""
+    known = F.when(F.col("age") >= 18, F.lit("exact")).otherwise(F.lit("estimated"))
+    return quality.precision_split(b.level("epci").withColumn("geo_precision", known))
 
 
 @query("single_snapshot", MONTHLY)
@@ -661,25 +713,25 @@ def _(b):
 @query("region_diff")
 def _(b):
     """R2."""
-    return reconcile.region_diff(b.stable, b.reference, YEAR)
+    return reconcile.region_diff(b.stable, b.reference, YEAR, b.ages)
 
 
 @query("subband_shares")
 def _(b):
     """R3."""
-    return reconcile.subband_shares(b.stable, b.reference, YEAR)
+    return reconcile.subband_shares(b.stable, b.reference, YEAR, ages=b.ages)
 
 
 @query("sex_ratio")
 def _(b):
     """R4."""
-    return reconcile.sex_ratio(b.stable, b.reference, YEAR)
+    return reconcile.sex_ratio(b.stable, b.reference, YEAR, b.ages)
 
 
 @query("year_drift")
 def _(b):
     """R5."""
-    return reconcile.year_drift(b.stable, b.reference)
+    return reconcile.year_drift(b.parent, b.reference, b.ages)
 
 
 @query("epci_coverage")
@@ -807,8 +859,11 @@ def _(b):
 
 @query("preview_rows")
 def _(b):
-    """K5: any ten rows, so only their number can be compared."""
+    """K5: any ten rows, so their number is compared, and how many of them are rows of the level."""
     from censusloom.sinks.export import preview
 
-    return preview(b.level("epci")).agg(F.count(F.lit(1)).alias("n"))
+    rows = b.level("epci")
+    shown = preview(rows).select("year", "epci_code", "age", "sex", "population")
+    same = shown.join(rows.select(*shown.columns), shown.columns, "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("n")).withColumn("members", fn.single(same, F.count(F.lit(1))))
 

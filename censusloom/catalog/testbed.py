@@ -8,18 +8,20 @@ is a projection or a group-by, so a query's work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusloom.config import NO_GEO, Config
+from censusloom.functions import single
 from censusloom.operators import base as base_ops
 from censusloom.operators import births as birth_ops
 from censusloom.operators import mobility, projection, shares
 from censusloom.operators.disaggregate import disaggregate
 from censusloom.plans.build import Mobility
-from censusloom.plans.storage import settle, settle_all
+from censusloom.plans.storage import run_folder, settle, settle_all
 from censusloom.sources import (
     bands_from_labels,
     commune_lookup,
@@ -31,7 +33,6 @@ from censusloom.sources.pyramids import band_labels
 
 CENSUS_YEAR = 2022
 EXCLUDED = ("22", "23")
-BIG_DEPARTMENT = 20_000.0
 # The window most queries project: every age band edge and confidence step occurs.
 WINDOW = Config(
     census_year=CENSUS_YEAR,
@@ -40,7 +41,6 @@ WINDOW = Config(
     min_age=15,
     max_age=24,
     excluded_codes=EXCLUDED,
-    big_department_weight=BIG_DEPARTMENT,
 )
 PYRAMID_AGES = [str(a) for a in range(10)] + ["100 ou plus"]
 
@@ -59,6 +59,16 @@ class Testbed:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def file(self, df: DataFrame, kind: str, **options: str | bool) -> str:
+        """Write a derived frame as the file it would be published as; returns its path."""
+        path = f"{run_folder(self.spark)}/{uuid.uuid4().hex}/published"
+        df.write.format(kind).options(**options).save(path)
+        return path
+
+    @property
+    def ages(self) -> tuple[int, int]:
+        return self.cfg.min_age, self.cfg.max_age
+
     # -- microdata -----------------------------------------------------------
 
     @property
@@ -118,10 +128,12 @@ class Testbed:
     def flows(self) -> DataFrame:
         part, line = F.col("l_partkey"), F.col("l_linenumber")
         study = F.when(part % 10 >= F.col("d") % 10, F.col("d")).otherwise(F.col("l_suppkey") % 25)
-        return self._persons.where(~((F.col("d") == 24) | ((F.col("d") == 23) & (line <= 2)))).select(
+        # Nobody of one department studies, and of another nobody in the younger group.
+        idle = (F.col("d") == 24) | ((F.col("d") == 23) & (line <= 2))
+        return self._persons.select(
             code(F.col("place"), 5).alias("COMMUNE"),
             F.when(part % 107 != 0, code((study + 1) * 1000 + (part + line) % 20, 5)).alias("DCETUF"),
-            F.when(line <= 2, F.lit("15")).when(line <= 5, F.lit("18")).otherwise(F.lit("25")).alias("AGEREV10"),
+            F.when(idle | (line > 5), F.lit("25")).when(line <= 2, F.lit("15")).otherwise(F.lit("18")).alias("AGEREV10"),
             self._sex.alias("SEXE"),
             F.col("l_quantity").cast("int").cast("string").alias("IPONDI"),
         )
@@ -353,9 +365,15 @@ class Testbed:
         self.prepare("base", "lookup", "flow_cells")
         return Mobility(self.base, self.lookup, self.flow_cells, self.cfg)
 
+    @property
+    def big_department(self) -> Column:
+        """The mean weight of a known department: at any size some are above it and some below."""
+        known = self.birth_cells.join(self.departments.select("department_code"), "department_code", "left_semi")
+        return single(known.groupBy("department_code").agg(F.sum("weight").alias("weight")), F.avg("weight"))
+
     @property
     def births(self) -> DataFrame:
-        return birth_ops.birth_month_distribution(self.birth_cells, self.departments, BIG_DEPARTMENT)
+        return birth_ops.birth_month_distribution(self.birth_cells, self.departments, self.big_department)
 
     @cached_property
     def births_table(self) -> DataFrame:
@@ -392,4 +410,4 @@ class Testbed:
         if level == "department":
             return self.parent
         self.prepare("base", "lookup")
-        return disaggregate(self.parent, self.ratios(level), level, spread=self.cfg.spread)
+        return disaggregate(self.parent, self.ratios(level), level)

@@ -7,7 +7,7 @@ from censusloom.functions.codes import (
     iris_or_commune,
     usable_iris,
 )
-from censusloom.functions.frames import safe_ratio, share_within, single, sized_join, spread_join, union_all
+from censusloom.functions.frames import safe_ratio, share_within, single, union_all, unique
 from censusloom.functions.measures import (
     age_label,
     age_window,

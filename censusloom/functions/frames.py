@@ -1,4 +1,4 @@
-"""Shapes shared by the operators: shares, skew-proof joins, unions."""
+"""Shapes shared by the operators: shares, scalar aggregates, unions."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a joined side is broadcast: some tens of megabytes.
-BROADCAST_ROWS = 500_000
-
-
 def safe_ratio(part: Column, total: Column) -> Column:
     """part / total where the total is positive, else 0."""
     return F.when(total > 0, part / total).otherwise(F.lit(0.0))
@@ -20,49 +16,25 @@ def safe_ratio(part: Column, total: Column) -> Column:
 def share_within(df: DataFrame, within: Sequence[str], value: str, out: str) -> DataFrame:
     """Replace ``value`` by its share of the group total; rows with a NULL key drop out.
 
-    The total is a partial-aggregated group-by joined back, not a window: a window
-    would gather each whole group in one task, and one department can hold a
-    third of all areas. The totals are a row per group, which Spark broadcasts
-    once it has seen their size.
+    The groups are cells of code lists (departments or regions, age bands, sexes: some thousands at most, however many
+    persons or areas there are), so their totals are broadcast and the rows of ``df`` stay where they are. A window, or
+    a join on the group, would gather each group in one task, and one department can hold a third of all areas.
     """
     totals = df.groupBy(*within).agg(F.sum(value).alias("_total"))
     return (
-        df.join(totals, list(within))
+        df.join(F.broadcast(totals), list(within))
         .withColumn(out, safe_ratio(F.col(value), F.col("_total")))
         .drop("_total", *([] if out == value else [value]))
     )
 
 
-def sized_join(
-    large: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    by: Sequence[str],
-    slices: int = 16,
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Inner join on few distinct keys that multiplies rows.
-
-    ``small`` is counted first (pass a settled table: that reads its footers) and
-    broadcast up to ``max_rows`` rows. Beyond that the join is spread.
-    """
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return large.join(F.broadcast(small), list(keys))
-    return spread_join(large, small, keys, by, slices)
-
-
-def spread_join(
-    large: DataFrame, small: DataFrame, keys: Sequence[str], by: Sequence[str], slices: int
-) -> DataFrame:
-    """Inner join that never sends a hot key to one task.
-
-    Rows of ``large`` are cut into ``slices`` by a hash of ``by``; ``small`` is
-    repeated once per slice. It is sort-merged, because Spark's size estimate does
-    not count the repetition and might broadcast it.
-    """
-    cut = large.withColumn("_slice", F.pmod(F.xxhash64(*by), F.lit(slices)).cast("int"))
-    copies = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return cut.join(copies.hint("merge"), [*keys, "_slice"]).drop("_slice")
+def unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """``df`` as it is, or an error that names a key which occurs more than once. Checked when the frame is read."""
+    rest = [c for c in df.columns if c not in keys]
+    named = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    rows = df.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
+    only = F.when(F.size("_rows") == 1, F.col("_rows")[0]).otherwise(F.raise_error(F.concat(F.lit(f"{what}: more than one row for "), named)))
+    return rows.withColumn("_row", only).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def single(df: DataFrame, *columns: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusloom.config import BIG_DEPARTMENT_WEIGHT, known_departments
@@ -35,7 +35,7 @@ def month_shares(cells: DataFrame, keys: Sequence[str], within: Sequence[str] =
     return shares.select(*keys, "month_ratio")
 
 
-def big_groups(cells: DataFrame, departments: DataFrame, threshold: float = BIG_DEPARTMENT_WEIGHT) -> DataFrame:
+def big_groups(cells: DataFrame, departments: DataFrame, threshold: float | Column = BIG_DEPARTMENT_WEIGHT) -> DataFrame:
     """Known departments heavy enough to have a distribution of their own."""
     return (
         cells.groupBy("department_code")
@@ -47,7 +47,7 @@ def big_groups(cells: DataFrame, departments: DataFrame, threshold: float = BIG_
 
 
 def birth_month_distribution(
-    cells: DataFrame, departments: DataFrame, threshold: float = BIG_DEPARTMENT_WEIGHT
+    cells: DataFrame, departments: DataFrame, threshold: float | Column = BIG_DEPARTMENT_WEIGHT
 ) -> DataFrame:
     """(department_code, month, month_ratio) for every department of the dimension.
 

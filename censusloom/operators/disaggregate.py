@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from censusloom.config import CONFIDENCE_EXTRA
-from censusloom.functions import age_band, months_between_firsts, positive, sized_join
-from censusloom.schemas import LEVEL_CODE, LEVEL_GEO, check_level
+from censusloom.functions import age_band, months_between_firsts, positive
+from censusloom.schemas import LEVEL_GEO, check_level
 
 
 def disaggregate(
-    departments: DataFrame, ratios: DataFrame, level: str, extra: float | None = None, spread: int = 16
+    departments: DataFrame, ratios: DataFrame, level: str, extra: float | None = None
 ) -> DataFrame:
     """Department population x area share, with a wider margin.
 
-    The key (department, band, sex) has few values and fans out into every age,
-    year and month of the band: the departments are broadcast if counted small, and
-    else the share side is cut by area code. The region is the department's for an EPCI and the area's own otherwise.
+    One plain join at every size: Spark broadcasts the departments below its byte threshold and shuffles both sides
+    above. Shuffled, a department's rows fall apart into its forty keys (band, sex), so one that holds a third of all
+    areas spreads over forty tasks. The region is the department's for an EPCI and the area's own otherwise.
     """
     check_level(level)
     extra = CONFIDENCE_EXTRA[level] if extra is None else extra
@@ -29,7 +29,7 @@ def disaggregate(
         parent = parent.drop("region_code")
     margin = F.col("confidence_pct") + F.lit(extra)
     people = F.col("population") * F.col("geo_ratio")
-    joined = sized_join(area, parent, ["department_code", "age_band", "sex"], [LEVEL_CODE[level]], spread)
+    joined = area.join(parent, ["department_code", "age_band", "sex"])
     return joined.where(positive(people)).select(
         "year",
         "month",
@@ -47,20 +47,19 @@ def disaggregate(
     )
 
 
-def expand_birth_month(level_df: DataFrame, births: DataFrame, level: str, spread: int = 16) -> DataFrame:
+def expand_birth_month(level_df: DataFrame, births: DataFrame, level: str) -> DataFrame:
     """Split every row over the birth months of its department (up to twelve rows).
 
-    Kept last: with the births broadcast (twelve rows per department) it moves no
-    row. Departments without birth months drop out.
+    Kept last: the births are broadcast, as they have twelve rows for each code of the department list at most, so no
+    row moves. Departments without birth months drop out.
     """
     check_level(level)
     geo = LEVEL_GEO[level]
     months = births.select("department_code", F.col("month").alias("birth_month"), "month_ratio")
     born = F.make_date(F.col("year") - F.col("age"), F.col("birth_month"), F.lit(1))
     people = F.col("population") * F.col("month_ratio")
-    by = [LEVEL_CODE[level], "year", "month", "age", "sex"]
     return (
-        sized_join(level_df, months, ["department_code"], by, spread)
+        level_df.join(F.broadcast(months), "department_code")
         .where(positive(people))
         .select(
             "year",

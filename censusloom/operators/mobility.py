@@ -18,7 +18,6 @@ from censusloom.functions import (
     department_of,
     safe_ratio,
     share_within,
-    sized_join,
     usable_iris,
     weight,
 )
@@ -140,7 +139,8 @@ def _mixed_share(df: DataFrame, totals: DataFrame) -> DataFrame:
     present = (1.0 - sw) * F.when(F.col("_main") > 0, 1.0).otherwise(0.0) + sw * F.when(
         F.col("_secondary") > 0, 1.0
     ).otherwise(0.0)
-    return df.join(totals, ORIGIN).withColumn("study_geo_ratio", safe_ratio(mixed, present))
+    # A row for each band, department and sex.
+    return df.join(F.broadcast(totals), ORIGIN).withColumn("study_geo_ratio", safe_ratio(mixed, present))
 
 
 def _origin_totals(df: DataFrame) -> DataFrame:
@@ -176,24 +176,21 @@ def iris_commune_share(base: DataFrame, lookup: DataFrame) -> DataFrame:
     return areas.join(totals, "commune_code")
 
 
-def student_flows_iris(cells: DataFrame, share: DataFrame, roles: DataFrame, spread: int = 16) -> DataFrame:
-    """Where a department's students study, by area.
-
-    The shares of study communes are worked out first, on the small commune-level
-    cells. Splitting a commune over its areas is the last step and the only one that
-    multiplies rows; past the broadcast size it is cut by origin, so that one big
-    commune spreads out.
-    """
+def student_flows_commune(cells: DataFrame, share: DataFrame, roles: DataFrame) -> DataFrame:
+    """Where a department's students study, by commune that has areas."""
     communes = share.select("commune_code", "commune_pop").distinct()
     flows = _by_role(cells, roles, ["department_code", "study_commune", "sex"]).withColumnRenamed(
         "study_commune", "commune_code"
     )
     reached = flows.join(communes, "commune_code")
     totals = _origin_totals(reached.where(F.col("commune_pop") > 0))
-    by_commune = _mixed_share(reached.drop("commune_pop"), totals).select(
-        *ORIGIN, "commune_code", F.col("study_geo_ratio").alias("_commune_ratio")
+    return _mixed_share(reached.drop("commune_pop"), totals).select(
+        *ORIGIN, "commune_code", F.col("study_geo_ratio").alias("commune_ratio")
     )
-    areas = share.select(
+
+
+def _areas(share: DataFrame) -> DataFrame:
+    return share.select(
         F.col("department_code").alias("iris_dept"),
         "region_code",
         "commune_code",
@@ -201,7 +198,10 @@ def student_flows_iris(cells: DataFrame, share: DataFrame, roles: DataFrame, spr
         "epci_code",
         safe_ratio(F.col("iris_pop"), F.col("commune_pop")).alias("_area_share"),
     )
-    return sized_join(by_commune, areas, ["commune_code"], ORIGIN, spread).select(
+
+
+def _placed(joined: DataFrame) -> DataFrame:
+    return joined.select(
         "age_band",
         "department_code",
         "iris_dept",
@@ -210,10 +210,28 @@ def student_flows_iris(cells: DataFrame, share: DataFrame, roles: DataFrame, spr
         "iris_code",
         "epci_code",
         "sex",
-        (F.col("_commune_ratio") * F.col("_area_share")).alias("study_geo_ratio"),
+        (F.col("commune_ratio") * F.col("_area_share")).alias("study_geo_ratio"),
     )
 
 
+def student_flows_iris(by_commune: DataFrame, share: DataFrame) -> DataFrame:
+    """Where a department's students study, by area of any department.
+
+    The shares of study communes are worked out before, on small commune-level cells; splitting a commune over its
+    areas is the last step and the only one that multiplies rows. The key is the commune, of which there are thousands.
+    """
+    return _placed(by_commune.join(_areas(share), "commune_code"))
+
+
+def local_flows_iris(by_commune: DataFrame, share: DataFrame) -> DataFrame:
+    """The same, of areas in the students' own department only: a row per area, band and sex at most.
+
+    The department is part of the join key, so flows that leave it are never split over areas.
+    """
+    areas = _areas(share).withColumn("department_code", F.col("iris_dept"))
+    return _placed(by_commune.join(areas, ["commune_code", "department_code"]))
+
+
 def _split_bands(base_ratios: DataFrame, bands: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     student = F.col("age_band").isin(list(bands))
     return base_ratios.where(~student), base_ratios.where(student)
@@ -234,8 +252,9 @@ def blend_epci(
     study = flows.select("department_code", "epci_code", "age_band", "sex", "study_geo_ratio")
     lived = student.select(*columns).join(study, ["department_code", "epci_code", "age_band", "sex"], "left")
     only_study = (
-        study.join(student.select(*group).distinct(), group, "left_anti")
-        .join(base_ratios.select("department_code", "sex").distinct(), ["department_code", "sex"], "left_semi")
+        # Groups, and below the weights, have a row for each department, band and sex at most.
+        study.join(F.broadcast(student.select(*group).distinct()), group, "left_anti")
+        .join(F.broadcast(base_ratios.select("department_code", "sex").distinct()), ["department_code", "sex"], "left_semi")
         .withColumn("geo_ratio", F.lit(0.0))
     )
     w, lives = F.col("blend_weight"), F.coalesce("geo_ratio", F.lit(0.0))
@@ -243,7 +262,7 @@ def blend_epci(
     raw = (
         lived.unionByName(only_study)
         .where(F.col("sex").isNotNull() & ((lives > 0) | (studies > 0)))
-        .join(weights.select("department_code", "age_band", "blend_weight"), ["department_code", "age_band"])
+        .join(F.broadcast(weights.select("department_code", "age_band", "blend_weight")), ["department_code", "age_band"])
         .select(
             "department_code", "epci_code", "age_band", "sex", ((1.0 - w) * lives + w * studies).alias("geo_ratio")
         )
@@ -251,14 +270,26 @@ def blend_epci(
     return unchanged.select(*columns).unionByName(share_within(raw, group, "geo_ratio", "geo_ratio").select(*columns))
 
 
-def intra_fraction(flows_iris: DataFrame) -> DataFrame:
-    """Part of an origin's students who study inside their own department."""
-    stays = F.when(F.col("iris_dept") == F.col("department_code"), F.col("study_geo_ratio")).otherwise(F.lit(0.0))
-    return flows_iris.groupBy(*ORIGIN).agg(F.sum(stays).alias("intra_frac"))
+def intra_fraction(by_commune: DataFrame, share: DataFrame) -> DataFrame:
+    """Part of an origin's students who study inside their own department.
+
+    Worked out by commune: its share of the students times the part of its persons in that department.
+    """
+    parts = share.groupBy("commune_code", "department_code").agg(
+        F.sum(safe_ratio(F.col("iris_pop"), F.col("commune_pop"))).alias("_part")
+    )
+    stays = F.col("commune_ratio") * F.coalesce("_part", F.lit(0.0))
+    return (
+        by_commune.join(parts, ["commune_code", "department_code"], "left").groupBy(*ORIGIN).agg(F.sum(stays).alias("intra_frac"))
+    )
 
 
 def blend_iris(
-    base_ratios: DataFrame, flows_iris: DataFrame, weights: DataFrame, bands: Iterable[StudentBand] = STUDENT_BANDS
+    base_ratios: DataFrame,
+    local_flows: DataFrame,
+    intra: DataFrame,
+    weights: DataFrame,
+    bands: Iterable[StudentBand] = STUDENT_BANDS,
 ) -> DataFrame:
     """Move student-band area shares towards areas of study inside the department.
 
@@ -270,16 +301,15 @@ def blend_iris(
         "department_code", "region_code", "commune_code", "iris_code", "epci_code", "age_band", "sex", "geo_ratio",
     ]
     unchanged, student = _split_bands(base_ratios, [b.age_band for b in bands])
-    local = flows_iris.where(F.col("iris_dept") == F.col("department_code")).select(
-        "department_code", "iris_code", "age_band", "sex", "study_geo_ratio"
-    )
+    local = local_flows.select("department_code", "iris_code", "age_band", "sex", "study_geo_ratio")
     w, p = F.col("blend_weight"), F.coalesce("intra_frac", F.lit(0.0))
     raw = (
         student.select(*columns)
         .where(F.col("sex").isNotNull())
         .join(local, ["department_code", "iris_code", "age_band", "sex"], "left")
-        .join(weights.select("department_code", "age_band", "blend_weight"), ["department_code", "age_band"])
-        .join(intra_fraction(flows_iris), group, "left")
+        # Weights and staying parts have a row for each department, band and sex at most.
+        .join(F.broadcast(weights.select("department_code", "age_band", "blend_weight")), ["department_code", "age_band"])
+        .join(F.broadcast(intra), group, "left")
         .withColumn(
             "geo_ratio", (1.0 - w * p) * F.col("geo_ratio") + w * F.coalesce("study_geo_ratio", F.lit(0.0))
         )

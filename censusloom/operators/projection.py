@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusloom.config import Config
-from censusloom.functions import age_window, confidence, months_between_firsts, positive
+from censusloom.functions import age_window, confidence, months_between_firsts, positive, unique
 
 log = logging.getLogger(__name__)
 
@@ -110,7 +110,8 @@ def anchor_factors(
     """Published over projected national total, per snapshot, age and sex.
 
     The projected total leaves out the territories the estimates do not cover.
-    Years past the last published one use that one; the birth year is kept.
+    Years past the last published one use that one; the birth year is kept. Two
+    estimates for one cell would multiply its rows: they stop the run.
     """
     totals = (
         projected.where(~F.col("department_code").isin(list(excluded)))
@@ -119,7 +120,7 @@ def anchor_factors(
         .withColumn("_year", F.least(F.col("year"), F.lit(last_year)))
         .withColumn("naissance", F.col("year") - F.col("age"))
     )
-    published = estimates.select(
+    published = unique(estimates.select("year", "naissance", "sex", "population"), ["year", "naissance", "sex"], "estimates").select(
         F.col("year").alias("_year"), "naissance", "sex", F.col("population").alias("_published")
     )
     return totals.join(published, ["_year", "naissance", "sex"], "left").select(

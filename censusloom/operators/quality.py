@@ -18,26 +18,33 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_BAD = "population IS NULL OR population < 0"
+
+
+def _summed(base: DataFrame) -> DataFrame:
+    """Per department, year and age: distinct counts then run over a few thousand rows instead of every cell."""
+    return base.groupBy("department_code", "year", "age").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("population").alias("_population"), F.count_if(F.expr(_BAD)).alias("_bad")
+    )
+
+
+_STATS = (
+    (F.sum, "_rows", "total_rows"),
+    (F.sum, "_population", "total_population"),
+    (F.countDistinct, "department_code", "departments"),
+    (F.countDistinct, "year", "years"),
+    (F.min, "age", "min_age"),
+    (F.max, "age", "max_age"),
+)
+
+
 def validation_stats(base: DataFrame) -> DataFrame:
     """Rows, persons, departments, years and the age range of the base cells."""
-    # Summed per department, year and age first: the distinct counts then run
-    # over a few thousand rows instead of multiplying every cell.
-    cells = base.groupBy("department_code", "year", "age").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("population").alias("_population")
-    )
-    return cells.agg(
-        F.sum("_rows").alias("total_rows"),
-        F.sum("_population").alias("total_population"),
-        F.countDistinct("department_code").alias("departments"),
-        F.countDistinct("year").alias("years"),
-        F.min("age").alias("min_age"),
-        F.max("age").alias("max_age"),
-    )
+    return _summed(base).agg(*[f(column).alias(name) for f, column, name in _STATS])
 
 
 def invalid_rows(base: DataFrame) -> DataFrame:
-    bad = F.col("population").isNull() | (F.col("population") < 0)
-    return base.agg(F.count_if(bad).alias("invalid_rows"))
+    return base.agg(F.count_if(F.expr(_BAD)).alias("invalid_rows"))
 
 
 def department_coverage(base: DataFrame, expected: DataFrame) -> DataFrame:
@@ -54,29 +61,32 @@ def validate(base: DataFrame, expected: DataFrame) -> DataFrame:
     Missing departments are warnings; only NULL or negative populations are errors.
     """
 
+    def here(x, territory: str):
+        return (x["territory"] == territory) & F.coalesce(F.array_contains("_found", x["department_code"]), F.lit(False))
+
     def codes(territory: str, present: bool):
-        hit = (F.col("territory") == territory) & (F.col("present") == present)
-        return F.array_join(F.sort_array(F.collect_set(F.when(hit, F.col("department_code")))), ",")
-
-    found = department_coverage(base, expected)
-    coverage = single(
-        found,
-        codes("metro", False).alias("missing_metro"),
-        codes("dom", False).alias("missing_dom"),
-        codes("tom", False).alias("missing_tom"),
-        codes("dom", True).alias("dom_present"),
-        codes("tom", True).alias("tom_present"),
-        F.coalesce(F.bool_or((F.col("territory") == "mayotte") & F.col("present")), F.lit(False)).alias(
-            "mayotte_present"
-        ),
-    )
-    bad = single(invalid_rows(base), F.max("invalid_rows"))
+        hit = F.filter("_known", lambda x: here(x, territory) if present else (x["territory"] == territory) & ~here(x, territory))
+        return F.array_join(F.array_sort(F.transform(hit, lambda x: x["department_code"])), ",")
+
+    # One pass over the cells; the expected departments are a short list.
+    known = single(expected, F.collect_list(F.struct("department_code", "territory")))
+    stats = [f(column).alias(name) for f, column, name in _STATS]
     return (
-        validation_stats(base)
-        .withColumns({"invalid_rows": bad, "_coverage": coverage})
-        .withColumn("is_valid", F.col("invalid_rows") == 0)
-        .select("*", "_coverage.*")
-        .drop("_coverage")
+        _summed(base)
+        .agg(*stats, F.coalesce(F.sum("_bad"), F.lit(0)).alias("invalid_rows"), F.collect_set("department_code").alias("_found"))
+        .withColumn("_known", known)
+        .withColumns(
+            {
+                "missing_metro": codes("metro", False),
+                "missing_dom": codes("dom", False),
+                "missing_tom": codes("tom", False),
+                "dom_present": codes("dom", True),
+                "tom_present": codes("tom", True),
+                "mayotte_present": F.exists("_known", lambda x: here(x, "mayotte")),
+                "is_valid": F.col("invalid_rows") == 0,
+            }
+        )
+        .drop("_known", "_found")
     )
 
 

@@ -32,10 +32,13 @@ def _pct(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole) * 100
 
 
-def _same_ages(ref: DataFrame, ours: DataFrame) -> DataFrame:
-    """The reference rows within the ages we project."""
-    ages = single(ours, F.min("age").alias("low"), F.max("age").alias("high"))
-    return ref.where(F.col("age").between(ages["low"], ages["high"]))
+def _same_ages(ref: DataFrame, ours: DataFrame, ages: tuple[int, int] | None) -> DataFrame:
+    """The reference rows within the ages we project; without their window the level is read for it once more."""
+    low, high = ages or (None, None)
+    if ages is None:
+        found = single(ours, F.min("age").alias("low"), F.max("age").alias("high"))
+        low, high = found["low"], found["high"]
+    return ref.where(F.col("age").between(low, high))
 
 
 # -- regions against an official pyramid -------------------------------------
@@ -45,10 +48,10 @@ def region_rollup(level: DataFrame, year: int) -> DataFrame:
     return read_level(level, ["year", "region_code", "age", "sex"], year, "region_code")
 
 
-def region_diff(level: DataFrame, ref: DataFrame, year: int) -> DataFrame:
+def region_diff(level: DataFrame, ref: DataFrame, year: int, ages: tuple[int, int] | None = None) -> DataFrame:
     """Total per region against the reference; the difference is NULL without reference persons."""
     ours = region_rollup(level, year)
-    theirs = _same_ages(ref.where(F.col("year") == year), ours)
+    theirs = _same_ages(ref.where(F.col("year") == year), ours, ages)
     ref_total = theirs.groupBy("region_code").agg(F.sum("pop").alias("_ref"))
     return (
         ours.groupBy("region_code")
@@ -62,11 +65,12 @@ def region_diff(level: DataFrame, ref: DataFrame, year: int) -> DataFrame:
 
 
 def subband_shares(
-    level: DataFrame, ref: DataFrame, year: int, bands: Sequence[tuple[int, int, str]] = SUB_BANDS, limit: float = 0.3
+    level: DataFrame, ref: DataFrame, year: int, bands: Sequence[tuple[int, int, str]] = SUB_BANDS, limit: float = 0.3,
+    ages: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Share of each sub-band in a region, ours and theirs; flags a moved first band."""
     ours = region_rollup(level, year)
-    theirs = _same_ages(ref.where(F.col("year") == year), ours)
+    theirs = _same_ages(ref.where(F.col("year") == year), ours, ages)
 
     def shares(df, name):
         total = df.groupBy("region_code").agg(
@@ -86,10 +90,10 @@ def subband_shares(
     )
 
 
-def sex_ratio(level: DataFrame, ref: DataFrame, year: int) -> DataFrame:
+def sex_ratio(level: DataFrame, ref: DataFrame, year: int, ages: tuple[int, int] | None = None) -> DataFrame:
     """Males per female in each region, ours and theirs."""
     ours = region_rollup(level, year)
-    theirs = _same_ages(ref.where(F.col("year") == year), ours)
+    theirs = _same_ages(ref.where(F.col("year") == year), ours, ages)
 
     def ratio(df, name):
         females = F.coalesce(F.nullif(_of("female"), F.lit(0.0)), F.lit(1.0))
@@ -103,10 +107,10 @@ def sex_ratio(level: DataFrame, ref: DataFrame, year: int) -> DataFrame:
     )
 
 
-def year_drift(level: DataFrame, ref: DataFrame) -> DataFrame:
+def year_drift(level: DataFrame, ref: DataFrame, ages: tuple[int, int] | None = None) -> DataFrame:
     """Total of the regions both sides know, year by year."""
     ours = read_level(level, ["year", "region_code", "age"], None, "region_code")
-    theirs = _same_ages(ref, ours).join(ours.select("region_code").distinct(), "region_code", "left_semi")
+    theirs = _same_ages(ref, ours, ages).join(ours.select("region_code").distinct(), "region_code", "left_semi")
     known = ref.select("region_code").distinct()
     our_total = ours.join(known, "region_code", "left_semi").groupBy("year").agg(F.sum("pop").alias("our_total"))
     ref_total = theirs.groupBy("year").agg(F.sum("pop").alias("ref_total"))
@@ -449,6 +453,7 @@ def top_enrolment(
     )
 
 
-def distinct_values(df: DataFrame, column: str, n: int = 30) -> DataFrame:
-    """The first ``n`` values of a column in order, for diagnosis."""
-    return df.select(column).distinct().orderBy(column).limit(n)
+def distinct_values(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
+    """All values of a column in order, or the first ``n``, for diagnosis."""
+    values = df.select(column).distinct().orderBy(column)
+    return values if n is None else values.limit(n)

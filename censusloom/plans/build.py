@@ -14,7 +14,7 @@ from censusloom.operators import base as base_ops
 from censusloom.operators import births as birth_ops
 from censusloom.operators import mobility, projection, shares
 from censusloom.operators.disaggregate import disaggregate
-from censusloom.plans.storage import settle, settle_all
+from censusloom.plans.storage import clear, settle, settle_all
 from censusloom.sinks.export import export_levels
 from censusloom.sources.microdata import in_scope, read_birth_months
 
@@ -45,7 +45,11 @@ class Build:
     cfg: Config
 
     def export(self, folder: str, selected=None, yearly_levels=()) -> dict[str, str]:
-        return export_levels(self.levels, self.births, folder, selected, yearly_levels, self.cfg.spread)
+        return export_levels(self.levels, self.births, folder, selected, yearly_levels)
+
+    def close(self) -> None:
+        """Delete the run's intermediate tables, once everything is exported."""
+        clear(self.base.sparkSession)
 
 
 def wanted_territories(cfg: Config) -> list:
@@ -98,7 +102,7 @@ def build_levels(inputs: Inputs, cfg: Config) -> Build:
     department = last.pop("department")
     ratios |= last
     levels = {"department": department} | {
-        level: disaggregate(department, df, level, cfg.confidence_extra[level], cfg.spread)
+        level: disaggregate(department, df, level, cfg.confidence_extra[level])
         for level, df in ratios.items()
     }
     return Build(base, births, ratios, levels, cfg)
@@ -131,14 +135,22 @@ class Mobility:
     def share(self) -> DataFrame:
         return settle(mobility.iris_commune_share(self.base, self.lookup), "iris_commune_share")
 
+    @cached_property
+    def by_commune(self) -> DataFrame:
+        return settle(mobility.student_flows_commune(self.cells, self.share, self.roles), "student_flows_commune")
+
     @property
     def to_iris(self) -> DataFrame:
-        return mobility.student_flows_iris(self.cells, self.share, self.roles, self.cfg.spread)
+        return mobility.student_flows_iris(self.by_commune, self.share)
+
+    @property
+    def intra(self) -> DataFrame:
+        return mobility.intra_fraction(self.by_commune, self.share)
 
     def corrected_epci(self, census_ratios: DataFrame) -> DataFrame:
         flows = settle(self.to_epci, "student_flows_epci")
         return mobility.blend_epci(census_ratios, flows, self.weights, self.cfg.student_bands)
 
     def corrected_iris(self, census_ratios: DataFrame) -> DataFrame:
-        flows = settle(self.to_iris, "student_flows_iris")
-        return mobility.blend_iris(census_ratios, flows, self.weights, self.cfg.student_bands)
+        local = mobility.local_flows_iris(self.by_commune, self.share)
+        return mobility.blend_iris(census_ratios, local, self.intra, self.weights, self.cfg.student_bands)

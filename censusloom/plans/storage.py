@@ -13,37 +13,49 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCK = threading.Lock()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which all machines must share.
 
-    A session on one machine without that setting gets a temporary folder of its
-    own. On a cluster without it there is none, since a local folder would be
-    lost with its machine.
+    Without that setting a session on one machine gets a temporary folder of its
+    own; on a cluster that is an error, before any work, and so is a folder of the
+    machine itself: tables written there would be lost with their machine, and
+    other machines would read a part of them.
     """
+    local = spark.sparkContext.master.startswith("local")
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
+        scheme = folder.partition(":")[0] if "://" in folder or folder.startswith("file:") else ""
+        if not local and scheme == "file":
+            raise ValueError(f"spark.checkpoint.dir is {folder}, a folder of one machine; name one that all machines share")
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        return None
+    if not local:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     with _LOCK:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's tables."""
+    return f"{shared_folder(spark).rstrip('/')}/censusloom/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application has settled. Frames that read them can no longer be read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several steps read, and return it as read back.
 
     The large input behind it is then scanned once, a lost executor costs no
     recomputation, and Spark knows the table's real size: it broadcasts the table
-    below its threshold and shuffles it above. Without a shared folder the frame
-    is returned as it is, which is as right but may be computed again.
+    below its threshold and shuffles it above.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/censusloom/{uuid.uuid4().hex}/{name}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -12,25 +12,29 @@ from censusloom.functions import january
 from censusloom.operators.disaggregate import expand_birth_month
 from censusloom.schemas import check_level, conform
 
+#: Rows of an output file at most: some hundred megabytes.
+ROWS_PER_FILE = 5_000_000
 
-def level_rows(df: DataFrame, births: DataFrame, level: str, yearly: bool = False, spread: int = 16) -> DataFrame:
+
+def level_rows(df: DataFrame, births: DataFrame, level: str, yearly: bool = False) -> DataFrame:
     """The published rows of a compact level, lazily; ``yearly`` keeps January snapshots.
 
     The compact rows are rebalanced by year before the expansion: a twelfth of
-    the bytes moves, and Spark splits a year that is too big for one task.
+    the bytes moves, and Spark splits a year that is too big for one task. As files then grow twelvefold, their rows
+    are bounded when they are written.
     """
     check_level(level)
     rows = df.where(january(F.col("month"))) if yearly else df
     rows = rows.hint("rebalance", F.col("year"))
-    return conform(expand_birth_month(rows, births, level, spread), level)
+    return conform(expand_birth_month(rows, births, level), level)
 
 
 def write_level(
-    df: DataFrame, births: DataFrame, level: str, path: str, yearly: bool = False, spread: int = 16
+    df: DataFrame, births: DataFrame, level: str, path: str, yearly: bool = False
 ) -> str:
     """Write one level as parquet partitioned by year, replacing what is there."""
-    rows = level_rows(df, births, level, yearly, spread)
-    rows.write.mode("overwrite").partitionBy("year").parquet(path)
+    rows = level_rows(df, births, level, yearly)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("year").parquet(path)
     return path
 
 
@@ -39,12 +43,11 @@ def write_levels(
     births: DataFrame,
     folder: str,
     yearly_levels: Iterable[str] = (),
-    spread: int = 16,
 ) -> dict[str, str]:
     """Write levels under ``folder``; returns level -> path."""
     yearly = set(yearly_levels)
     return {
-        level: write_level(df, births, level, f"{folder}/population_{level}", level in yearly, spread)
+        level: write_level(df, births, level, f"{folder}/population_{level}", level in yearly)
         for level, df in levels.items()
     }
 
@@ -55,13 +58,12 @@ def export_levels(
     folder: str,
     selected: Iterable[str] | None = None,
     yearly_levels: Iterable[str] = (),
-    spread: int = 16,
 ) -> dict[str, str]:
     """Write the selected levels (all by default); an unknown level is an error before any work."""
     wanted = list(LEVELS) if selected is None else list(selected)
     for level in [*wanted, *yearly_levels]:
         check_level(level)
-    return write_levels({lv: levels[lv] for lv in wanted}, births, folder, yearly_levels, spread)
+    return write_levels({lv: levels[lv] for lv in wanted}, births, folder, yearly_levels)
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

@@ -4,6 +4,7 @@ from censusloom.sources.external import (
     read_enrolment,
     read_pyramid_csv,
     read_reference_pyramid,
+    read_semicolon,
     reference_pyramid,
 )
 from censusloom.sources.levels import read_level

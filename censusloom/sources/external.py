@@ -25,6 +25,11 @@ def estimates_long(wide: DataFrame) -> DataFrame:
     return typed.unpivot(["year", "naissance"], ["male", "female"], "sex", "population")
 
 
+def read_semicolon(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """A published CSV file: semicolons, a header line, every cell a string."""
+    return spark.read.option("header", True).option("sep", ";").option("encoding", encoding).option("ignoreLeadingWhiteSpace", False).csv(path)
+
+
 def read_pyramid_csv(raw: DataFrame, year: int) -> DataFrame:
     """Semicolon pyramid (Année;Âge;Sexe;Pop) of one year.
 

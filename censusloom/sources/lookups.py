@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusloom.config import DISTRICT_EPCIS
+from censusloom.functions import unique
 
 _RECORD = "code string, nom string, codeEpci string, codeDepartement string, population bigint"
 
 
-def read_commune_records(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array (or lines) of commune records, read with a fixed schema."""
-    return spark.read.schema(_RECORD).option("multiLine", True).json(path)
+def read_commune_records(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Commune records of a JSON array, or of one JSON object per line, with a fixed schema.
+
+    An array is read by one task per file; lines are split like any text.
+    """
+    return spark.read.schema(_RECORD).option("multiLine", not lines).json(path)
 
 
 def district_rows(spark: SparkSession) -> DataFrame:
@@ -29,7 +33,10 @@ def district_rows(spark: SparkSession) -> DataFrame:
 
 
 def commune_lookup(records: DataFrame, extra: DataFrame | None = None) -> DataFrame:
-    """Commune -> EPCI. Communes outside any EPCI are left out; ``extra`` rows are added."""
+    """Commune -> EPCI. Communes outside any EPCI are left out; ``extra`` rows are added.
+
+    A commune that occurs twice would multiply its persons: it stops the run, when the lookup is read.
+    """
     lookup = records.where(F.col("codeEpci").isNotNull()).select(
         F.col("code").alias("commune_code"),
         F.col("codeEpci").alias("epci_code"),
@@ -37,7 +44,8 @@ def commune_lookup(records: DataFrame, extra: DataFrame | None = None) -> DataFr
         F.col("codeDepartement").alias("department_code"),
         F.coalesce(F.col("population").cast("bigint"), F.lit(0)).alias("commune_population"),
     )
-    return lookup if extra is None else lookup.unionByName(extra)
+    rows = lookup if extra is None else lookup.unionByName(extra)
+    return unique(rows, ["commune_code"], "commune lookup")
 
 
 def read_cog(spark: SparkSession, path: str) -> DataFrame:

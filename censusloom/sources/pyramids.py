@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from censusloom.functions import age_label, decode_sex, french_number, sex_code, single
 
-_HEADER_LINES = 15  # the header block ends before this line
+HEADER_LINES = 15  # the header block ends before this line, unless a caller says otherwise
 
 # Band labels of the source tables and the age each band starts at.
 BAND_LABELS = {f"{a} à {a + 4} ans": a for a in range(0, 80, 5)} | {
@@ -17,14 +17,14 @@ BAND_LABELS = {f"{a} à {a + 4} ans": a for a in range(0, 80, 5)} | {
 }
 
 
-def pyramid_header(sheet: DataFrame) -> DataFrame:
+def pyramid_header(sheet: DataFrame, header_lines: int = HEADER_LINES) -> DataFrame:
     """Which (sex, age) each value column of a wide sheet holds: (column, sex, age).
 
     ``sheet`` has an integer ``row`` and string cells c0, c1, c2, ...; the header
     lines are the ones whose second cell reads SEXE and AGED100. Columns without
     a readable sex and age are left out.
     """
-    head = sheet.where(F.col("row") < _HEADER_LINES).withColumn("_kind", F.upper(F.trim("c1")))
+    head = sheet.where(F.col("row") < header_lines).withColumn("_kind", F.upper(F.trim("c1")))
     cells = _melt(head.where(F.col("_kind").isin("SEXE", "AGED100")), ["_kind"], sheet)
     return (
         cells.groupBy("column")
@@ -37,15 +37,19 @@ def pyramid_header(sheet: DataFrame) -> DataFrame:
     )
 
 
-def pyramid_unpivot(sheet: DataFrame, header: DataFrame | None = None, prefix: str | None = None) -> DataFrame:
+def pyramid_unpivot(
+    sheet: DataFrame, header: DataFrame | None = None, prefix: str | None = None, header_lines: int = HEADER_LINES
+) -> DataFrame:
     """Sum a sheet with one line per commune and one column per (sex, age).
 
     Lines count from below the CODGEO title on; ``prefix`` keeps the communes of
-    one territory. Only positive totals are kept.
+    one territory. Only positive totals are kept. A sheet without that title among
+    its first ``header_lines`` lines is an error, raised when the result is read.
     """
-    header = pyramid_header(sheet) if header is None else header
+    header = pyramid_header(sheet, header_lines) if header is None else header
     code = F.trim("c0")
-    title = single(sheet.where((F.col("row") < _HEADER_LINES) & (F.lower(code) == "codgeo")), F.max("row"))
+    found = single(sheet.where((F.col("row") < header_lines) & (F.lower(code) == "codgeo")), F.max("row"))
+    title = F.when(found.isNotNull(), found).otherwise(F.raise_error(F.lit(f"no CODGEO line above line {header_lines}")).cast("int"))
     communes = sheet.where((F.col("row") > title) & F.col("c0").isNotNull())
     if prefix is not None:
         communes = communes.where(code.startswith(prefix))

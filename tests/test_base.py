@@ -10,11 +10,11 @@ from censusloom.sources import bands_from_labels, expand_bands, in_scope, pyrami
 from censusloom.sources.pyramids import band_labels
 
 PERSONS = [
-    ("751010101", "75", "11", "7599", "2004", "1", "100.5"),
-    ("751010102", "75", "11", "7599", "2004", "2", "150.3"),
-    ("75101XXXX", "75 ", "11", "7599", "2003", "1", "200.0"),
-    (NO_GEO, "75", "11", "7599", "2002", "2", "50.0"),
-    ("971010101", "971", "01", "9711", "2004", "1", "75.5"),
+    ("330630203", "33", "75", "3307", "1990", "2", "12.0"),
+    ("330630204", "33 ", "75", "3307", "1990", "1", "8.5"),
+    ("33063XXXX", "33", "75", "3307", "1971", "1", "30.25"),
+    (NO_GEO, "33", "75", "3312", "2010", "2", "4.0"),
+    ("973020105", "973", "03", "9702", "1990", "2", "6.0"),
 ]
 
 
@@ -27,21 +27,21 @@ def test_base_cells(census):
     base = base_population(census, 2022)
     assert [(f.name, f.dataType) for f in base.schema] == [(f.name, f.dataType) for f in BASE]
     assert rows(base, "department_code", "commune_code", "iris_code", "age", "sex", "population") == [
-        ("75", "", NO_GEO, 20, "female", 50.0),
-        ("75", "75101", "751010101", 18, "male", 100.5),
-        ("75", "75101", "751010102", 18, "female", 150.3),
-        ("75", "75101", "75101XXXX", 19, "male", 200.0),
-        ("971", "97101", "971010101", 18, "male", 75.5),
+        ("33", "", NO_GEO, 12, "female", 4.0),
+        ("33", "33063", "330630203", 32, "female", 12.0),
+        ("33", "33063", "330630204", 32, "male", 8.5),
+        ("33", "33063", "33063XXXX", 51, "male", 30.25),
+        ("973", "97302", "973020105", 32, "female", 6.0),
     ]
 
 
 def test_equal_persons_add_up_and_incomplete_ones_drop_out(make, census):
     more = make.frame(
-        [PERSONS[0], ("751010101", "75", "11", "7599", None, "1", "7"), ("751010101", "75", "11", "7599", "2004", "1", None)],
+        [PERSONS[0], ("330630203", "33", "75", "3307", None, "2", "7"), ("330630203", "33", "75", "3307", "1990", "2", None)],
         ", ".join(f"{c} string" for c in CENSUS_COLUMNS),
     )
     cells = as_dict(base_population(census.union(more), 2022), ["iris_code", "sex"], "population")
-    assert cells[("751010101", "male")] == 201.0
+    assert cells[("330630203", "female")] == 24.0
 
 
 def test_unknown_sex_is_kept_as_null(make):
@@ -83,41 +83,48 @@ def sheet(make, *lines):
 def test_wide_pyramid(make):
     df = sheet(
         make,
-        (5, "Variables :", "SEXE", "1", "1", "1.0", "2"),
-        (6, None, "AGED100", "000", "001", "002", "0"),
+        (5, "Variables :", "SEXE", "2", "2", "1.0", "1"),
+        (6, None, "AGED100", "010", "11", "010", "100 ou plus"),
         (10, "CODGEO", "LIBGEO"),
-        (11, "97601", "A", "10", "20", "30", "40"),
-        (12, "97602", "B", "5", "15", "25", "35"),
-        (13, None, "note", "1", "1", "1", "1"),
+        (11, "98811", "N", "3", "8", "1 002,5", "4"),
+        (12, "98818", "P", "4", "1", "7", "0"),
+        (13, None, "note", "9", "9", "9", "9"),
     )
     assert as_dict(pyramid_unpivot(df), ["sex", "age"], "population") == {
-        ("male", 0): 15, ("male", 1): 35, ("male", 2): 55, ("female", 0): 75,
+        ("female", 10): 7, ("female", 11): 9, ("male", 10): 1009.5, ("male", 100): 4,
     }
 
 
 def test_wide_pyramid_of_one_territory(make):
     df = sheet(
         make,
-        (5, "Variables :", "SEXE", "1", "1", "2", "2"),
-        (6, None, "AGED100", "015", "016", "015", "016"),
-        (10, "CODGEO", "LIBGEO"),
-        (11, "97501", "A", "5", "6", "4", "7"),
-        (12, "97502", "B", "20", "25", "18", "22"),
-        (13, "97701", "C", "100", "110", "95", "105"),
+        (3, "Variables :", "SEXE", "2", "1"),
+        (4, None, "AGED100", "040", "041"),
+        (7, "CODGEO", "LIBGEO"),
+        (8, "98611", "U", "12", "3"),
+        (9, "98613", "W", "30", "1"),
+        (10, "98735", "T", "200", "5"),
     )
-    assert as_dict(pyramid_unpivot(df, prefix="975"), ["sex", "age"], "population")[("male", 15)] == 25
-    assert as_dict(pyramid_unpivot(df), ["sex", "age"], "population")[("male", 15)] == 125
+    assert as_dict(pyramid_unpivot(df, prefix="986"), ["sex", "age"], "population")[("female", 40)] == 42
+    assert as_dict(pyramid_unpivot(df), ["sex", "age"], "population")[("female", 40)] == 242
+
+
+def test_a_sheet_without_header_is_an_error(make):
+    df = sheet(make, (16, "Variables :", "SEXE", "2"), (17, None, "AGED100", "5"), (20, "CODGEO", "L"), (21, "98611", "U", "12"))
+    with pytest.raises(Exception, match="no CODGEO line above line 15"):
+        pyramid_unpivot(df).collect()
+    assert as_dict(pyramid_unpivot(df, header_lines=30), ["sex", "age"], "population") == {("female", 5): 12}
 
 
 def test_bands_spread_evenly(make, spark):
     table = make.frame(
-        [("15 à 19 ans", "50", "40"), ("85 ans et +", "160", ""), ("Total", "1 000", "2")],
+        [("20 à 24 ans", "35", "60"), ("80 ans et +", "", "42"), ("Total", "1 000", "2")],
         "label string, male string, female string",
     )
-    ages = as_dict(expand_bands(bands_from_labels(table, band_labels(spark)), 85), ["age", "sex"], "population")
-    assert {a: v for a, v in ages.items() if a[0] < 20} == {(a, s): v for a in range(15, 20) for s, v in (("male", 10), ("female", 8))}
-    assert {a for a, s in ages if a >= 85} == set(range(85, 101)) and ages[(100, "male")] == 10
-    assert not any(s == "female" for a, s in ages if a >= 85)
+    ages = as_dict(expand_bands(bands_from_labels(table, band_labels(spark)), 80), ["age", "sex"], "population")
+    assert {a: v for a, v in ages.items() if a[0] < 25} == {(a, s): v for a in range(20, 25) for s, v in (("male", 7), ("female", 12))}
+    assert {a for a, s in ages if a >= 80} == set(range(80, 101)) and ages[(100, "female")] == 2
+    assert not any(s == "male" for a, s in ages if a >= 80)
 
 
 PYRAMID = "age int, sex string, population double"

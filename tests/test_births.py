@@ -16,22 +16,24 @@ def records(make, rows):
 
 @pytest.fixture(scope="module")
 def months(spark, make):
-    rows = [("75", "11", 1, 800_000), ("75", "11", 7, 200_000)]
-    rows += [("2A", "94", m, 10) for m in range(1, 13)] + [("2B", "94", m, 500) for m in range(1, 13)]
+    rows = [("59", "32", 2, 900_000), ("59", "32", 9, 100_000), ("09", "76", 4, 720)]
+    rows += [("48", "76", m, 20) for m in range(1, 13)]
     cells = birth_cells(records(make, rows))
     return as_dict(birth_month_distribution(cells, department_dimension(spark)), ["department_code", "month"], "month_ratio")
 
 
 def test_big_department_keeps_its_own_months(months):
-    assert {m: v for (d, m), v in months.items() if d == "75"} == {1: 0.8, 7: 0.2}
+    assert {m: v for (d, m), v in months.items() if d == "59"} == {2: 0.9, 9: 0.1}
 
 
 def test_small_department_takes_its_region(months):
-    assert {m: v for (d, m), v in months.items() if d == "2A"} == pytest.approx({m: 1 / 12 for m in range(1, 13)})
+    region = {m: 20 / 960 for m in range(1, 13)} | {4: 740 / 960}
+    for code in ("48", "09", "31"):
+        assert {m: v for (d, m), v in months.items() if d == code} == pytest.approx(region)
 
 
 def test_department_without_region_records_takes_the_metropolitan_months(months):
-    metro = {1: 800_510, 7: 200_510} | {m: 510 for m in (2, 3, 4, 5, 6, 8, 9, 10, 11, 12)}
+    metro = {m: 20 for m in range(1, 13)} | {2: 900_020, 4: 740, 9: 100_020}
     total = sum(metro.values())
     for code in ("976", "18", "975"):
         assert {m: v for (d, m), v in months.items() if d == code} == pytest.approx({m: w / total for m, w in metro.items()})
@@ -46,14 +48,13 @@ def test_shares_add_up_for_every_department(months, spark):
 
 
 def test_pooled_records_count_for_their_region_only(spark, make):
-    rows = [("99", "84", 3, 900_000)] + [("99", "84", m, 100_000 / 11) for m in range(1, 13) if m != 3]
-    rows += [("99", "00", 5, 1_000_000), ("75", "11", 1, 900_000)]
+    rows = [("99", "53", 11, 600_000), ("99", "53", 2, 200_000), ("99", "00", 5, 1_000_000), ("44", "52", 8, 900_000)]
     cells = birth_cells(records(make, rows))
     months = as_dict(birth_month_distribution(cells, department_dimension(spark)), ["department_code", "month"], "month_ratio")
-    assert months[("01", 3)] == pytest.approx(0.9)
+    assert {m: v for (d, m), v in months.items() if d == "35"} == {2: 0.25, 11: 0.75}
     assert not any(d == "99" for d, _ in months)
     # pooled records are not metropolitan ones
-    assert {m: v for (d, m), v in months.items() if d == "976"} == {1: 1.0}
+    assert {m: v for (d, m), v in months.items() if d == "976"} == {8: 1.0}
 
 
 def test_unusable_records(make):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from censusloom.config import LEVELS, Config
 from censusloom.operators.births import department_dimension
-from censusloom.plans import Inputs, build_levels, settle, shared_folder
+from censusloom.plans import Inputs, build_levels, clear, settle, shared_folder
 from censusloom.schemas import BIRTH_COLUMNS, CENSUS_COLUMNS, FLOW_COLUMNS, conform, output_schema
 from censusloom.sinks import export_levels, preview, write_level
 
@@ -131,6 +131,72 @@ def test_settled_tables_lie_in_the_shared_folder(spark, make):
     assert table.schema == make.births(["75"]).schema and table.count() == 12
 
 
+class _Cluster:
+    def __init__(self, master, folder):
+        self.sparkContext = self
+        self.conf = self
+        self.master, self.folder = master, folder
+
+    def get(self, key, default):
+        return self.folder
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_needs_a_folder_that_all_machines_share():
+    with pytest.raises(ValueError, match="set spark.checkpoint.dir"):
+        shared_folder(_Cluster("yarn", None))
+    with pytest.raises(ValueError, match="one machine"):
+        shared_folder(_Cluster("spark://head:7077", "file:/tmp/x"))
+    assert shared_folder(_Cluster("yarn", "hdfs://x/y")) == "hdfs://x/y"
+    assert shared_folder(_Cluster("local[2]", "file:/tmp/x")) == "file:/tmp/x"
+
+
+def test_levels_are_planned_without_a_job(spark, built):
+    from censusloom.operators.disaggregate import disaggregate
+
+    spark.sparkContext.setJobGroup("plan", "plan")
+    df = disaggregate(built.levels["department"], built.ratios["iris"], "iris")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) == 0 and "SinglePartition" not in plan
+
+
+def test_a_hot_department_spreads_over_its_keys(spark, make):
+    from censusloom.operators.disaggregate import disaggregate
+    from censusloom.operators.projection import census_departments, project
+    from censusloom.operators.shares import geo_ratios
+
+    base = make.base(
+        [(2022, "31", "76", "3101", "31555", f"31555{k:04d}", a, s, 1.0 + k) for k in range(40) for a in range(0, 90, 5) for s in ("male", "female")]
+        + [(2022, "82", "76", "8201", "82121", "821210101", a, "male", 9.0) for a in range(0, 90, 5)]
+    )
+    parent = project(census_departments(base), Config(method="cohort-stable", min_age=0, max_age=90))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    for k, v in zip(keys, ("-1", "false", "16"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        df = disaggregate(parent, geo_ratios("iris", base, make.lookup([])), "iris")
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+    assert len(sizes) > 8 and max(sizes) < sum(sizes) / 4
+
+
+def test_clear_deletes_the_settled_tables(spark, make, monkeypatch):
+    from censusloom.plans import storage
+
+    monkeypatch.setattr(storage, "run_folder", lambda s: f"{shared_folder(s)}/cleared")
+    table = settle(make.births(["75"]), "births")
+    assert table.count() == 12
+    clear(spark)
+    assert not os.path.exists(f"{shared_folder(spark)}/cleared".removeprefix("file:"))
+
+
 def test_no_python_and_no_cartesian_product(built):
     for df in built.levels.values():
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -6,8 +6,9 @@ import pytest
 from compare import differences, duckdb_views
 
 import __spark_entry__ as contract
+from censusloom.catalog import oracle, queries
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def views(sf_dir):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry_has_a_stable_schema(spark, sf_dir):

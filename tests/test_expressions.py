@@ -76,37 +76,8 @@ def test_safe_ratio_never_divides_by_zero(spark):
     assert [r.x for r in df.select(fn.safe_ratio(F.col("a"), F.col("b")).alias("x")).collect()] == [0.25, 0, 0, None]
 
 
-def test_spread_join_equals_plain_join_on_a_hot_key(spark):
-    """One key holds nine tenths of both sides."""
-    large = spark.range(2000).select(
-        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(0)).alias("k"), F.col("id").alias("a")
-    )
-    small = spark.range(60).select(
-        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(0)).alias("k"), F.col("id").alias("b")
-    )
-    plain = large.join(small, "k").select("k", "a", "b")
-    spread = fn.sized_join(large, small, ["k"], ["a"], slices=8, max_rows=10).select("k", "a", "b")
-    assert "SortMergeJoin" in spread._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
-
-
-def test_spread_join_splits_a_hot_key(spark):
-    large = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
-    small = spark.range(5).select(F.lit("hot").alias("k"), F.col("id").alias("b"))
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
-        joined = fn.spread_join(large, small, ["k"], ["a"], 32)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    assert sum(sizes) == 20_000 and len(sizes) > 8 and max(sizes) < 5_000
-
-
-def test_sized_join_broadcasts_a_counted_small_side(spark):
-    large = spark.range(100).withColumn("k", F.col("id") % 3)
-    small = spark.range(3).withColumnRenamed("id", "k")
-    plan = fn.sized_join(large, small, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+def test_unique_names_the_repeated_key(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "k string, v int")
+    assert sorted(map(tuple, fn.unique(df.distinct(), ["k"], "table").collect())) == [("a", 1), ("b", 2)]
+    with pytest.raises(Exception, match="table: more than one row for b"):
+        fn.unique(df, ["k"], "table").collect()

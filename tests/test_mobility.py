@@ -14,24 +14,23 @@ GROUP = ["department_code", "age_band", "sex"]
 
 @pytest.fixture(scope="module")
 def base(make):
-    places = [("75", "75101", "751010101"), ("75", "75102", "751020101"), ("13", "13001", "130010101")]
+    places = [("31", "31555", "315550101"), ("31", "31149", "311490101"), ("82", "82121", "821210101")]
     return make.base(
-        [(2022, d, "11", f"{d}99", c, i, a, s, 100.0) for d, c, i in places for a in range(15, 25) for s in ("male", "female")]
+        [(2022, d, "76", f"{d}01", c, i, a, s, 100.0) for d, c, i in places for a in range(15, 25) for s in ("male", "female")]
     ).cache()
 
 
 @pytest.fixture(scope="module")
 def lookup(make):
-    return make.lookup([("75101", "200054781"), ("75102", "200054782"), ("13001", "200054807")])
+    return make.lookup([("31555", "EA"), ("31149", "EB"), ("82121", "EC"), ("75101", "E1"), ("75102", "E2")])
 
 
 def flows(make, with_pupils=True):
-    rows = []
-    for sex, older in (("1", "25"), ("2", "30")):
-        rows += [("75101", "13001", "18", sex, "50"), ("75101", "75102", "18", sex, "30"), ("13001", "13001", "18", sex, "80")]
-        rows += [("75101", "13001", older, sex, "100")]
-        if with_pupils:
-            rows += [("75101", "75102", "15", sex, "40"), ("13001", "13001", "15", sex, "60")]
+    """Of 120 older students of department 31, 90 leave it; of 25 pupils, 5."""
+    trips = [("31555", "82121", "18", 90), ("31555", "31149", "18", 30), ("82121", "82121", "18", 70), ("31555", "82121", "25", 500)]
+    if with_pupils:
+        trips += [("31555", "31149", "15", 20), ("31555", "82121", "15", 5), ("82121", "82121", "15", 40)]
+    rows = [(home, study, group, sex, str(n)) for home, study, group, n in trips for sex in ("1", "2")]
     return mobility.flow_cells(make.frame(rows, ", ".join(f"{c} string" for c in FLOW_COLUMNS)))
 
 
@@ -44,31 +43,33 @@ def parts(spark, make, base, lookup):
 
 def test_rates_and_blend_weights(parts):
     found = {(r.age_band, r.department_code): (r.mobility_rate, r.blend_weight) for r in parts[0].collect()}
-    assert found[("15_19", "75")] == pytest.approx((0.15625, 0.15625))
-    assert found[("20_24", "75")] == pytest.approx((0.625, 0.6))
-    assert found[("20_24", "13")] == (0, 0)
+    # 3/4 of 5/25 and 1/4 of 90/120, capped at 0.25; 90/120, capped at 0.6
+    assert found[("15_19", "31")] == pytest.approx((0.3375, 0.25))
+    assert found[("20_24", "31")] == pytest.approx((0.75, 0.6))
+    assert found[("20_24", "82")] == (0, 0)
 
 
 def test_study_destinations(parts):
-    shares_ = as_dict(parts[1].where("department_code = '75' AND sex = 'male'"), ["age_band", "epci_code"], "study_geo_ratio")
+    shares_ = as_dict(parts[1].where("department_code = '31' AND sex = 'male'"), ["age_band", "epci_code"], "study_geo_ratio")
     assert shares_ == pytest.approx(
-        {("15_19", "200054782"): 0.84375, ("15_19", "200054807"): 0.15625, ("20_24", "200054782"): 0.375, ("20_24", "200054807"): 0.625}
+        {("15_19", "EB"): 0.75 * 0.8 + 0.25 * 0.25, ("15_19", "EC"): 0.75 * 0.2 + 0.25 * 0.75, ("20_24", "EB"): 0.25, ("20_24", "EC"): 0.75}
     )
 
 
 def test_blended_epci_shares(base, lookup, parts):
     census = shares.geo_ratios_epci(base, lookup)
     blended = mobility.blend_epci(census, parts[1], parts[0])
-    found = as_dict(blended.where("department_code = '75' AND sex = 'female'"), ["age_band", "epci_code"], "geo_ratio")
+    found = as_dict(blended.where("department_code = '31' AND sex = 'female'"), ["age_band", "epci_code"], "geo_ratio")
+    # nobody of department 31 lives in EC: (0.4 / 2, 0.4 / 2 + 0.6 / 4) and (0.75 / 2, 0.75 / 2 + 0.6625 / 4), each made to sum to one
     assert found == pytest.approx(
-        {("15_19", "200054781"): 16 / 37, ("15_19", "200054782"): 21 / 37, ("20_24", "200054781"): 0.32, ("20_24", "200054782"): 0.68}
+        {("15_19", "EA"): 0.375 / 0.915625, ("15_19", "EB"): 0.540625 / 0.915625, ("20_24", "EA"): 4 / 11, ("20_24", "EB"): 7 / 11}
     )
     assert share_sum_audit(blended, GROUP).where("NOT ok").count() == 0
 
 
 def test_other_bands_stay_bit_identical(make, lookup, parts):
     older = make.base(
-        [(2022, "75", "11", "7599", c, f"{c}0101", a, "male", p) for c, a, p in (("75101", 30, 7.0), ("75102", 31, 3.0), ("75101", 18, 1.0))]
+        [(2022, "31", "76", "3101", c, f"{c}0101", a, "male", p) for c, a, p in (("31555", 30, 7.0), ("31149", 31, 3.0), ("31555", 18, 1.0))]
     )
     census = shares.geo_ratios_epci(older, lookup)
     blended = mobility.blend_epci(census, parts[1], parts[0])
@@ -77,12 +78,12 @@ def test_other_bands_stay_bit_identical(make, lookup, parts):
 
 
 def test_a_place_of_study_only_enters_where_nobody_has_a_census_share(make, lookup, parts):
-    # department 75 has a 20-24 share but none for 15-19
-    lone = make.base([(2022, "75", "11", "7599", "75101", "751010101", 22, "male", 5.0)])
+    # department 31 has a 20-24 share but none for 15-19
+    lone = make.base([(2022, "31", "76", "3101", "31555", "315550101", 22, "male", 5.0)])
     blended = mobility.blend_epci(shares.geo_ratios_epci(lone, lookup), parts[1], parts[0])
     found = as_dict(blended, ["age_band", "epci_code", "sex"], "geo_ratio")
     assert found == pytest.approx(
-        {("20_24", "200054781", "male"): 1.0, ("15_19", "200054782", "male"): 0.84375, ("15_19", "200054807", "male"): 0.15625}
+        {("20_24", "EA", "male"): 1.0, ("15_19", "EB", "male"): 0.6625, ("15_19", "EC", "male"): 0.3375}
     )
 
 
@@ -91,35 +92,49 @@ def iris(spark, make, base, lookup):
     cells, roles, bands = flows(make, with_pupils=False), mobility.band_roles(spark), STUDENT_BANDS
     weights = mobility.mobility_weights(mobility.mobility_rates(cells, roles), base, bands)
     share = mobility.iris_commune_share(base, lookup)
-    return weights, mobility.student_flows_iris(cells, share, roles), cells, share, roles
+    return weights, mobility.student_flows_commune(cells, share, roles), share
 
 
 def test_default_weight_without_main_group(iris):
     found = as_dict(iris[0], ["age_band", "department_code"], "blend_weight")
-    assert found[("15_19", "75")] == 0.1 and found[("20_24", "75")] == pytest.approx(0.6)
+    assert found[("15_19", "31")] == 0.1 and found[("20_24", "31")] == pytest.approx(0.6)
 
 
 def test_part_that_stays(iris):
-    found = as_dict(mobility.intra_fraction(iris[1]).where("department_code = '75'"), ["age_band", "sex"], "intra_frac")
-    assert found == pytest.approx({(b, s): 0.375 for b in ("15_19", "20_24") for s in ("male", "female")})
+    found = as_dict(mobility.intra_fraction(iris[1], iris[2]).where("department_code = '31'"), ["age_band", "sex"], "intra_frac")
+    assert found == pytest.approx({(b, s): 0.25 for b in ("15_19", "20_24") for s in ("male", "female")})
+
+
+def test_local_flows_are_the_flows_within_the_department(iris):
+    every = mobility.student_flows_iris(iris[1], iris[2])
+    local = mobility.local_flows_iris(iris[1], iris[2])
+    inside = every.where("iris_dept = department_code")
+    assert sorted(map(tuple, local.collect())) == sorted(map(tuple, inside.select(*local.columns).collect()))
+    sums = as_dict(every.groupBy(*GROUP).agg(F.sum("study_geo_ratio").alias("s")), GROUP, "s")
+    assert all(v == pytest.approx(1) for v in sums.values()) and inside.count() < every.count()
 
 
 def test_blended_area_shares(base, lookup, iris):
-    blended = mobility.blend_iris(shares.geo_ratios_iris(base, lookup), iris[1], iris[0])
-    found = as_dict(blended.where("department_code = '75' AND sex = 'male'"), ["age_band", "iris_code"], "geo_ratio")
+    local, intra = mobility.local_flows_iris(iris[1], iris[2]), mobility.intra_fraction(iris[1], iris[2])
+    blended = mobility.blend_iris(shares.geo_ratios_iris(base, lookup), local, intra, iris[0])
+    found = as_dict(blended.where("department_code = '31' AND sex = 'male'"), ["age_band", "iris_code"], "geo_ratio")
+    # a quarter stays: (1 - w / 4) / 2, and w / 4 more where it studies; w is 0.1 and 0.6
     assert found == pytest.approx(
-        {("15_19", "751010101"): 0.48125, ("15_19", "751020101"): 0.51875, ("20_24", "751010101"): 0.3875, ("20_24", "751020101"): 0.6125}
+        {("15_19", "315550101"): 0.4875, ("15_19", "311490101"): 0.5125, ("20_24", "315550101"): 0.425, ("20_24", "311490101"): 0.575}
     )
     assert share_sum_audit(blended, GROUP).where("NOT ok").count() == 0
 
 
-def test_spread_fan_out_gives_the_same_flows(iris, monkeypatch):
-    from censusloom.functions import spread_join
-
-    plain = sorted(map(tuple, iris[1].collect()))
-    monkeypatch.setattr(mobility, "sized_join", lambda large, small, keys, by, n: spread_join(large, small, keys, by, 5))
-    spread = mobility.student_flows_iris(iris[2], iris[3], iris[4], 5)
-    assert sorted(map(tuple, spread.collect())) == plain
+def test_area_rows_are_not_shuffled_for_their_shares(spark, base, lookup):
+    """Also where nothing is small enough to be broadcast by its size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = shares.geo_ratios_canton(base)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_unknown_destination_counts_as_staying(spark, make):
@@ -150,9 +165,9 @@ def test_department_without_areas_passes_through(make, lookup):
         ]
     )
     epci = {(r.department_code, r.epci_code, r.sex, r.geo_ratio) for r in shares.geo_ratios_epci(base, lookup).collect()}
-    assert epci == {("75", "200054781", "male", 1.0), ("976", "976", "male", 1.0), ("976", "976", None, 1.0)}
+    assert epci == {("75", "E1", "male", 1.0), ("976", "976", "male", 1.0), ("976", "976", None, 1.0)}
     iris = {(r.department_code, r.iris_code, r.epci_code, r.sex) for r in shares.geo_ratios_iris(base, lookup).collect()}
-    assert iris == {("75", "751010101", "200054781", "male"), ("976", "ZZZZZZZZZ", None, "male"), ("976", "ZZZZZZZZZ", None, None)}
+    assert iris == {("75", "751010101", "E1", "male"), ("976", "ZZZZZZZZZ", None, "male"), ("976", "ZZZZZZZZZ", None, None)}
 
 
 def test_masked_rows_count_for_epci_but_not_for_areas(make, lookup):
@@ -163,7 +178,7 @@ def test_masked_rows_count_for_epci_but_not_for_areas(make, lookup):
             (2022, "75", "11", "7599", "75103", "751030101", 20, "male", 60.0),
         ]
     )
-    assert as_dict(shares.geo_ratios_epci(base, lookup), "epci_code", "geo_ratio") == {"200054781": 0.25, "200054782": 0.75}
+    assert as_dict(shares.geo_ratios_epci(base, lookup), "epci_code", "geo_ratio") == {"E1": 0.25, "E2": 0.75}
     # the commune without EPCI takes part in the area shares
     assert as_dict(shares.geo_ratios_iris(base, lookup), "iris_code", "geo_ratio") == pytest.approx({"751010101": 1 / 7, "751030101": 6 / 7})
 

@@ -92,45 +92,47 @@ def projected(make, rows):
 
 @pytest.fixture
 def estimates(make):
-    return make.frame([(2026, 2006, "male", 430000.0)], ESTIMATES)
+    return make.frame([(2025, 1995, "male", 1000.0)], ESTIMATES)
 
 
-ROWS = [(2026, 1, "75", 20, 600000.0), (2026, 1, "13", 20, 263306.0), (2026, 1, "988", 20, 4000.0)]
+ROWS = [(2025, 1, "31", 30, 1200.0), (2025, 1, "82", 30, 300.0), (2025, 1, "986", 30, 77.0)]
 
 
 def anchored(df, estimates):
-    return pj.anchor(df, estimates, ("975", "977", "978", "986", "988"), 2026)
+    return pj.anchor(df, estimates, ("975", "977", "978", "986", "988"), 2025)
 
 
 def test_anchored_total_meets_the_estimate(make, estimates):
     out = as_dict(anchored(projected(make, ROWS), estimates), "department_code", "population")
-    assert out["75"] + out["13"] == pytest.approx(430000)
-    assert out["75"] == pytest.approx(298851.16, abs=0.01)
-    assert out["75"] / out["13"] == pytest.approx(600000 / 263306)
-    assert out["988"] == 4000
+    # 1000 published, 1500 projected: two thirds
+    assert out == pytest.approx({"31": 800, "82": 200, "986": 77})
 
 
 def test_bounds_scale_alike(make, estimates):
-    row = anchored(projected(make, ROWS), estimates).where("department_code = '75'").collect()[0]
-    assert row.population_low == pytest.approx(570000 * 430000 / 863306)
-    assert row.population_high / row.population == pytest.approx(1.05)
+    row = anchored(projected(make, ROWS), estimates).where("department_code = '31'").collect()[0]
+    assert (row.population_low, row.population_high) == pytest.approx((760, 840))
 
 
 def test_cells_without_estimate_stay(make, estimates):
-    out = anchored(projected(make, [(2026, 1, "75", 21, 5.0), (2026, 1, "975", 20, 230.0)]), estimates)
-    assert as_dict(out, "department_code", "population") == {"75": 5.0, "975": 230.0}
+    out = anchored(projected(make, [(2025, 1, "31", 29, 5.0), (2025, 1, "975", 30, 19.0)]), estimates)
+    assert as_dict(out, "department_code", "population") == {"31": 5.0, "975": 19.0}
 
 
 def test_every_month_is_anchored_on_its_own(make, estimates):
-    both = projected(make, ROWS[:2] + [(2026, 2, d, a, p) for _, _, d, a, p in ROWS[:2]])
+    both = projected(make, ROWS[:2] + [(2025, 2, d, a, p) for _, _, d, a, p in ROWS[:2]])
     stock = anchored(both, estimates).groupBy("month").agg(F.sum("population").alias("p"))
-    assert as_dict(stock, "month", "p") == pytest.approx({1: 430000, 2: 430000})
+    assert as_dict(stock, "month", "p") == pytest.approx({1: 1000, 2: 1000})
 
 
 def test_later_years_hold_the_last_estimate(make, estimates):
-    later = make.frame([(2026, 2006, "male", 430000.0)], ESTIMATES)
-    out = anchored(projected(make, [(2027, 1, "75", 21, 500000.0)]), later)
-    assert out.collect()[0].population == pytest.approx(430000)
+    later = make.frame([(2025, 1995, "male", 640.0)], ESTIMATES)
+    out = anchored(projected(make, [(2027, 1, "31", 32, 500.0)]), later)
+    assert out.collect()[0].population == pytest.approx(640)
+
+
+def test_two_estimates_of_one_cell_stop_the_run(make, estimates):
+    with pytest.raises(Exception, match="estimates: more than one row for 2025, 1995, male"):
+        anchored(projected(make, ROWS), estimates.union(estimates)).collect()
 
 
 def test_without_estimates_totals_stay(census):

@@ -90,3 +90,34 @@ def test_level_scan_reads_one_year(spark, make, tmp_path):
     level = read_level(spark.read.parquet(path), ["epci_code", "age"], 2022, "epci_code")
     assert rows(level, "epci_code", "age", "pop") == [("E1", 18, 5.0)]
     assert "PartitionFilters: [isnotnull(year" in level._jdf.queryExecution().executedPlan().toString()
+
+
+def test_commune_records_by_line_and_as_an_array(spark, tmp_path):
+    import json
+
+    from censusloom.sources import read_commune_records
+
+    records = [{"code": f"3100{k}", "nom": "x", "codeEpci": "E", "codeDepartement": "31", "population": k} for k in range(5)]
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, records)))
+    (tmp_path / "array.json").write_text(json.dumps(records, indent=1))
+    lines = read_commune_records(spark, str(tmp_path / "lines.json"), lines=True)
+    array = read_commune_records(spark, str(tmp_path / "array.json"))
+    assert sorted(map(tuple, lines.collect())) == sorted(map(tuple, array.collect())) and lines.count() == 5
+
+
+def test_a_repeated_commune_stops_the_run(spark, make):
+    from censusloom.sources import commune_lookup
+
+    records = make.frame([("31555", "T", "E", "31", 1), ("31555", "T", "F", "31", 1)], "code string, nom string, codeEpci string, codeDepartement string, population bigint")
+    with __import__("pytest").raises(Exception, match="commune lookup: more than one row for 31555"):
+        commune_lookup(records).collect()
+
+
+def test_semicolon_files(spark, tmp_path):
+    from censusloom.sources import read_enrolment, read_pyramid_csv, read_semicolon
+
+    (tmp_path / "p.csv").write_text(" Année;Âge ;Sexe;Pop\n2019;7;1;-30\n2019;7;2;25\n2020;7;2;1\n", encoding="utf-8")
+    rows_ = read_pyramid_csv(read_semicolon(spark, str(tmp_path / "p.csv")), 2019).collect()
+    assert sorted((r.age, r.sex, r.population) for r in rows_) == [(7, "female", 25.0), (7, "male", 30.0)]
+    (tmp_path / "e.csv").write_text("annee_universitaire;com_id;regroupement;effectif\n2022-23;31555;UNIV;4\n2022-23;31555;GE;3\n2021-22;31555;GE;9\n")
+    assert [tuple(r) for r in read_enrolment(read_semicolon(spark, str(tmp_path / "e.csv")), 2022).collect()] == [("31555", 7)]
