@@ -55,3 +55,21 @@ def test_empty_and_repeated(spark):
     assert sorted(got(spark, docs, items), key=str) == sorted(brute(docs, items), key=str)
     assert {r[2] for r in got(spark, docs, [])} == {0}
     assert got(spark, [], items) == []
+
+
+def test_every_long_shared_span_shares_a_fingerprint():
+    import numpy as np
+
+    from censusloom.llm.winnow import winnow
+
+    rng = np.random.default_rng(4)
+    span = rng.integers(1, 1 << 60, 13).astype(np.uint64)
+    for _ in range(200):
+        sides = []
+        for _ in range(2):
+            before, after = (rng.integers(1, 1 << 60, rng.integers(0, 30)).astype(np.uint64) for _ in range(2))
+            ws = np.concatenate((before, span, after))
+            sides.append(set(winnow(ws, np.array([0, len(ws)]), 13, 7)[1].tolist()))
+        assert sides[0] & sides[1]
+    flat = np.full(40, 7, np.uint64)  # ties: all of them are kept
+    assert len(winnow(flat, np.array([0, 40]), 13, 7)[0]) == 34
