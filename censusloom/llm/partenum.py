@@ -8,10 +8,11 @@ signature is the shingles of one part. Each set gives its k + 1 signatures that
 (by a counting sketch of fixed size; any order that all sets share finds all pairs). A set with fewer than k + 1 parts
 that are not empty gives all of them, and its k + 1 least single shingles, in case its partner is such a set too.
 
-Sets that share a signature form a group. Groups are settled by star rounds: every member is compared exactly with one
-member; links make components; what is in one component needs no more comparison. At last, members of one group that
-are still in different components are compared with each other, if a parity sketch (whose distance never exceeds the
-sets' difference) leaves a link possible. So no link is lost and groups of copies are never expanded into pairs.
+Sets that share a signature form a group. Groups are settled in rounds. First every member is compared exactly with
+the group's least member; links make components, and what is in one component needs no more comparison. Then members
+outside their group's largest component are compared with members of other components, nearest first, until no pair
+is left that could link. A parity sketch, whose distance never exceeds the sets' difference, rules pairs out before
+their texts are fetched. So no link is lost, and groups of copies are never expanded into pairs.
 """
 
 from __future__ import annotations
@@ -22,21 +23,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from censusloom.llm import packed
+from censusloom.llm import counting, packed
 from censusloom.llm.components import components
 from censusloom.llm.text import LOWER, SPACED, mix, slices, utf8, window_hashes, window_starts, word_hashes, words
 from censusloom.plans.storage import settle
 
 SHINGLE, PERCENT = 5, 75
-#: Cells of the frequency sketch (2 ** bits), bits of a parity sketch: fixed sizes.
-CELL_BITS, PARITY = 18, 512
-AT_ONCE, GROUP = 1 << 21, 1 << 21
-#: Star rounds before the members that are left are compared with each other.
-ROUNDS = 2
+#: Cells of the frequency sketch: 2 ** CELL_BITS, a fixed size.
+CELL_BITS = 21
+#: Bits of a parity sketch: four for each shingle, rounded up to a power of two, within these bounds.
+LEAST_BITS, MOST_BITS = 1 << 10, 1 << 17
+#: Groups up to this size have all their pairs looked at, larger ones the pairs of members outside the largest component.
+SMALL = 32
+AT_ONCE, GROUP = 1 << 20, 1 << 20
+#: Nearest candidates of a member that are compared in each later round; in the last round all.
+NEAREST = (4, 64, None)
 _SINGLE = np.uint64(0xD6E8FEB86659FD93)
 
 
+def _by_row(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """An order by row and then hash: by one number, and only if two hashes share its bits by both."""
+    if len(rows) and rows.max() < 1 << 20:
+        key = rows.astype(np.uint64) << np.uint64(44) | hashes >> np.uint64(20)
+        order = np.argsort(key)
+        same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+        if (hashes[order[same]] == hashes[order[same + 1]]).all():
+            return order
+    return np.lexsort((hashes, rows))
+
+
 def _sets(column, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row range, and for its rows the distinct shingle hashes with their rows, sorted."""
     buf, offs = utf8(column)
@@ -52,7 +69,7 @@ def _sets(column, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         if len(short):
             whole = mix(window_hashes(one, bounds[short], n[short], 3) + n[short].astype(np.uint64))
             rows, hashes = np.concatenate((rows, short)), np.concatenate((hashes, whole))
-        order = np.lexsort((hashes, rows))
+        order = _by_row(rows, hashes)
         rows, hashes = rows[order], hashes[order]
         new = np.ones(len(rows), bool)
         new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
@@ -84,7 +101,7 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int) -> Iterator[tuple[n
         r, h = rows[mine], hashes[mine]
         parts = (np.int64(1) << (band - lower)).astype(np.uint64)[r]
         part = (mix(h) >> np.uint64(20)) % parts
-        order = np.argsort(r.astype(np.uint64) << np.uint64(40) | part, kind="stable")
+        order = np.argsort(r.astype(np.uint64) << np.uint64(40) | part)
         r, h, part, parts = r[order], h[order], part[order], parts[order]
         first = _firsts(r, part)
         projected = _sums(mix(h + np.uint64(77)), first)
@@ -96,7 +113,7 @@ def chosen(rows: np.ndarray, hashes: np.ndarray, n: int, sketch: np.ndarray) ->
     out = []
     cells = np.uint64((1 << CELL_BITS) - 1)
     for r, s, wanted in signatures(rows, hashes, n):
-        order = np.lexsort((s, sketch[(s & cells).astype(np.int64)], r))
+        order = np.lexsort((s, r << 40 | np.minimum(sketch[(s & cells).astype(np.int64)], (1 << 40) - 1)))
         r, s = r[order], s[order]
         count = np.bincount(r, minlength=n)
         rank = np.arange(len(r)) - (np.cumsum(count) - count)[r]
@@ -110,56 +127,79 @@ def chosen(rows: np.ndarray, hashes: np.ndarray, n: int, sketch: np.ndarray) ->
     return np.concatenate([r for r, _ in out]), np.concatenate([s for _, s in out])
 
 
-def _digests(rows: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Size, two order-free digests and the parity sketch of each row's set."""
+def _digests(rows: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size and two order-free digests of each row's set."""
     size = np.bincount(rows, minlength=n)
-    first = _firsts(rows) if len(rows) else np.zeros(0, np.int64)
+    first = _firsts(rows)
     one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     own = rows[first]
     one[own], two[own] = _sums(mix(hashes), first), _sums(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), first)
-    bit = (mix(hashes + np.uint64(5)) >> np.uint64(11)) % np.uint64(PARITY)
-    odd = np.bincount(rows * PARITY + bit.astype(np.int64), minlength=n * PARITY).reshape(n, PARITY) & 1
-    return size, one, two, np.packbits(odd.astype(bool), axis=1)
+    return size, one, two
+
+
+def parity(hashes: np.ndarray) -> bytes:
+    """A bit for each cell of a table: whether an odd number of shingles fall into it."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (4 * len(hashes) - 1).bit_length()))
+    cells = (mix(hashes + np.uint64(5)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
+class _Sketches:
+    """Parity sketches of different sizes, to be compared in bulk: the larger is folded to the smaller's size."""
+
+    def __init__(self, column):
+        data = column.to_pylist()
+        self.size = np.array([len(d) for d in data], np.int64)
+        self.place = np.zeros(len(data), np.int64)
+        self.own: dict[int, np.ndarray] = {}
+        for size in np.unique(self.size):
+            mine = np.flatnonzero(self.size == size)
+            self.place[mine] = np.arange(len(mine))
+            self.own[int(size)] = np.frombuffer(b"".join(data[k] for k in mine), np.uint64).reshape(len(mine), -1)
+
+    def _at(self, rows: np.ndarray, size: int, to: int) -> np.ndarray:
+        found = self.own[size][self.place[rows]]
+        while size > to:
+            half = found.shape[1] // 2
+            found, size = found[:, :half] ^ found[:, half:], size // 2
+        return found
+
+    def apart(self, i: np.ndarray, j: np.ndarray, other: _Sketches | None = None) -> np.ndarray:
+        """At most the number of shingles that rows i and rows j (of the other, if given) do not share."""
+        other = other or self
+        out = np.zeros(len(i), np.int64)
+        a, b = self.size[i], other.size[j]
+        for x, y in {(int(x), int(y)) for x, y in zip(*np.unique(np.stack((a, b)), axis=1), strict=True)}:
+            mine = np.flatnonzero((a == x) & (b == y))
+            for part in np.array_split(mine, max(1, len(mine) * min(x, y) >> 24)):  # some megabytes at a time
+                left, right = self._at(i[part], x, min(x, y)), other._at(j[part], y, min(x, y))
+                out[part] = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def shingle_sets(df: DataFrame, size: int) -> DataFrame:
-    """doc, n, one, two, parity for every row, and rows of sketch counts (sketch not null)."""
+    """doc, n, one, two for every row, and each task's sketch of signature counts (segment not null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "n", "one", "two", "parity", "sketch"]
+        names = ["doc", "n", "one", "two", *counting.NAMES]
         counted = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
             for i, j, rows, hashes in _sets(batch.column(1), size):
-                n, one, two, parity = _digests(rows, hashes, j - i)
+                n, one, two = _digests(rows, hashes, j - i)
                 for _, s, _ in signatures(rows, hashes, j - i):
-                    counted += np.bincount((s & np.uint64(len(counted) - 1)).astype(np.int64), minlength=len(counted))
+                    np.add.at(counted, (s & np.uint64(len(counted) - 1)).astype(np.int64), 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                        pa.array([p.tobytes() for p in parity], pa.binary()), pa.nulls(j - i, pa.binary()),
+                        pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary()),
                     ],
                     names,
                 )
-        row = [pa.array([None], k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
-        yield pa.RecordBatch.from_arrays([*row, pa.array([counted.astype(np.uint32).tobytes()], pa.binary())], names)
-
-    return df.mapInArrow(run, "doc long, n long, one long, two long, parity binary, sketch binary")
-
+        counts = counting.segments(counted)
+        none = [pa.nulls(len(counts[0]), pa.int64())] * 4
+        yield pa.RecordBatch.from_arrays([*none, *counts], names)
 
-def _added(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in table["sketch"].to_pylist())
-    # Only the order of counts matters: a shift keeps them in 32 bits.
-    while total.max(initial=0) >= 1 << 32:
-        total >>= 1
-    return pa.table({"sketch": pa.array([total.astype(np.uint32).tobytes()], pa.binary())})
-
-
-def _sketch(tables: DataFrame) -> np.ndarray:
-    """The sum of all tasks' counts, in two steps; its size is fixed."""
-    spread = tables.where("sketch is not null").select(F.pmod(F.xxhash64("sketch"), F.lit(64)).alias("part"), "sketch")
-    some = spread.groupBy("part").applyInArrow(_added, "sketch binary")
-    rows = some.collect()  # at most 64 rows of fixed size
-    return sum((np.frombuffer(r["sketch"], np.uint32).astype(np.int64) for r in rows), np.zeros(1 << CELL_BITS, np.int64))
+    return df.mapInArrow(run, f"doc long, n long, one long, two long, {counting.SCHEMA}")
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -220,26 +260,78 @@ def _verify(pairs: DataFrame, texts: DataFrame, shards: int, size: int) -> DataF
         return pa.table({"u": pa.array(found[0], pa.int64()), "v": pa.array(found[1], pa.int64())})
 
     dealt = pairs.select("u", "v", packed.shard_column(F.col("u"), shards).alias("shard"), packed.shard_column(F.col("v"), shards).alias("to"))
-    home = texts.groupBy("shard")
+    needed = pairs.select(F.col("u").alias("doc")).unionByName(pairs.select(F.col("v").alias("doc"))).distinct()
+    home = texts.select("shard", "doc", "text").join(needed, "doc", "left_semi").select("shard", "doc", "text").groupBy("shard")
     sent = home.cogroup(dealt.groupBy("shard")).applyInArrow(send, "shard int, u long, text string, vs binary")
     return home.cogroup(sent.groupBy("shard")).applyInArrow(compare, "u long, v long")
 
 
-def _possible(table: pa.Table) -> pa.Table:
-    """Members of one group in different components that their sizes and parity sketches let link."""
-    rep, comp, n = (table[k].to_numpy() for k in ("rep", "comp", "n"))
-    bits = np.frombuffer(b"".join(table["parity"].to_pylist()), np.uint64).reshape(len(rep), -1)
-    order = np.argsort(n, kind="stable")
-    rep, comp, n, bits = rep[order], comp[order], n[order], bits[order]
-    found = ([], [])
-    for i in range(len(rep)):
-        j = int(np.searchsorted(n, 100 * n[i] // PERCENT, "right"))
-        apart = np.bitwise_count(bits[i + 1 : j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        able = np.flatnonzero((comp[i + 1 : j] != comp[i]) & ((100 + PERCENT) * apart <= (100 - PERCENT) * (n[i] + n[i + 1 : j])))
-        found[0].append(np.full(len(able), rep[i]))
-        found[1].append(rep[i + 1 + able])
-    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
-    return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
+def _parities(size: int):
+    @F.arrow_udf(T.BinaryType())
+    def run(column: pa.Array) -> pa.Array:
+        out: list[bytes] = []
+        for i, j, rows, hashes in _sets(column, size):
+            edges = np.searchsorted(rows, np.arange(j - i + 1))
+            out += [parity(hashes[edges[k] : edges[k + 1]]) for k in range(j - i)]
+        return pa.array(out, pa.binary())
+
+    return run
+
+
+def _may_link(n: np.ndarray, other: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Whether sizes and a lower bound of the difference let two sets link."""
+    sizes = 100 * np.minimum(n, other) >= PERCENT * np.maximum(n, other)
+    return sizes & ((100 + PERCENT) * apart <= (100 - PERCENT) * (n + other))
+
+
+@F.arrow_udf(T.BooleanType())
+def _able(n: pa.Array, sketch: pa.Array, other_n: pa.Array, other_sketch: pa.Array) -> pa.Array:
+    rows = np.arange(len(n))
+    apart = _Sketches(sketch).apart(rows, rows, _Sketches(other_sketch))
+    return pa.array(_may_link(n.to_numpy(), other_n.to_numpy(), apart))
+
+
+def _candidates(most: int | None):
+    """Of many groups, pairs of members in different components that may link; (null, null) if some were put off."""
+
+    def run(table: pa.Table) -> pa.Table:
+        gid, rep, comp, n = (table[k].to_numpy() for k in ("gid", "rep", "comp", "n"))
+        sketches = _Sketches(table["parity"])
+        order = np.lexsort((n, gid))
+        gid, rep, comp, n = gid[order], rep[order], comp[order], n[order]
+        start = _firsts(gid)
+        size = np.diff(start, append=len(gid))
+        us, vs, more = [], [], False
+        # Small groups: all pairs at a distance of 1, 2, ... in this order, of all groups at once.
+        own = np.repeat(size, size) <= SMALL
+        for step in range(1, SMALL):
+            i = np.flatnonzero(own[:-step] & (gid[:-step] == gid[step:])) if len(gid) > step else np.zeros(0, np.int64)
+            if not len(i):
+                break
+            i = i[(comp[i] != comp[i + step]) & (100 * n[i] >= PERCENT * n[i + step])]
+            able = i[_may_link(n[i], n[i + step], sketches.apart(order[i], order[i + step]))]
+            us.append(rep[able])
+            vs.append(rep[able + step])
+        # Large groups: each member outside the largest component, nearest others first.
+        for a, b in [(x, x + k) for x, k in zip(start, size, strict=True) if k > SMALL]:
+            names, index, count = np.unique(comp[a:b], return_inverse=True, return_counts=True)
+            largest = np.lexsort((names, -count))[0]
+            for i in a + np.flatnonzero(index != largest):
+                low = a + int(np.searchsorted(n[a:b], -(-PERCENT * n[i] // 100), "left"))
+                high = a + int(np.searchsorted(n[a:b], 100 * n[i] // PERCENT, "right"))
+                j = low + np.flatnonzero(comp[low:high] != comp[i])
+                apart = sketches.apart(np.full(len(j), order[i]), order[j])
+                able = np.flatnonzero(_may_link(n[i], n[j], apart))
+                if most is not None and len(able) > most:
+                    able, more = able[np.argsort(apart[able], kind="stable")[:most]], True
+                us.append(np.full(len(able), rep[i]))
+                vs.append(rep[j[able]])
+        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+        pairs = np.unique(np.stack((np.minimum(u, v), np.maximum(u, v))), axis=1) if len(u) else np.zeros((2, 0), np.int64)
+        put_off = [None] if more else []
+        return pa.table({"u": pa.array([*pairs[0].tolist(), *put_off], pa.int64()), "v": pa.array([*pairs[1].tolist(), *put_off], pa.int64())})
+
+    return run
 
 
 def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -253,9 +345,9 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
     buckets = packed.buckets_of(spark)
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     tables = settle(shingle_sets(docs, size), "shingle_sets")
-    sketch = spark.sparkContext.broadcast(_sketch(tables))
-    sets = tables.where("sketch is null").drop("sketch")
-    classes = sets.where("n > 0 and doc is not null").groupBy("n", "one", "two").agg(F.min("doc").alias("rep"), F.first("parity").alias("parity"))
+    sketch = spark.sparkContext.broadcast(counting.total(tables.where("segment is not null"), 1 << CELL_BITS))
+    sets = tables.where("segment is null").drop(*counting.NAMES)
+    classes = sets.where("n > 0 and doc is not null").groupBy("n", "one", "two").agg(F.min("doc").alias("rep"))
     classes = settle(classes, "classes")
     member = settle(sets.select("doc", "n", "one", "two").join(classes.select("n", "one", "two", "rep"), ["n", "one", "two"]).select("doc", "rep", "n"), "members")
 
@@ -276,7 +368,7 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, rows, hashes in _sets(batch.column(1), size):
-                _, one, two, _ = _digests(rows, hashes, j - i)
+                _, one, two = _digests(rows, hashes, j - i)
                 new = np.zeros(j - i, bool)
                 for k, pair in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
                     if pair not in seen:
@@ -294,38 +386,37 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
 
     entries = docs.where("doc is not null").mapInArrow(probe, "bucket int, docs binary, runs binary, at binary, one binary")
     met = entries.groupBy("bucket").applyInArrow(_meet, "gid long, doc long")
-    groups = settle(met.join(member.select("doc", "rep"), "doc").select("gid", "rep").distinct(), "groups")
-    # One text of each class that has company.
-    company = groups.select("rep").distinct()
+    named = settle(met.join(member.select("doc", "rep"), "doc").select("gid", "rep").distinct(), "group_members")
+    centre = named.groupBy("gid").agg(F.min("rep").alias("centre"), F.max("rep").alias("most")).where("centre < most")
+    groups = settle(named.join(centre.select("gid", "centre"), "gid"), "groups")
+    # One text of each class that has company. Its number follows the documents', so the join is merged at every size.
+    company = groups.select("rep").distinct().hint("merge")
     texts = docs.join(company, F.col("doc") == F.col("rep"), "left_semi").groupBy("doc").agg(F.first("text").alias("text"))
-    texts = settle(texts.withColumn("shard", packed.shard_column(F.col("doc"), buckets)), "texts")
+    texts = texts.withColumns({"shard": packed.shard_column(F.col("doc"), buckets), "parity": _parities(size)("text")})
+    texts = settle(texts, "texts")
 
     # Classes that share a key (one key, several texts) belong together.
     least = member.groupBy("doc").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most")
     links = member.select("doc", F.col("rep").alias("u")).join(least.select("doc", "v"), "doc").where("u <> v").select("u", "v")
-    known = None
-    comps = None
-    for turn in range(ROUNDS + 1):
-        if comps is not None:
-            open_ = groups.join(comps, groups["rep"] == comps["node"], "left").select("gid", "rep", F.coalesce("component", "rep").alias("comp"))
-            mixed = open_.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gid")
-            left = settle(open_.join(mixed, "gid", "left_semi"), "open_groups")
-        else:
-            left = groups.withColumn("comp", F.col("rep"))
-        if turn < ROUNDS:
-            rank = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-            centre = left.groupBy("gid").agg(F.min_by(F.struct("rep", "comp"), rank).alias("c"))
-            pairs = left.join(centre, "gid").where("comp <> c.comp").select(F.least("rep", "c.rep").alias("u"), F.greatest("rep", "c.rep").alias("v"))
-        else:
-            pairs = left.join(classes.select("rep", "n", "parity"), "rep").groupBy("gid").applyInArrow(_possible, "u long, v long")
-        pairs = pairs.distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["u", "v"], "left_anti")
-        pairs = settle(pairs, "pairs")
-        known = pairs if known is None else known.unionByName(pairs)
-        linked = settle(_verify(pairs, texts, buckets, size), "links")
-        links = links.unionByName(linked)
-        comps = settle(components(links), "components")
+    sketches = texts.select(F.col("doc").alias("rep"), "parity").join(classes.select("rep", "n"), "rep").select("rep", "n", "parity")
+    pairs = groups.where("rep <> centre").select(F.col("centre").alias("u"), F.col("rep").alias("v")).distinct()
+    pairs = pairs.join(sketches.toDF("u", "nu", "pu"), "u").join(sketches.toDF("v", "nv", "pv"), "v")
+    pairs = pairs.where("100 * least(nu, nv) >= 75 * greatest(nu, nv)")
+    known = settle(pairs.where(_able("nu", "pu", "nv", "pv")).select("u", "v"), "pairs")
+    links = settle(links.unionByName(_verify(known, texts, buckets, size)), "links")
+    comps = settle(components(links), "components")
+    for most in NEAREST:
+        placed = groups.join(comps, groups["rep"] == comps["node"], "left").select("gid", "rep", F.coalesce("component", "rep").alias("comp"))
+        mixed = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gid")
+        open_ = placed.join(mixed, "gid").join(sketches, "rep").withColumn("bucket", F.pmod("gid", F.lit(buckets)))
+        found = settle(open_.groupBy("bucket").applyInArrow(_candidates(most), "u long, v long").distinct(), "pairs")
+        pairs = settle(found.where("u is not null").join(known, ["u", "v"], "left_anti"), "pairs")
+        known = known.unionByName(pairs)
+        if not pairs.isEmpty():
+            links = settle(links.unionByName(_verify(pairs, texts, buckets, size)), "links")
+            comps = settle(components(links), "components")
+        if found.where("u is null").isEmpty():
+            break
     own = member.join(comps, member["rep"] == comps["node"], "left").groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component"))
     found = sets.select("doc", "n").join(own, "doc", "left")
     return found.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
