@@ -27,9 +27,9 @@ SINGLE, PAIR = 1 << 20, 1 << 18
 #: Pseudo-count that draws a ratio to one, and the least log ratio that counts: below it is mostly chance.
 PSEUDO, MARGIN = 1.0, 1.5
 #: n-grams without evidence that every document is given, so that a few words cannot decide.
-PRIOR = 20
+PRIOR = 150
 #: Scale of the Gumbel noise.
-TEMPERATURE = 0.002
+TEMPERATURE = 0.0005
 AT_ONCE = 1 << 20
 #: Runs of ASCII punctuation.
 PUNCTUATION = ~byte_set([c for c in range(0x21, 0x7F) if not chr(c).isalnum()])
