@@ -21,8 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Pieces kept with their ids, and transitions kept; beyond that the tables start anew. This bounds memory only.
-CACHED_PIECES = 150_000
-CACHED_STATES = 1_200_000
+CACHED_PIECES = 100_000
+CACHED_STATES = 500_000
 #: Longer pieces are not kept.
 CACHED_LENGTH = 64
 #: Pieces of a text that are held at a time.

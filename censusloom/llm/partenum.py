@@ -37,7 +37,7 @@ CELL_BITS = 21
 LEAST_BITS, MOST_BITS = 1 << 10, 1 << 17
 #: Groups up to this size have all their pairs looked at, larger ones the pairs of members outside the largest component.
 SMALL = 32
-AT_ONCE, GROUP = 1 << 20, 1 << 20
+AT_ONCE, GROUP = 1 << 19, 1 << 20
 #: Nearest candidates of a member that are compared in each later round; in the last round all.
 NEAREST = (4, 64, None)
 _SINGLE = np.uint64(0xD6E8FEB86659FD93)
@@ -267,13 +267,16 @@ def _verify(pairs: DataFrame, texts: DataFrame, shards: int, size: int) -> DataF
 
 
 def _parities(size: int):
-    @F.arrow_udf(T.BinaryType())
+    """Size and parity sketch of a text's set."""
+
+    @F.arrow_udf("n long, parity binary")
     def run(column: pa.Array) -> pa.Array:
-        out: list[bytes] = []
+        counts, out = [], []
         for i, j, rows, hashes in _sets(column, size):
             edges = np.searchsorted(rows, np.arange(j - i + 1))
+            counts += np.diff(edges).tolist()
             out += [parity(hashes[edges[k] : edges[k + 1]]) for k in range(j - i)]
-        return pa.array(out, pa.binary())
+        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(out, pa.binary())], ["n", "parity"])
 
     return run
 
@@ -291,55 +294,70 @@ def _able(n: pa.Array, sketch: pa.Array, other_n: pa.Array, other_sketch: pa.Arr
     return pa.array(_may_link(n.to_numpy(), other_n.to_numpy(), apart))
 
 
-def _candidates(most: int | None):
-    """Of many groups, pairs of members in different components that may link; (null, null) if some were put off."""
+def _small_pairs(table: pa.Table) -> pa.Table:
+    """Of many small groups, all pairs of members in different components whose sizes let them link."""
+    gid, rep, comp, n = (table[k].to_numpy() for k in ("gid", "rep", "comp", "n"))
+    order = np.lexsort((n, gid))
+    gid, rep, comp, n = gid[order], rep[order], comp[order], n[order]
+    us, vs = [], []
+    for step in range(1, SMALL):  # neighbours at a distance of 1, 2, ... of all groups at once
+        i = np.flatnonzero(gid[:-step] == gid[step:]) if len(gid) > step else np.zeros(0, np.int64)
+        if not len(i):
+            break
+        i = i[(comp[i] != comp[i + step]) & (100 * n[i] >= PERCENT * n[i + step])]
+        us.append(rep[i])
+        vs.append(rep[i + step])
+    return _distinct_pairs(us, vs, [])
+
+
+def _distinct_pairs(us: list[np.ndarray], vs: list[np.ndarray], more: list) -> pa.Table:
+    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+    pairs = np.unique(np.stack((np.minimum(u, v), np.maximum(u, v))), axis=1) if len(u) else np.zeros((2, 0), np.int64)
+    return pa.table({"u": pa.array([*pairs[0].tolist(), *more], pa.int64()), "v": pa.array([*pairs[1].tolist(), *more], pa.int64())})
+
+
+def _large_pairs(most: int | None):
+    """Of a large group, pairs of members in different components that may link: each member outside the largest
+    component with others, nearest first; (null, null) if some were put off."""
 
     def run(table: pa.Table) -> pa.Table:
-        gid, rep, comp, n = (table[k].to_numpy() for k in ("gid", "rep", "comp", "n"))
+        rep, comp, n = (table[k].to_numpy() for k in ("rep", "comp", "n"))
         sketches = _Sketches(table["parity"])
-        order = np.lexsort((n, gid))
-        gid, rep, comp, n = gid[order], rep[order], comp[order], n[order]
-        start = _firsts(gid)
-        size = np.diff(start, append=len(gid))
+        order = np.argsort(n, kind="stable")
+        rep, comp, n = rep[order], comp[order], n[order]
         us, vs, more = [], [], False
-        # Small groups: all pairs at a distance of 1, 2, ... in this order, of all groups at once.
-        own = np.repeat(size, size) <= SMALL
-        for step in range(1, SMALL):
-            i = np.flatnonzero(own[:-step] & (gid[:-step] == gid[step:])) if len(gid) > step else np.zeros(0, np.int64)
-            if not len(i):
-                break
-            i = i[(comp[i] != comp[i + step]) & (100 * n[i] >= PERCENT * n[i + step])]
-            able = i[_may_link(n[i], n[i + step], sketches.apart(order[i], order[i + step]))]
-            us.append(rep[able])
-            vs.append(rep[able + step])
-        # Large groups: each member outside the largest component, nearest others first.
-        for a, b in [(x, x + k) for x, k in zip(start, size, strict=True) if k > SMALL]:
-            names, index, count = np.unique(comp[a:b], return_inverse=True, return_counts=True)
-            largest = np.lexsort((names, -count))[0]
-            for i in a + np.flatnonzero(index != largest):
-                low = a + int(np.searchsorted(n[a:b], -(-PERCENT * n[i] // 100), "left"))
-                high = a + int(np.searchsorted(n[a:b], 100 * n[i] // PERCENT, "right"))
-                j = low + np.flatnonzero(comp[low:high] != comp[i])
-                apart = sketches.apart(np.full(len(j), order[i]), order[j])
-                able = np.flatnonzero(_may_link(n[i], n[j], apart))
-                if most is not None and len(able) > most:
-                    able, more = able[np.argsort(apart[able], kind="stable")[:most]], True
-                us.append(np.full(len(able), rep[i]))
-                vs.append(rep[j[able]])
-        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-        pairs = np.unique(np.stack((np.minimum(u, v), np.maximum(u, v))), axis=1) if len(u) else np.zeros((2, 0), np.int64)
-        put_off = [None] if more else []
-        return pa.table({"u": pa.array([*pairs[0].tolist(), *put_off], pa.int64()), "v": pa.array([*pairs[1].tolist(), *put_off], pa.int64())})
+        names, index, count = np.unique(comp, return_inverse=True, return_counts=True)
+        largest = np.lexsort((names, -count))[0]
+        for i in np.flatnonzero(index != largest):
+            low = int(np.searchsorted(n, -(-PERCENT * n[i] // 100), "left"))
+            high = int(np.searchsorted(n, 100 * n[i] // PERCENT, "right"))
+            j = low + np.flatnonzero(comp[low:high] != comp[i])
+            apart = sketches.apart(np.full(len(j), order[i]), order[j])
+            able = np.flatnonzero(_may_link(n[i], n[j], apart))
+            if most is not None and len(able) > most:
+                able, more = able[np.argsort(apart[able], kind="stable")[:most]], True
+            us.append(np.full(len(able), rep[i]))
+            vs.append(rep[j[able]])
+        return _distinct_pairs(us, vs, [None] if more else [])
 
     return run
 
 
+def _hooked(links: DataFrame) -> DataFrame:
+    """(node, comp): a member of its component for every linked node, often the least; two steps towards components."""
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("up"))
+    top = least.select(F.col("node").alias("up"), F.col("up").alias("comp"))
+    return least.join(top, "up").select("node", "comp")
+
+
 def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_shingles, component_id: the least key that a document reaches over links, for every row.
 
     Null and wordless texts have the empty set and link with nothing: their own key is their component. The key is an
-    integer that names a text; rows that repeat a key with another text count as one document of several texts, joined
-    through their key. Null keys are not linked and have a null component. Only key and text are read.
+    integer that names a text. Rows that repeat a key with other texts keep their own sizes and share a component; it
+    links to other keys by equal sets, and otherwise by the least of these texts. Null keys are not linked and have a
+    null component. Only key and text are read.
     """
     spark = df.sparkSession
     buckets = packed.buckets_of(spark)
@@ -386,37 +404,52 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
 
     entries = docs.where("doc is not null").mapInArrow(probe, "bucket int, docs binary, runs binary, at binary, one binary")
     met = entries.groupBy("bucket").applyInArrow(_meet, "gid long, doc long")
-    named = settle(met.join(member.select("doc", "rep"), "doc").select("gid", "rep").distinct(), "group_members")
-    centre = named.groupBy("gid").agg(F.min("rep").alias("centre"), F.max("rep").alias("most")).where("centre < most")
-    groups = settle(named.join(centre.select("gid", "centre"), "gid"), "groups")
+    named = settle(met.join(member, "doc").select("gid", "rep", "n").distinct(), "group_members")
+    centre = named.groupBy("gid").agg(F.min(F.struct("rep", "n")).alias("c"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("size"))
+    centre = centre.where("c.rep < most").select("gid", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"), "size")
+    groups = settle(named.join(centre, "gid"), "groups")
     # One text of each class that has company. Its number follows the documents', so the join is merged at every size.
     company = groups.select("rep").distinct().hint("merge")
-    texts = docs.join(company, F.col("doc") == F.col("rep"), "left_semi").groupBy("doc").agg(F.first("text").alias("text"))
-    texts = texts.withColumns({"shard": packed.shard_column(F.col("doc"), buckets), "parity": _parities(size)("text")})
+    texts = docs.join(company, F.col("doc") == F.col("rep"), "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+    texts = texts.select(packed.shard_column(F.col("doc"), buckets).alias("shard"), "doc", "text", _parities(size)("text").alias("sketch"))
+    texts = texts.select("shard", "doc", "text", "sketch.*")
     texts = settle(texts, "texts")
 
     # Classes that share a key (one key, several texts) belong together.
     least = member.groupBy("doc").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most")
-    links = member.select("doc", F.col("rep").alias("u")).join(least.select("doc", "v"), "doc").where("u <> v").select("u", "v")
-    sketches = texts.select(F.col("doc").alias("rep"), "parity").join(classes.select("rep", "n"), "rep").select("rep", "n", "parity")
-    pairs = groups.where("rep <> centre").select(F.col("centre").alias("u"), F.col("rep").alias("v")).distinct()
-    pairs = pairs.join(sketches.toDF("u", "nu", "pu"), "u").join(sketches.toDF("v", "nv", "pv"), "v")
-    pairs = pairs.where("100 * least(nu, nv) >= 75 * greatest(nu, nv)")
-    known = settle(pairs.where(_able("nu", "pu", "nv", "pv")).select("u", "v"), "pairs")
+    links = spark.createDataFrame([], "u long, v long")
+    if not least.isEmpty():
+        links = member.select("doc", F.col("rep").alias("u")).join(least.select("doc", "v"), "doc").where("u <> v").select("u", "v")
+    sketches = texts.select(F.col("doc").alias("rep"), "n", "parity")
+
+    def able(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sketches.toDF("u", "nu", "pu"), "u").join(sketches.toDF("v", "nv", "pv"), "v")
+        return both.where(_able("nu", "pu", "nv", "pv")).select("u", "v")
+
+    near = "100 * least(n, centre_n) >= 75 * greatest(n, centre_n)"
+    pairs = groups.where("rep <> centre").where(near).select(F.col("centre").alias("u"), F.col("rep").alias("v")).distinct()
+    known = settle(able(pairs), "pairs")
     links = settle(links.unionByName(_verify(known, texts, buckets, size)), "links")
-    comps = settle(components(links), "components")
+    comps = _hooked(links)
     for most in NEAREST:
-        placed = groups.join(comps, groups["rep"] == comps["node"], "left").select("gid", "rep", F.coalesce("component", "rep").alias("comp"))
+        placed = groups.join(comps, groups["rep"] == comps["node"], "left").select("gid", "rep", "n", "size", F.coalesce("comp", "rep").alias("comp"))
         mixed = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gid")
-        open_ = placed.join(mixed, "gid").join(sketches, "rep").withColumn("bucket", F.pmod("gid", F.lit(buckets)))
-        found = settle(open_.groupBy("bucket").applyInArrow(_candidates(most), "u long, v long").distinct(), "pairs")
+        open_ = settle(placed.join(mixed, "gid"), "open_groups")
+        large = open_.where(F.col("size") > SMALL).join(sketches.select("rep", "parity"), "rep")
+        found = large.groupBy("gid").applyInArrow(_large_pairs(most), "u long, v long")
+        if most == NEAREST[0]:  # all pairs of small groups, once
+            small = open_.where(F.col("size") <= SMALL).withColumn("bucket", F.pmod("gid", F.lit(buckets)))
+            rest = small.groupBy("bucket").applyInArrow(_small_pairs, "u long, v long").distinct().join(known, ["u", "v"], "left_anti")
+            found = found.unionByName(able(rest))
+        found = settle(found.distinct(), "pairs")
         pairs = settle(found.where("u is not null").join(known, ["u", "v"], "left_anti"), "pairs")
         known = known.unionByName(pairs)
-        if not pairs.isEmpty():
-            links = settle(links.unionByName(_verify(pairs, texts, buckets, size)), "links")
-            comps = settle(components(links), "components")
+        links = settle(links.unionByName(_verify(pairs, texts, buckets, size)), "links")
+        comps = components(links).withColumnRenamed("component", "comp")
         if found.where("u is null").isEmpty():
             break
+        comps = settle(comps, "components")
+    comps = comps.withColumnRenamed("comp", "component")
     own = member.join(comps, member["rep"] == comps["node"], "left").groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component"))
     found = sets.select("doc", "n").join(own, "doc", "left")
     return found.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))

@@ -30,7 +30,7 @@ PSEUDO, MARGIN = 1.0, 1.5
 PRIOR = 150
 #: Scale of the Gumbel noise.
 TEMPERATURE = 0.0005
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 #: Runs of ASCII punctuation.
 PUNCTUATION = ~byte_set([c for c in range(0x21, 0x7F) if not chr(c).isalnum()])
 _REPEAT = np.uint64(0x2545F4914F6CDD1D)

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from censusloom.llm import bpe, html, langid, oracle, partenum, quality, ring, simhash, substring, token_count, winnow
 
 
+#: Rows of a batch that goes to a task's Python worker: some megabytes of texts.
+ARROW_ROWS = 2_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     # Tasks import this package too, also when only the driver's path has it.
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")

@@ -23,7 +23,7 @@ from censusloom.llm.text import SPACED, slices, utf8, window_hashes, window_star
 
 MIN_WORDS = 35
 #: Bytes of text that are hashed at a time, and words whose digests are grouped before they travel.
-AT_ONCE, GROUP = 1 << 20, 1 << 21
+AT_ONCE, GROUP = 1 << 19, 1 << 21
 
 
 def _hashed(keys: np.ndarray, column, seeds: tuple[int, ...]) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray]]]:

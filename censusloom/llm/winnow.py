@@ -21,7 +21,7 @@ from censusloom.plans.storage import settle
 #: Words of a window, and of the k-grams that are winnowed.
 WINDOW, GRAM = 13, 7
 #: Bytes of text that are worked on at a time.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 
 
 def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
