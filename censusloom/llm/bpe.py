@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from censusloom.llm.text import RELEASE
+
 #: Pieces kept with their ids, and transitions kept; beyond that the tables start anew. This bounds memory only.
 CACHED_PIECES = 100_000
 CACHED_STATES = 500_000
@@ -223,6 +225,9 @@ def _codec(path: str, pattern: str) -> tuple:
     return regex.compile(pattern), _Codes(transducer), {b"%d" % i: t for i, t in transducer.bytes_of.items()}
 
 
+RELEASE.append(_codec.cache_clear)
+
+
 def _groups(found: Callable, text: str) -> Iterator[list[str]]:
     """Pieces of a text, some at a time."""
     if len(text) <= PIECES_AT_ONCE:

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -317,7 +317,7 @@ def _distinct_pairs(us: list[np.ndarray], vs: list[np.ndarray], more: list) -> p
 
 
 def _large_pairs(most: int | None):
-    """Of a large group, pairs of members in different components that may link: each member outside the largest
+    """Of large groups, pairs of members in different components that may link: each member outside the largest
     component with others, nearest first; (null, null) if some were put off."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -404,10 +404,12 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
 
     entries = docs.where("doc is not null").mapInArrow(probe, "bucket int, docs binary, runs binary, at binary, one binary")
     met = entries.groupBy("bucket").applyInArrow(_meet, "gid long, doc long")
-    named = settle(met.join(member, "doc").select("gid", "rep", "n").distinct(), "group_members")
-    centre = named.groupBy("gid").agg(F.min(F.struct("rep", "n")).alias("c"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("size"))
-    centre = centre.where("c.rep < most").select("gid", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"), "size")
-    groups = settle(named.join(centre, "gid"), "groups")
+    # Dealt out by group once; members are then made distinct and compared with their group where they are.
+    own = Window.partitionBy("gid")
+    named = met.join(member, "doc").select("gid", "rep", "n").repartition("gid").distinct()
+    named = named.withColumns({"c": F.min(F.struct("rep", "n")).over(own), "most": F.max("rep").over(own), "size": F.count(F.lit(1)).over(own)})
+    named = named.where("c.rep < most").select("gid", "rep", "n", "size", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"))
+    groups = settle(named, "groups")
     # One text of each class that has company. Its number follows the documents', so the join is merged at every size.
     company = groups.select("rep").distinct().hint("merge")
     texts = docs.join(company, F.col("doc") == F.col("rep"), "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
@@ -433,10 +435,13 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
     comps = _hooked(links)
     for most in NEAREST:
         placed = groups.join(comps, groups["rep"] == comps["node"], "left").select("gid", "rep", "n", "size", F.coalesce("comp", "rep").alias("comp"))
-        mixed = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gid")
-        open_ = settle(placed.join(mixed, "gid"), "open_groups")
-        large = open_.where(F.col("size") > SMALL).join(sketches.select("rep", "parity"), "rep")
-        found = large.groupBy("gid").applyInArrow(_large_pairs(most), "u long, v long")
+        placed = placed.repartition("gid").withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("gid", "comp")))
+        largest = F.max(F.struct("same", "comp")).over(own)["comp"]
+        placed = placed.withColumns({"low": F.min("comp").over(own), "high": F.max("comp").over(own), "largest": largest})
+        open_ = settle(placed.where("low < high").select("gid", "rep", "comp", "n", "size", "largest"), "open_groups")
+        # Large groups with one largest component are looked at together: their members are mostly the same.
+        large = open_.where(F.col("size") > SMALL).select("largest", "rep", "comp", "n").distinct()
+        found = large.join(sketches.select("rep", "parity"), "rep").groupBy("largest").applyInArrow(_large_pairs(most), "u long, v long")
         if most == NEAREST[0]:  # all pairs of small groups, once
             small = open_.where(F.col("size") <= SMALL).withColumn("bucket", F.pmod("gid", F.lit(buckets)))
             rest = small.groupBy("bucket").applyInArrow(_small_pairs, "u long, v long").distinct().join(known, ["u", "v"], "left_anti")

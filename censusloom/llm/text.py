@@ -6,7 +6,7 @@ same words have the same digest in every task and every run.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +17,10 @@ MODULUS = 1 << 64
 _WHITE = [0x20, *range(0x09, 0x0E)]
 
 
+#: Frees large tables that operators which do not use this module keep in a worker; a worker lives on from task to task.
+RELEASE: list[Callable[[], None]] = []
+
+
 def byte_set(excluded: list[int]) -> np.ndarray:
     """Which of the 256 byte values belong to a word."""
     inside = np.ones(256, bool)
@@ -35,6 +39,8 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, and len + 1 offsets; null counts as empty."""
+    for release in RELEASE:
+        release()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "").cast(pa.large_string())

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from censusloom.llm.text import RELEASE
+
 #: Characters of a chunk and of the overlap of two chunks; texts up to a chunk are encoded at once.
 CHUNK, OVERLAP = 1 << 16, 256
 #: Characters that are handed to the library at a time.
@@ -34,6 +36,9 @@ def load(path: str):
     return tokenizer
 
 
+RELEASE.append(load.cache_clear)
+
+
 def guard_of(tokenizer) -> int:
     """Characters before a chunk's end whose pieces may still change."""
     return 4 + max((len(t.content) for t in tokenizer.get_added_tokens_decoder().values()), default=0)
