@@ -1,7 +1,8 @@
 """Times the headline queries; prints one JSON line.
 
 BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the local cores,
-BENCH_RUNS how often each query is timed after one warm-up (the median counts).
+BENCH_RUNS how often each query is timed after one warm-up (the median counts),
+BENCH_JIT=0 leaves the JVM's limit on compiled methods as a user's session has it.
 """
 
 from __future__ import annotations
@@ -47,8 +48,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
-        # Lets the JIT compile long generated methods instead of interpreting them.
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        # By default the JIT may compile long generated methods instead of interpreting them.
+        .config("spark.driver.extraJavaOptions", "" if os.environ.get("BENCH_JIT") == "0" else "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
