@@ -18,7 +18,7 @@ _WHITE = [0x20, *range(0x09, 0x0E)]
 
 
 #: Frees large tables that operators which do not use this module keep in a worker; a worker lives on from task to task.
-RELEASE: list[Callable[[], None]] = []
+RELEASE: list[Callable[[], None]] = [pa.default_memory_pool().release_unused]
 
 
 def byte_set(excluded: list[int]) -> np.ndarray:
@@ -86,9 +86,11 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """The first n powers; the longest table so far is kept."""
+    """The first n powers; the longest tables of one operator's bases are kept."""
     known = _POWERS.get(base)
     if known is None or len(known) < n:
+        if known is None and len(_POWERS) >= 8:
+            _POWERS.clear()
         size = max(1 << 16, 1 << int(n).bit_length())
         known = _POWERS[base] = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, base, np.uint64))))
     return known[:n]
