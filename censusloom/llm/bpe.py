@@ -20,11 +20,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from censusloom.llm.text import RELEASE
+from censusloom.llm.text import RELEASE, forget
 
 #: Pieces kept with their ids, and transitions kept; beyond that the tables start anew. This bounds memory only.
 CACHED_PIECES = 100_000
-CACHED_STATES = 500_000
+CACHED_STATES = 400_000
 #: Longer pieces are not kept.
 CACHED_LENGTH = 64
 #: Pieces of a text that are held at a time.
@@ -248,6 +248,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text: str = "text",
     fields = f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         found, codes, bytes_of = _codec(path, pattern)
         for batch in batches:
             rows = []

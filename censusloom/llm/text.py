@@ -96,6 +96,12 @@ def powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+def forget() -> None:
+    """Frees the tables of powers, for operators that do not hash words."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads every bit over all 64."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
