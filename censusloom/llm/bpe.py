@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from censusloom.llm.text import RELEASE, forget
 
 #: Pieces kept with their ids, and transitions kept; beyond that the tables start anew. This bounds memory only.
-CACHED_PIECES = 100_000
-CACHED_STATES = 400_000
+CACHED_PIECES = 60_000
+CACHED_STATES = 300_000
 #: Longer pieces are not kept.
 CACHED_LENGTH = 64
 #: Pieces of a text that are held at a time.
