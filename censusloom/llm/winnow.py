@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from censusloom.llm.text import ALNUM, LOWER, mix, slices, utf8, window_hashes, window_starts, word_hashes, words
@@ -107,8 +107,13 @@ def item_windows(items: DataFrame, window: int, gram: int, text: str, key: str)
     return items.select(key, text).mapInArrow(run, f"item {kind}, size int, one long, two long, prints array<long>")
 
 
+def text_tag(text: Column) -> Column:
+    """128 bits that tell a row's text from those of other rows with its key; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def _prints(docs: DataFrame, sizes: list[int], window: int, gram: int) -> DataFrame:
-    """doc, at, print: all fingerprints of the documents; for items of size < window, all their grams of that size."""
+    """doc, tag, at, print: all fingerprints of the documents; for items of size < window, all their grams of that size."""
     kind = docs.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,11 +128,11 @@ def _prints(docs: DataFrame, sizes: list[int], window: int, gram: int) -> DataFr
                 for at, prints in found:
                     rows = np.searchsorted(bounds, at, "right") - 1
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(rows + i)), pa.array((at - bounds[rows]).astype(np.int32)), pa.array(prints)],
-                        ["doc", "at", "print"],
+                        [*(batch.column(k).take(pa.array(rows + i)) for k in (0, 2)), pa.array((at - bounds[rows]).astype(np.int32)), pa.array(prints)],
+                        ["doc", "tag", "at", "print"],
                     )
 
-    return docs.select("doc", "text").mapInArrow(run, f"doc {kind}, at int, print long")
+    return docs.select("doc", "text", "tag").mapInArrow(run, f"doc {kind}, tag binary, at int, print long")
 
 
 def _windows(docs: DataFrame, sizes: list[int], window: int, gram: int) -> DataFrame:
@@ -143,6 +148,8 @@ def _windows(docs: DataFrame, sizes: list[int], window: int, gram: int) -> DataF
                 counts = np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
                 rows = np.repeat(np.arange(j - i), counts)
                 places = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + bounds[rows]
+                own = places < bounds[rows + 1]  # not a place of another text
+                places, rows = places[own], rows[own]
                 out = []
                 for n in sizes:
                     starts = window_starts(bounds, n)
@@ -176,18 +183,18 @@ def _windows(docs: DataFrame, sizes: list[int], window: int, gram: int) -> DataF
                     ["doc", "tag", "n_words", "found"],
                 )
 
-    fields = f"doc {kind}, tag long, n_words long, found array<struct<at: int, size: int, one: long, two: long>>"
+    fields = f"doc {kind}, tag binary, n_words long, found array<struct<at: int, size: int, one: long, two: long>>"
     return docs.select("doc", "text", "hits", "tag").mapInArrow(run, fields)
 
 
 def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """key, n_words, n_hit, n_items, items (sorted as strings), contaminated, for every document.
+    """key, tag (text_tag of the text), n_words, n_hit, n_items, items (sorted as strings), contaminated, for every document.
 
     Null and wordless texts have no words and are never hit; null items have no window. Rows equal in key and text
     give one row; rows equal in key only are told apart by their text. An empty table of items hits nothing. Only the
     named columns are read.
     """
-    documents = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    documents = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"), text_tag(F.col(text)).alias("tag"))
     benchmark = settle(item_windows(items, window, gram, text, item_key), "item_windows")
     sizes = sorted(r["size"] for r in benchmark.select("size").distinct().collect())  # at most as many as a window has words
     wanted = settle(benchmark.select(F.explode("prints").alias("print")).distinct(), "item_prints")
@@ -196,9 +203,10 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: s
     )
     # Spark broadcasts the items' tables below its threshold and shuffles both sides above.
     hits = settle(
-        _prints(documents, sizes, window, gram).join(wanted, "print", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("hits")), "hits"
+        _prints(documents, sizes, window, gram).join(wanted, "print", "left_semi").groupBy("doc", "tag").agg(F.collect_set("at").alias("hits")), "hits"
     )
-    flagged = documents.withColumn("tag", F.xxhash64("text")).join(hits.withColumnRenamed("doc", "_doc"), F.col("doc").eqNullSafe(F.col("_doc")), "left")
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("tag") == F.col("_tag"))
+    flagged = documents.join(hits.withColumnsRenamed({"doc": "_doc", "tag": "_tag"}), same, "left")
     found = _windows(flagged, sizes, window, gram)
     each = found.select("doc", "tag", "n_words", F.explode_outer("found").alias("w")).select("doc", "tag", "n_words", "w.*")
     each = each.join(known, ["size", "one", "two"], "left")
@@ -210,8 +218,8 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: s
     )
     named = F.sort_array(F.transform(F.array_distinct(F.flatten("owners")), lambda x: x.cast("string")))
     return per_doc.select(
-        F.col("doc").alias(key), "n_words", covered.alias("n_hit"), F.size("owners").cast("long").alias("_sets"), named.alias("items")
+        F.col("doc").alias(key), "tag", "n_words", covered.alias("n_hit"), F.size("owners").cast("long").alias("_sets"), named.alias("items")
     ).select(
-        key, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
+        key, "tag", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )

@@ -57,6 +57,14 @@ def test_empty_and_repeated(spark):
     assert got(spark, [], items) == []
 
 
+def test_hits_stay_with_their_own_text(spark):
+    item = " ".join(f"i{k}" for k in range(13))
+    far = " ".join(["zz"] * 500) + " " + item
+    for key in (None, 1):
+        docs = [(key, far), (key, ""), (key, None), (key, "short"), (key, item + " short"), (2, "other")]
+        assert set(got(spark, docs, [(7, item), (8, "yy")])) == brute(docs, [(7, item), (8, "yy")])
+
+
 def test_every_long_shared_span_shares_a_fingerprint():
     import numpy as np
 
