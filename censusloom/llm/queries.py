@@ -39,7 +39,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = winnow.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = winnow.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), each_row=True)
     joined = F.concat_ws(",", "items")
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(joined, 256).alias("items_sha256"), "contaminated")
 

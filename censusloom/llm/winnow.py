@@ -187,11 +187,11 @@ def _windows(docs: DataFrame, sizes: list[int], window: int, gram: int) -> DataF
     return docs.select("doc", "text", "hits", "tag").mapInArrow(run, fields)
 
 
-def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, each_row: bool = False) -> DataFrame:
     """key, tag (text_tag of the text), n_words, n_hit, n_items, items (sorted as strings), contaminated, for every document.
 
     Null and wordless texts have no words and are never hit; null items have no window. Rows equal in key and text
-    give one row; rows equal in key only are told apart by their text. An empty table of items hits nothing. Only the
+    give one row, with each_row a row each; rows equal in key only are told apart by their text. An empty table of items hits nothing. Only the
     named columns are read.
     """
     documents = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"), text_tag(F.col(text)).alias("tag"))
@@ -217,9 +217,13 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: s
         " (a, x) -> struct(greatest(a.upto, x.at + x.size) as upto, a.n + greatest(0, x.at + x.size - greatest(a.upto, x.at)) as n), a -> a.n)"
     )
     named = F.sort_array(F.transform(F.array_distinct(F.flatten("owners")), lambda x: x.cast("string")))
-    return per_doc.select(
+    answers = per_doc.select(
         F.col("doc").alias(key), "tag", "n_words", covered.alias("n_hit"), F.size("owners").cast("long").alias("_sets"), named.alias("items")
     ).select(
         key, "tag", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+    if not each_row:
+        return answers
+    same = F.col("doc").eqNullSafe(F.col(key)) & (F.col("_tag") == F.col("tag"))
+    return documents.select("doc", F.col("tag").alias("_tag")).join(answers, same).drop("doc", "_tag")

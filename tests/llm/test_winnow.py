@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from censusloom.llm.queries import queries
 from censusloom.llm.winnow import overlaps
 
 
@@ -65,6 +66,14 @@ def test_hits_stay_with_their_own_text(spark):
         assert set(got(spark, docs, [(7, item), (8, "yy")])) == brute(docs, [(7, item), (8, "yy")])
 
 
+def test_every_row_has_its_answer(spark, tmp_path):
+    docs = [(1, "one two three"), (1, "one two three"), (1, "other"), (None, "one two three"), (None, "one two three"), (2, None), (2, None), (2, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(7, "two three")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(r.doc_id, r.n_words, r.n_hit, r.contaminated) for r in queries()["op4_decontamination"](spark, str(tmp_path)).collect()]
+    assert sorted(rows, key=str) == sorted([(1, 3, 2, True)] * 2 + [(1, 1, 0, False)] + [(None, 3, 2, True)] * 2 + [(2, 0, 0, False)] * 3, key=str)
+
+
 def test_every_long_shared_span_shares_a_fingerprint():
     import numpy as np
 
