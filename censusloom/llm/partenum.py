@@ -281,6 +281,18 @@ def _parities(size: int):
     return run
 
 
+def set_digests(size: int = SHINGLE):
+    """n, one, two of a text's set, as shingle_sets has them."""
+
+    @F.arrow_udf("n long, one long, two long")
+    def run(column: pa.Array) -> pa.Array:
+        parts = [_digests(rows, hashes, j - i) for i, j, rows, hashes in _sets(column, size)]
+        n, one, two = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 3
+        return pa.StructArray.from_arrays([pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], ["n", "one", "two"])
+
+    return run
+
+
 def _may_link(n: np.ndarray, other: np.ndarray, apart: np.ndarray) -> np.ndarray:
     """Whether sizes and a lower bound of the difference let two sets link."""
     sizes = 100 * np.minimum(n, other) >= PERCENT * np.maximum(n, other)
@@ -351,23 +363,75 @@ def _hooked(links: DataFrame) -> DataFrame:
     return least.join(top, "up").select("node", "comp")
 
 
+class _Linked:
+    """Classes of equal sets and the links between them, found on texts alone.
+
+    sets: doc, n, one, two of every row; classes: n, one, two, rep (the class's name), least (its least doc); member:
+    doc, rep; links: (u, v) and comps: (node, component) of names. repeated: whether some doc has texts of several classes. Without
+    such docs a class is named by its least doc, else by a number of its own.
+    """
+
+    def __init__(self, sets: DataFrame, classes: DataFrame, member: DataFrame, links: DataFrame, comps: DataFrame, repeated: bool):
+        self.sets, self.classes, self.member, self.links, self.comps, self.repeated = sets, classes, member, links, comps, repeated
+
+
 def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_shingles, component_id: the least key that a document reaches over links, for every row.
 
     Null and wordless texts have the empty set and link with nothing: their own key is their component. The key is an
-    integer that names a text. Rows that repeat a key with other texts keep their own sizes and share a component; it
-    links to other keys by equal sets, and otherwise by the least of these texts. Null keys are not linked and have a
-    null component. Only key and text are read.
+    integer. Rows that repeat a key with other texts keep their own sizes and links and share a component. Null keys
+    are not linked and have a null component. Only key and text are read.
+    """
+    found = _linked_classes(df, size, text, key)
+    classes, member, comps = found.classes, found.member, found.comps
+    if found.repeated:  # Classes that share a key belong together.
+        member = settle(member.distinct(), "distinct_members")
+        first = member.groupBy("doc").agg(F.min("rep").alias("v"))
+        shared = member.select("doc", F.col("rep").alias("u")).join(first, "doc").where("u <> v").select("u", "v")
+        comps = settle(components(found.links.unionByName(shared)), "components")
+        named = comps.join(classes.select(F.col("rep").alias("node"), "least"), "node").groupBy("component").agg(F.min("least").alias("least"))
+        comps = comps.join(named, "component").select("node", F.col("least").alias("component"))
+        alone = classes.select(F.col("rep").alias("node"), "least").join(comps, "node", "left")
+        comps = alone.select("node", F.coalesce("component", "least").alias("component"))
+    own = member.join(comps, member["rep"] == comps["node"], "left").groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component"))
+    rows = found.sets.select("doc", "n").join(own, "doc", "left")
+    return rows.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+
+
+def linked_texts(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc, n, one, two, copies (rows), group: for each key and set (set_digests) the group of texts that links reach.
+
+    A shared key alone links nothing. Rows without a key or a word are left out.
     """
+    found = _linked_classes(df, size, text, key)
+    rows = found.sets.where("n > 0 and doc is not null").groupBy("doc", "n", "one", "two").agg(F.count(F.lit(1)).alias("copies"))
+    rows = rows.join(found.classes, ["n", "one", "two"])
+    rows = rows.join(found.comps, rows["rep"] == found.comps["node"], "left")
+    return rows.select("doc", "n", "one", "two", "copies", F.coalesce("component", "rep").alias("group"))
+
+
+def _linked_classes(df: DataFrame, size: int, text: str, key: str) -> _Linked:
     spark = df.sparkSession
     buckets = packed.buckets_of(spark)
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     tables = settle(shingle_sets(docs, size), "shingle_sets")
     sketch = spark.sparkContext.broadcast(counting.total(tables.where("segment is not null"), 1 << CELL_BITS))
     sets = tables.where("segment is null").drop(*counting.NAMES)
-    classes = sets.where("n > 0 and doc is not null").groupBy("n", "one", "two").agg(F.min("doc").alias("rep"))
-    classes = settle(classes, "classes")
-    member = settle(sets.select("doc", "n", "one", "two").join(classes.select("n", "one", "two", "rep"), ["n", "one", "two"]).select("doc", "rep", "n"), "members")
+    able_sets = sets.where("n > 0 and doc is not null")
+    digest = F.struct("n", "one", "two")
+    several = settle(able_sets.groupBy("doc").agg(F.min(digest).alias("a"), F.max(digest).alias("b")).where("a <> b").select("doc"), "several")
+    repeated = not several.isEmpty()
+    name = F.monotonically_increasing_id() if repeated else F.col("least")
+    classes = settle(able_sets.groupBy("n", "one", "two").agg(F.min("doc").alias("least")).withColumn("rep", name), "classes")
+    member = settle(able_sets.join(classes, ["n", "one", "two"]).select("doc", "rep", "n"), "members")
+    names = member
+    marked = docs.where("doc is not null").withColumn("several", F.lit(False))
+    if repeated:
+        # Entries of a key with several texts go by the set's digest; a chance hit of another name is one more candidate.
+        names = member.join(several, "doc", "left_anti").unionByName(classes.select(F.col("one").alias("doc"), "rep", "n"))
+        known = several.select(F.col("doc").alias("_doc"))
+        marked = docs.where("doc is not null").join(known, F.col("doc") == F.col("_doc"), "left")
+        marked = marked.select("doc", "text", F.col("_doc").isNotNull().alias("several"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -384,7 +448,7 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
 
         seen: set[tuple[int, int]] = set()  # sets of this group of documents: copies give no signatures again
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, by_set = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
             for i, j, rows, hashes in _sets(batch.column(1), size):
                 _, one, two = _digests(rows, hashes, j - i)
                 new = np.zeros(j - i, bool)
@@ -395,33 +459,33 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
                 keep = new[rows]
                 r, s = chosen(rows[keep], hashes[keep], j - i, sketch.value)
                 order = np.argsort(r, kind="stable")
-                held.append((ids[i:j][r[order]], s[order]))
+                names = np.where(by_set[i:j], one.view(np.int64), ids[i:j])
+                held.append((names[r[order]], s[order]))
                 if sum(len(h[0]) for h in held) >= GROUP:
                     yield flush()
                     seen.clear()
         if held:
             yield flush()
 
-    entries = docs.where("doc is not null").mapInArrow(probe, "bucket int, docs binary, runs binary, at binary, one binary")
+    entries = marked.mapInArrow(probe, "bucket int, docs binary, runs binary, at binary, one binary")
     met = entries.groupBy("bucket").applyInArrow(_meet, "gid long, doc long")
     # Dealt out by group once; members are then made distinct and compared with their group where they are.
     own = Window.partitionBy("gid")
-    named = met.join(member, "doc").select("gid", "rep", "n").repartition("gid").distinct()
+    named = met.join(names, "doc").select("gid", "rep", "n").repartition("gid").distinct()
     named = named.withColumns({"c": F.min(F.struct("rep", "n")).over(own), "most": F.max("rep").over(own), "size": F.count(F.lit(1)).over(own)})
     named = named.where("c.rep < most").select("gid", "rep", "n", "size", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"))
     groups = settle(named, "groups")
     # One text of each class that has company. Its number follows the documents', so the join is merged at every size.
-    company = groups.select("rep").distinct().hint("merge")
-    texts = docs.join(company, F.col("doc") == F.col("rep"), "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+    company = groups.select("rep").distinct()
+    if repeated:
+        company = company.join(classes.withColumnRenamed("least", "doc"), "rep").hint("merge")
+        texts = docs.select("doc", "text", set_digests(size)("text").alias("own")).select("doc", "text", "own.*").join(company, ["doc", "n", "one", "two"])
+    else:
+        texts = docs.join(company.hint("merge"), F.col("doc") == F.col("rep"))
+    texts = texts.groupBy(F.col("rep").alias("doc")).agg(F.min("text").alias("text"))
     texts = texts.select(packed.shard_column(F.col("doc"), buckets).alias("shard"), "doc", "text", _parities(size)("text").alias("sketch"))
     texts = texts.select("shard", "doc", "text", "sketch.*")
     texts = settle(texts, "texts")
-
-    # Classes that share a key (one key, several texts) belong together.
-    least = member.groupBy("doc").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most")
-    links = spark.createDataFrame([], "u long, v long")
-    if not least.isEmpty():
-        links = member.select("doc", F.col("rep").alias("u")).join(least.select("doc", "v"), "doc").where("u <> v").select("u", "v")
     sketches = texts.select(F.col("doc").alias("rep"), "n", "parity")
 
     def able(pairs: DataFrame) -> DataFrame:
@@ -431,7 +495,7 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
     near = "100 * least(n, centre_n) >= 75 * greatest(n, centre_n)"
     pairs = groups.where("rep <> centre").where(near).select(F.col("centre").alias("u"), F.col("rep").alias("v")).distinct()
     known = settle(able(pairs), "pairs")
-    links = settle(links.unionByName(_verify(known, texts, buckets, size)), "links")
+    links = settle(_verify(known, texts, buckets, size), "links")
     comps = _hooked(links)
     for most in NEAREST:
         placed = groups.join(comps, groups["rep"] == comps["node"], "left").select("gid", "rep", "n", "size", F.coalesce("comp", "rep").alias("comp"))
@@ -454,7 +518,4 @@ def jaccard_components(df: DataFrame, size: int = SHINGLE, text: str = "text", k
         if found.where("u is null").isEmpty():
             break
         comps = settle(comps, "components")
-    comps = comps.withColumnRenamed("comp", "component")
-    own = member.join(comps, member["rep"] == comps["node"], "left").groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component"))
-    found = sets.select("doc", "n").join(own, "doc", "left")
-    return found.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    return _Linked(sets, classes, member.select("doc", "rep"), links, comps.withColumnRenamed("comp", "component"), repeated)

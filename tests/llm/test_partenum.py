@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from censusloom.llm.components import components
-from censusloom.llm.partenum import jaccard_components
+from censusloom.llm.partenum import jaccard_components, linked_texts
 
 
 def sets_of(docs):
@@ -78,6 +78,21 @@ def test_empty_null_and_repeated(spark):
     assert jaccard_components(df.where("false")).collect() == []
 
 
+def test_links_of_a_text_whose_key_has_another(spark):
+    rng = random.Random(8)
+    text = lambda: [f"w{rng.randrange(3000)}" for _ in range(60)]
+    a, b, c = text(), text(), text()
+    near = lambda t: " ".join([*t[:-1], "new"])
+    a, b, c = sorted((a, b, c))  # the least text of the key is not the one that the others are near to
+    docs = [(1, " ".join(a)), (1, " ".join(b)), (4, " ".join(c)), (9, near(c))] + [(k, " ".join(b)) for k in (5, 6, 7)] + [(8, near(b)), (10, near(a))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.component_id) for r in jaccard_components(df).collect()} == {(k, 1) for k in (1, 5, 6, 7, 8, 10)} | {(4, 4), (9, 4)}
+    groups = {}
+    for r in linked_texts(df).collect():
+        groups.setdefault(r.group, []).append(r.doc)
+    assert sorted(map(sorted, groups.values())) == [[1, 5, 6, 7, 8], [1, 10], [4, 9]]
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
