@@ -22,20 +22,24 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id stays.
+    """Of each group of linked texts one row stays: that with the least doc_id and, of its rows in the group, the least text.
 
-    Of rows with one doc_id the least by text stays; rows without a doc_id are linked with nothing and stay.
+    A shared doc_id alone links nothing. Rows without a doc_id or without words are linked with nothing and stay.
     """
-    groups = partenum.jaccard_components(docs)
-    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    kept = docs.join(settle(dropped, "dropped"), F.col("doc_id") == F.col("_dropped"), "left_anti")
-    repeated = settle(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_repeated")).count().where("count > 1").select("_repeated"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    row = F.struct(F.col("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    again = F.col("doc_id") == F.col("_repeated")
-    least = kept.join(repeated, again, "left_semi").groupBy("doc_id").agg(F.min(row).alias("_least")).select("_least.row.*")
-    return kept.join(repeated, again, "left_anti").unionByName(least)
+    groups = settle(partenum.linked_texts(docs), "linked_texts")
+    groups = groups.join(groups.groupBy("group").agg(F.min("doc").alias("least"), F.sum("copies").alias("rows")), "group").where("rows > 1")
+    groups = settle(groups.select(F.struct("doc", "n", "one", "two").alias("_own"), "group", "copies", F.expr("doc = least").alias("first")), "groups")
+    own = F.struct(F.col("doc_id").cast("long").alias("doc"), F.col("_set.n").alias("n"), F.col("_set.one").alias("one"), F.col("_set.two").alias("two"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "doc_id", partenum.set_digests()(F.col("text")).alias("_set"))
+    rows = rows.select("_row", own.alias("_own"))
+    kept = rows.join(groups.where("not first").select("_own"), "_own", "left_anti")
+    firsts = groups.where("first")
+    again = firsts.groupBy("group").agg(F.sum("copies").alias("rows")).where("rows > 1")
+    again = settle(firsts.join(again.select("group"), "group", "left_semi").select("_own", "group"), "again")
+    if again.isEmpty():
+        return kept.select("_row.*")
+    least = kept.join(again, "_own").groupBy("group").agg(F.min(F.struct(F.col("_row.text").alias("text"), F.col("_row").alias("row"))).alias("_least"))
+    return kept.join(again, "_own", "left_anti").select("_row.*").unionByName(least.select("_least.row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +50,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold too much of the benchmark go."""
     found = winnow.overlaps(docs, table(spark, sf_dir, "benchmark"))
-    hit = settle(found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    hit = settle(found.where("contaminated").select(F.col("doc_id").alias("_hit"), F.col("tag").alias("_tag")), "contaminated")
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")) & (winnow.text_tag(F.col("text")) == F.col("_tag")), "left_anti")
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,3 +67,20 @@ def test_clashing_repeated_and_empty(spark, sf_dir):
             assert at.columns == docs.columns
         ids = [r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, at, sf_dir).collect()]
         assert sorted(ids, key=str) == ([] if some is not docs else sorted([1, 2, 3, 4, None], key=str))
+
+
+def test_clean_rows_of_a_shared_key_stay(spark, tmp_path):
+    item = " ".join(f"i{k}" for k in range(13))
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    shared = [(None, item), (None, "clean one"), (None, "clean two"), (None, None), (1, item), (1, "clean three"), (2, "x " + item)]
+    docs = spark.createDataFrame(shared, "doc_id long, text string")
+    left = [tuple(r) for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()]
+    assert sorted(left, key=str) == sorted([r for r in shared if item not in (r[1] or "")], key=str)
+
+
+def test_different_texts_of_a_key_are_no_near_duplicates(spark, sf_dir):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(3, a), (3, b), (3, b), (3, b + " more"), (1, a), (4, c), (4, "short"), (5, c + " more"), (None, c), (None, c), (6, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()]
+    assert sorted(left, key=str) == sorted([(3, b), (1, a), (4, c), (4, "short"), (None, c), (None, c), (6, ""), (6, None)], key=str)
