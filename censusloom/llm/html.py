@@ -2,7 +2,9 @@
 
 A page is parsed to a tree (with implied ends and beginnings of elements), and the tree is rendered: blocks on lines of
 their own, paragraphs and headings apart by a blank line, lists with markers and indents, table cells in aligned
-columns, preformatted text as it is, and nothing that is hidden.
+columns, preformatted text as it is, and nothing that is hidden. Formulas, text in drawings and the contents of text
+fields are shown, tokens of formulas and pieces of drawings apart by a space. Choice: noscript, what object, audio,
+video and canvas hold in case they cannot be shown, and the options of select are not.
 """
 
 from __future__ import annotations
@@ -17,7 +19,13 @@ from pyspark.sql import DataFrame
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title iframe noembed noframes svg math object audio video canvas datalist select textarea".split())
+HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas datalist select".split())
+#: Elements of drawings and formulas that are not shown themselves, and those whose text stands apart.
+FOREIGN = {
+    "svg": frozenset("desc defs symbol metadata clippath mask pattern marker".split()),
+    "math": frozenset(("annotation", "annotation-xml")),
+}
+SPACED = frozenset("svg math text mi mn mo ms mtext textarea".split())
 HEAD_ONLY = frozenset("base link meta title script style template noscript head".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr fieldset".split())
 BLOCK = APART | frozenset(
@@ -150,6 +158,9 @@ def parse(html: str) -> Node:
         if tag in CELLS and stack[-1].tag in ("table", *ROW_GROUPS):
             put("tr", {})
         put(tag, attrs)
+        if m[3].endswith("/") and tag not in VOID and any(e.tag in FOREIGN for e in stack):
+            close(len(stack) - 1)  # drawings and formulas have empty elements
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
             stop = end.start() if end else n
@@ -247,6 +258,7 @@ def render(root: Node) -> str:
     """All visible text of a tree. Walks with a stack of its own, so nesting may be of any depth."""
     out = _Lines()
     flows, tables, counters, pre = [out], [], [], 0
+    foreign: list[str] = []
     todo: list[tuple] = [("enter", root)]
     while todo:
         step, node = todo.pop()
@@ -263,8 +275,10 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if step == "enter":
-            if not visible(node):
+            if not visible(node) or (foreign and tag in FOREIGN[foreign[-1]]):
                 continue
+            if tag in SPACED and (foreign or tag in FOREIGN or tag == "textarea"):
+                flow.space = True
             if tag == "br":
                 flow.end_line(always=True)
                 continue
@@ -293,6 +307,19 @@ def render(root: Node) -> str:
                 flow.indents.append("  ")
             elif tag == "pre":
                 pre += 1
+            elif tag in FOREIGN:
+                foreign.append(tag)
+            elif tag == "textarea":
+                value = "".join(node.kids).removeprefix("\n").rstrip("\n")
+                first, *rest = value.split("\n")
+                if value and flow.parts and not pre:
+                    flow.parts.append(" ")
+                flow.parts += [first] if first else []
+                for line in rest:
+                    flow.end_line(always=True)
+                    flow.parts += [line] if line else []
+                flow.space = True
+                continue
             elif tag == "table":
                 tables.append([])
             elif tag == "tr" and tables:
@@ -305,6 +332,10 @@ def render(root: Node) -> str:
             for kid in reversed(node.kids):
                 todo.append(("text", kid) if isinstance(kid, str) else ("enter", kid))
             continue
+        if tag in FOREIGN:
+            foreign.pop()
+        if tag in SPACED and (foreign or tag in FOREIGN):
+            flow.space = True
         if tag in CELLS and tables:
             flow.end_line()
             flows.pop()

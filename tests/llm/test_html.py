@@ -84,3 +84,20 @@ def test_null_empty_and_repeated(spark):
     got = sorted(map(tuple, extract_text(df).collect()), key=str)
     assert got == sorted([(1, None, 0, 0), (2, "", 0, 0), (3, "x", 1, 1), (3, "x", 1, 1), (None, "a\n\nb", 4, 3)], key=str)
     assert extract_text(df.where("false")).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p>so<math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>holds", "so x = 1 2 holds"),
+        ("<math><semantics><mn>3</mn><annotation>no</annotation></semantics></math>", "3"),
+        ("a<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><style>no</style><path d='M0'/><text>b</text><text>c <tspan>d</tspan></text></svg>e", "a b c d e"),
+        ("<svg><defs/><title/><text>shown</text></svg>", "shown"),
+        ("<p>say <textarea rows=2>\nfirst  line &amp; <b>\n  second</textarea> end", "say first  line & <b>\n  second end"),
+        ("<textarea></textarea>x<textarea hidden>no</textarea>", "x"),
+        ("<desc>kept</desc>", "kept"),
+        ("<table><tr><td><svg><text>in</text></svg><td>b</table>", "in  b"),
+    ],
+)
+def test_formulas_drawings_and_fields(page, text):
+    assert extract(page) == text
