@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censusloom.llm import bpe, html, langid, oracle, partenum, quality, ring, simhash, substring, token_count, winnow
+from censusloom.llm import bpe, html, hyperplanes, langid, oracle, partenum, quality, resampling, ring, simhash, substring, token_count, turns, winnow
 
 
 #: Rows of a batch that goes to a task's Python worker: some megabytes of texts.
@@ -79,9 +79,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperplanes.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(table(spark, sf_dir, "conversations")))
+
+
 _QUERIES = (
     op1_quality, op2_substring_dedup, op3_simhash, op4_decontamination, op5_html_text, op6_byte_bpe, op7_sharding, op8_token_counts, op9_language,
-    op10_jaccard_join,
+    op10_jaccard_join, op11_embedding_dedup, op12_target_resampling, op13_conversation_repair,
 )
 
 

@@ -23,7 +23,7 @@ def test_query_against_sql(spark, sf_dir, views, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 14))
     assert [stage.__name__ for _, stage in corpus_pipeline.STAGES][0] == "quality_classifier" and len(corpus_pipeline.STAGES) == 5
 
 
