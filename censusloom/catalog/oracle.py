@@ -226,16 +226,20 @@ SELECT age_band, department_code, sex,
        SUM(CASE WHEN iris_dept = department_code THEN study_geo_ratio ELSE 0 END) AS intra_frac
 FROM x_flow_iris GROUP BY 1, 2, 3"""
 
+# What the blend needs of the flows, in one row for each department, band and sex.
+BLOCKS["x_home"] = """
+SELECT age_band, department_code, sex, SUM(study_geo_ratio) FILTER (WHERE iris_dept = department_code) AS intra_frac,
+       map_from_entries(list((iris_code, study_geo_ratio)) FILTER (WHERE iris_dept = department_code)) AS home
+FROM x_flow_iris GROUP BY 1, 2, 3"""
+
 BLOCKS["x_blend_iris"] = """
 SELECT department_code, region_code, commune_code, iris_code, epci_code, age_band, sex,
        raw / SUM(raw) OVER (PARTITION BY department_code, age_band, sex) AS geo_ratio
 FROM (SELECT r.* EXCLUDE (geo_ratio),
              (1 - blend_weight * coalesce(intra_frac, 0)) * geo_ratio
-             + blend_weight * coalesce(study_geo_ratio, 0) AS raw
+             + blend_weight * coalesce(map_extract(home, r.iris_code)[1], 0) AS raw
       FROM x_ratio_iris r JOIN x_weight w ON w.department_code = r.department_code AND w.age_band = r.age_band
-      LEFT JOIN x_intra i ON i.department_code = r.department_code AND i.age_band = r.age_band AND i.sex = r.sex
-      LEFT JOIN x_flow_iris f ON f.department_code = r.department_code AND f.iris_dept = r.department_code
-           AND f.age_band = r.age_band AND f.sex = r.sex AND f.iris_code = r.iris_code
+      LEFT JOIN x_home h ON h.department_code = r.department_code AND h.age_band = r.age_band AND h.sex = r.sex
       WHERE r.sex IS NOT NULL) b
 UNION ALL SELECT * FROM x_ratio_iris WHERE age_band NOT IN ('15_19', '20_24')"""
 
@@ -433,6 +437,11 @@ SELECT rpad(dept, 3, ' ') AS "DEPT", region AS "REGION",
        CASE sex WHEN 'male' THEN '1' WHEN 'female' THEN '2' ELSE '9' END AS "SEXE",
        COUNT(*) AS n, SUM(w) AS weight, COUNT(*) - COUNT(age) AS no_birth_year
 FROM x_census GROUP BY ALL""", "weight")
+q("census_scan_years", """
+SELECT rpad(dept, 3, ' ') AS "DEPT", region AS "REGION",
+       CASE sex WHEN 'male' THEN '1' WHEN 'female' THEN '2' ELSE '9' END AS "SEXE",
+       COUNT(*) AS n, SUM(w) AS weight, CASE WHEN sex = 'male' THEN COUNT(*) ELSE 0 END AS no_canton
+FROM x_census GROUP BY dept, region, sex""", "weight")
 q("birth_record_scan", """
 SELECT department_code, region_code, month, COUNT(*) AS n, SUM(w) AS weight FROM x_birth GROUP BY ALL""", "weight")
 q("flow_cells", """
@@ -558,6 +567,30 @@ UNION ALL
 SELECT 'canton', year, month, COUNT(*), SUM(population)
 FROM (""" + expanded("x_level_canton", "l.department_code") + """) e GROUP BY ALL""", "population")
 
+q("rewrite_year", """
+SELECT year, canton_code, COUNT(*) AS n, SUM(CASE WHEN year = 2024 THEN 2 * population ELSE population END) AS population
+FROM (""" + expanded("x_level_canton", "l.department_code, canton_code") + """) e GROUP BY 1, 2""", "population")
+BLOCKS["x_exported"] = " UNION ALL ".join(
+    f"""SELECT '{level}' AS level, {code} AS code, department_code, year, month, age, population
+FROM (""" + expanded(t, columns) + ") e"
+    for level, t, code, columns in (
+        ("department", "x_stable", "department_code", "l.department_code"),
+        ("epci", "x_level_epci", "epci_code", "l.department_code, epci_code"),
+        ("canton", "x_level_canton", "canton_code", "l.department_code, canton_code"),
+    )
+)
+q("export_stats", """
+SELECT level, COUNT(*) AS n_rows, SUM(population) AS population, COUNT(DISTINCT code) AS n_areas,
+       round(100 * SUM(population) / (SELECT SUM(population) FROM x_exported WHERE level = 'department'), 1) AS coverage_pct,
+       SUM(population) / (COUNT(DISTINCT year) * COUNT(DISTINCT month)) AS avg_snapshot
+FROM x_exported GROUP BY 1""", "population avg_snapshot")
+q("export_validation", """
+SELECT level, COUNT(*) AS total_rows, SUM(population) AS total_population, COUNT(DISTINCT department_code) AS departments,
+       COUNT(DISTINCT year) AS years, MIN(age) AS min_age, MAX(age) AS max_age,
+       COUNT(*) FILTER (WHERE population IS NULL OR population < 0) AS invalid_rows,
+       COUNT(*) FILTER (WHERE population IS NULL OR population < 0) = 0 AS is_valid
+FROM x_exported GROUP BY 1""", "total_population")
+
 q("row_count", "SELECT COUNT(*) AS n_rows FROM x_base")
 q("validation_stats", """
 SELECT COUNT(*) AS total_rows, SUM(population) AS total_population, COUNT(DISTINCT department_code) AS departments,
@@ -628,6 +661,26 @@ q("bounds", """
 SELECT MIN(population) AS min_pop, MAX(population) AS max_pop, AVG(population) AS avg_pop,
        MIN(population) > 0 AND MAX(population) < 60000 AND AVG(population) BETWEEN 600 AND 12000 AS ok FROM x_stable""",
   "min_pop max_pop avg_pop")
+q("relative_bounds", """
+WITH cell AS (
+  SELECT department_code, CAST(ceil(ln(population) / ln(1.01 / 0.99)) AS INTEGER) AS bucket, COUNT(*) AS n
+  FROM x_stable WHERE population > 0 GROUP BY 1, 2
+),
+upto AS (
+  SELECT *, SUM(n) OVER (PARTITION BY department_code ORDER BY bucket) AS below, SUM(n) OVER (PARTITION BY department_code) AS whole
+  FROM cell
+),
+level AS (
+  SELECT department_code, 2.0 * pow(1.01 / 0.99, MIN(bucket) FILTER (WHERE below >= 0.5 * whole)) / (1.01 / 0.99 + 1) AS median_pop,
+         2.0 * pow(1.01 / 0.99, MIN(bucket) FILTER (WHERE below >= 0.99 * whole)) / (1.01 / 0.99 + 1) AS high_pop
+  FROM upto GROUP BY 1
+),
+stats AS (
+  SELECT department_code, MIN(population) AS min_pop, MAX(population) AS max_pop, AVG(population) AS avg_pop FROM x_stable GROUP BY 1
+)
+SELECT stats.*, median_pop, high_pop,
+       min_pop > 0 AND max_pop <= 20 * high_pop AND avg_pop BETWEEN median_pop / 20 AND median_pop * 20 AS ok
+FROM stats JOIN level USING (department_code)""", "min_pop max_pop avg_pop median_pop high_pop")
 q("snapshot_stock", """
 SELECT year, month, SUM(population) AS stock,
        SUM(population) / MAX(SUM(population)) FILTER (WHERE month = 1) OVER (PARTITION BY year) AS vs_january
@@ -795,6 +848,10 @@ FROM {t} GROUP BY ALL"""
 ), "population")
 
 
+QUERIES["resumed_build"] = QUERIES["full_build"]
+OVERRIDES["resumed_build"] = OVERRIDES["full_build"]
+
+
 def _blocks(sql: str, blocks: dict[str, str]) -> list[str]:
     """Blocks a query needs, each after the ones it reads."""
     order: list[str] = []

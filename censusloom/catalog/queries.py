@@ -26,6 +26,7 @@ from censusloom.operators.disaggregate import disaggregate, expand_birth_month
 from censusloom.plans.build import Inputs, build_levels
 from censusloom.plans.storage import run_folder
 from censusloom.sinks.export import export_levels, write_level
+from censusloom.sinks.metrics import LevelMetrics, observed_level_stats, observed_validation
 from censusloom.sources import (
     commune_lookup,
     estimates_long,
@@ -106,6 +107,20 @@ def _(b):
     )
 
 
+@query("census_scan_years")
+def _(b):
+    """S1 over two years' files that differ in the order, case and number of their columns."""
+    early, late = b.census.where("SEXE = '1'"), b.census.where("SEXE IS NULL OR SEXE <> '1'")
+    early = early.select(*[F.col(c).alias(c.lower()) for c in sorted(early.columns) if c != "CANTVILLE"])
+    late = late.select(F.lit("x").alias("UNUSED"), *late.columns)
+    census = read_census(b.spark, [b.file(early, "parquet"), b.file(late, "parquet")])
+    return census.groupBy("DEPT", "REGION", "SEXE").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(fn.weight(F.col("IPONDI"))).alias("weight"),
+        F.count_if(F.col("CANTVILLE").isNull()).alias("no_canton"),
+    )
+
+
 @query("birth_record_scan")
 def _(b):
     """S2."""
@@ -534,7 +549,18 @@ def _(b):
 @query("full_build")
 def _(b):
     """J17: the whole run with anchoring, territories and mobility, listed per level."""
-    inputs = Inputs(
+    return _listed(build_levels(_inputs(b), b.cfg))
+
+
+@query("resumed_build")
+def _(b):
+    """J17 twice on the same inputs: the second run finds the first one's tables and scans no microdata."""
+    build_levels(_inputs(b), b.cfg, resume=True)
+    return _listed(build_levels(_inputs(b), b.cfg, resume=True))
+
+
+def _inputs(b) -> Inputs:
+    return Inputs(
         census=b.census,
         birth_records=b.birth_records,
         lookup=commune_lookup(b.commune_records),
@@ -543,7 +569,9 @@ def _(b):
         estimates=b.estimates,
         pyramids={code: b.territory_pyramid(segment) for code, segment in TERRITORY_SEGMENTS.items()},
     )
-    built = build_levels(inputs, b.cfg)
+
+
+def _listed(built) -> DataFrame:
     return fn.union_all(
         [
             df.groupBy(F.lit(level).alias("level"), "year", "department_code", "region_code").agg(
@@ -583,6 +611,37 @@ def _(b):
     )
 
 
+@query("rewrite_year")
+def _(b):
+    """K1, K4: one year of a published level is written anew, the others stay."""
+    path = f"{_export_folder(b.spark)}/population_canton"
+    cantons = b.level("canton")
+    write_level(cantons, b.births_table, "canton", path)
+    doubled = cantons.where("year = 2024").withColumn("population", 2 * F.col("population"))
+    write_level(doubled, b.births_table, "canton", path, replace=False)
+    back = b.spark.read.parquet(path)
+    return back.groupBy("year", "canton_code").agg(F.count(F.lit(1)).alias("n"), F.sum("population").alias("population"))
+
+
+@query("export_stats")
+def _(b):
+    """K2, Q6: the figures of an export, observed while its levels are written."""
+    return observed_level_stats(b.spark, _exported(b))
+
+
+@query("export_validation")
+def _(b):
+    """K2, Q2, Q3: checks of an export, observed while its levels are written."""
+    return observed_validation(b.spark, _exported(b))
+
+
+def _exported(b) -> dict[str, LevelMetrics]:
+    metrics: dict[str, LevelMetrics] = {}
+    levels = {level: b.level(level) for level in ("department", "epci", "canton")}
+    export_levels(levels, b.births_table, _export_folder(b.spark), list(levels), metrics=metrics)
+    return metrics
+
+
 def _export_folder(spark: SparkSession) -> str:
     return f"{run_folder(spark)}/{uuid.uuid4().hex}"
 
@@ -674,6 +733,12 @@ def _(b):
     return quality.bounds(b.stable, 60_000, 600, 12_000)
 
 
+@query("relative_bounds")
+def _(b):
+    """Q12 with limits that follow the data: by department, from a mergeable sketch of quantiles."""
+    return quality.relative_bounds(b.stable, "department_code")
+
+
 @query("snapshot_stock", MONTHLY)
 def _(b):
     """Q13."""

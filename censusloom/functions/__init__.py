@@ -21,5 +21,6 @@ from censusloom.functions.measures import (
     valid_cell,
     weight,
 )
+from censusloom.functions.sketch import merge, quantile_sketch, quantiles
 
 __all__ = [n for n in dir() if not n.startswith("_")]

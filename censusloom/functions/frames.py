@@ -29,11 +29,14 @@ def share_within(df: DataFrame, within: Sequence[str], value: str, out: str) ->
 
 
 def unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """``df`` as it is, or an error that names a key which occurs more than once. Checked when the frame is read."""
+    """``df`` as it is, or an error that names a key which occurs more than once. Checked when the frame is read.
+
+    A key's state is a count and one row, also if it occurs millions of times.
+    """
     rest = [c for c in df.columns if c not in keys]
     named = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-    rows = df.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
-    only = F.when(F.size("_rows") == 1, F.col("_rows")[0]).otherwise(F.raise_error(F.concat(F.lit(f"{what}: more than one row for "), named)))
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+    only = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(F.concat(F.lit(f"{what}: more than one row for "), named)))
     return rows.withColumn("_row", only).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from censusloom.functions import single, union_all
+from censusloom.functions import quantile_sketch, quantiles, single, union_all
 from censusloom.schemas import LEVEL_CODE
 
 
@@ -18,13 +18,13 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_BAD = "population IS NULL OR population < 0"
+BAD = "population IS NULL OR population < 0"
 
 
 def _summed(base: DataFrame) -> DataFrame:
     """Per department, year and age: distinct counts then run over a few thousand rows instead of every cell."""
     return base.groupBy("department_code", "year", "age").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("population").alias("_population"), F.count_if(F.expr(_BAD)).alias("_bad")
+        F.count(F.lit(1)).alias("_rows"), F.sum("population").alias("_population"), F.count_if(F.expr(BAD)).alias("_bad")
     )
 
 
@@ -44,7 +44,7 @@ def validation_stats(base: DataFrame) -> DataFrame:
 
 
 def invalid_rows(base: DataFrame) -> DataFrame:
-    return base.agg(F.count_if(F.expr(_BAD)).alias("invalid_rows"))
+    return base.agg(F.count_if(F.expr(BAD)).alias("invalid_rows"))
 
 
 def department_coverage(base: DataFrame, expected: DataFrame) -> DataFrame:
@@ -108,6 +108,11 @@ def level_stats(levels: Mapping[str, DataFrame]) -> DataFrame:
         F.countDistinct("year").alias("_years"),
         F.countDistinct("month").alias("_months"),
     )
+    return coverage_of_levels(stats)
+
+
+def coverage_of_levels(stats: DataFrame) -> DataFrame:
+    """Coverage of the department level and mean stock, from one row of counts per level."""
     # One row per level, so the unpartitioned window sees at most four rows.
     parent = F.max(F.when(F.col("level") == "department", F.col("population"))).over(Window.partitionBy())
     return stats.select(
@@ -209,6 +214,24 @@ def bounds(df: DataFrame, cell_max: float, mean_low: float, mean_high: float) ->
     return stats.withColumn("ok", ok)
 
 
+def relative_bounds(df: DataFrame, by: str, spread: float = 20.0, fraction: float = 0.99) -> DataFrame:
+    """Smallest, largest and mean cell of each group, and whether they are plausible for a table of any size.
+
+    A cell may exceed the value that ``fraction`` of the group's cells stay below ``spread`` times at most, and the
+    mean must lie within that factor of the median. Both values come from a sketch with counts of buckets (within one
+    percent), so there is one pass over the cells and no sort. Groups are values of a code list.
+    """
+    sketch = quantile_sketch(df, "population", [by])
+    levels = quantiles(sketch, (0.5, fraction), [by]).select(by, F.col("q0").alias("median_pop"), F.col("q1").alias("high_pop"))
+    stats = df.groupBy(by).agg(
+        F.min("population").alias("min_pop"), F.max("population").alias("max_pop"), F.avg("population").alias("avg_pop"),
+        F.count_if(F.col("population").isNull()).alias("_nulls"),
+    )
+    middle = F.col("avg_pop").between(F.col("median_pop") / spread, F.col("median_pop") * spread)
+    fine = (F.col("_nulls") == 0) & (F.col("min_pop") > 0) & (F.col("max_pop") <= F.col("high_pop") * spread) & middle
+    return stats.join(levels, by, "left").withColumn("ok", F.coalesce(fine, F.lit(False))).drop("_nulls")
+
+
 def snapshot_stock(df: DataFrame) -> DataFrame:
     """Population of every snapshot month relative to that year's January."""
     months = df.groupBy("year", "month").agg(F.sum("population").alias("stock"))

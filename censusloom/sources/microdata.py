@@ -2,19 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusloom.config import COM_DEPARTMENTS, DOM_DEPARTMENTS, Config
-from censusloom.functions import clean_code
+from censusloom.functions import clean_code, union_all
 from censusloom.schemas import BIRTH_COLUMNS, CENSUS_COLUMNS, FLOW_COLUMNS
 
 
+def read_columns(spark: SparkSession, path: str | list[str], columns: Sequence[str], optional: Iterable[str] = ()) -> DataFrame:
+    """Columns of one or several files (a year's file or folder each), by name, as strings.
+
+    Files may differ in the order, case and types of their columns and in columns that are not asked for. An
+    ``optional`` column that a file lacks is null there; any other one is an error that names file and column, before
+    any row is read. Each file is scanned once, with its own pruned columns.
+    """
+    parts = []
+    for one in [path] if isinstance(path, str) else list(path):
+        df = spark.read.parquet(one)
+        found: dict[str, list[str]] = {}
+        for c in df.columns:
+            found.setdefault(c.lower(), []).append(c)
+        missing = [c for c in columns if c.lower() not in found and c not in set(optional)]
+        if missing:
+            raise ValueError(f"{one}: no column {', '.join(missing)}; it has {', '.join(df.columns)}")
+        cells = []
+        for c in columns:
+            same = found.get(c.lower(), [])
+            if len(same) > 1 and c not in same:
+                raise ValueError(f"{one}: several columns {', '.join(same)} for {c}")
+            cells.append((F.col(f"`{c if c in same else same[0]}`").cast("string") if same else F.lit(None).cast("string")).alias(c))
+        parts.append(df.select(*cells))
+    return union_all(parts)
+
+
 def read_census(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Census persons: codes, birth year, sex and weight, all as published strings."""
-    return spark.read.parquet(*_paths(path)).select(*CENSUS_COLUMNS)
+    """Census persons: codes, birth year, sex and weight, all as published strings.
+
+    Cantons are missing in some years; persons then have no canton.
+    """
+    return read_columns(spark, path, CENSUS_COLUMNS, optional=("CANTVILLE",))
 
 
 def in_scope(census: DataFrame, cfg: Config, extra: Iterable[str] = ()) -> DataFrame:
@@ -33,7 +62,12 @@ def in_scope(census: DataFrame, cfg: Config, extra: Iterable[str] = ()) -> DataF
 
 def read_flows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Pupils and students: commune of residence, commune of study, age group, sex, weight."""
-    return spark.read.parquet(*_paths(path)).select(*FLOW_COLUMNS)
+    return read_columns(spark, path, FLOW_COLUMNS)
+
+
+def read_birth_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Birth records: department, region, month of birth, weight, as published strings."""
+    return read_columns(spark, path, BIRTH_COLUMNS)
 
 
 def read_birth_months(df: DataFrame) -> DataFrame:
@@ -54,7 +88,3 @@ def read_birth_months(df: DataFrame) -> DataFrame:
         .where(F.col("month").between(1, 12) & (F.col("weight") > 0))
         .withColumn("month", F.col("month").cast("int"))
     )
-
-
-def _paths(path: str | list[str]) -> list[str]:
-    return [path] if isinstance(path, str) else list(path)

@@ -186,3 +186,35 @@ def test_known_departments():
     dims = known_departments()
     assert len(dims) == 106 and sum(metro for _, _, metro in dims) == 96
     assert dict((d, r) for d, r, _ in dims)["975"] is None
+
+
+LATE = ((16, "Variables :", "SEXE", "2"), (17, None, "AGED100", "5"), (20, "CODGEO", "L"), (21, "98611", "U", "12"))
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_the_missing_header_is_noticed_every_time(spark, make, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for lines in (LATE, LATE[:2], LATE[3:], ()):
+            df = sheet(make, *lines) if lines else sheet(make, *LATE).where("false")
+            for _ in range(5):
+                with pytest.raises(Exception, match="no CODGEO line above line 15"):
+                    pyramid_unpivot(df).collect()
+                with pytest.raises(Exception, match="no CODGEO line above line 15"):
+                    pyramid_unpivot(df).write.format("noop").mode("overwrite").save()
+            if not any(line[1] == "CODGEO" for line in lines):
+                with pytest.raises(Exception, match="no CODGEO line of the sheet"):
+                    pyramid_unpivot(df, header_lines=None).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_header_below_any_line_is_found(make):
+    notes = [(k, f"note {k}", None) for k in range(300)]
+    df = sheet(make, *notes, (400, "Variables :", "SEXE", "2", "1"), (401, None, "AGED100", "5", "100 ou plus"), (777, " codgeo ", "L"), (778, "98611", "U", "12", "1 000,5"))
+    assert as_dict(pyramid_unpivot(df, header_lines=None), ["sex", "age"], "population") == {("female", 5): 12, ("male", 100): 1000.5}
+
+
+def test_the_pyramid_has_no_join(make):
+    plan = pyramid_unpivot(sheet(make, *LATE), header_lines=None)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan

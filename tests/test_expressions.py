@@ -81,3 +81,11 @@ def test_unique_names_the_repeated_key(spark):
     assert sorted(map(tuple, fn.unique(df.distinct(), ["k"], "table").collect())) == [("a", 1), ("b", 2)]
     with pytest.raises(Exception, match="table: more than one row for b"):
         fn.unique(df, ["k"], "table").collect()
+
+
+def test_unique_holds_one_row_of_a_key_that_occurs_ten_million_times(spark):
+    rows = spark.range(10_000_000).selectExpr("'hot' as k", "id as v", "cast(id as string) as name")
+    with pytest.raises(Exception, match="table: more than one row for hot"):
+        fn.unique(rows, ["k"], "table").collect()
+    plan = fn.unique(rows, ["k"], "table")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "partial_first" in plan

@@ -121,3 +121,26 @@ def test_semicolon_files(spark, tmp_path):
     assert sorted((r.age, r.sex, r.population) for r in rows_) == [(7, "female", 25.0), (7, "male", 30.0)]
     (tmp_path / "e.csv").write_text("annee_universitaire;com_id;regroupement;effectif\n2022-23;31555;UNIV;4\n2022-23;31555;GE;3\n2021-22;31555;GE;9\n")
     assert [tuple(r) for r in read_enrolment(read_semicolon(spark, str(tmp_path / "e.csv")), 2022).collect()] == [("31555", 7)]
+
+
+def test_years_of_microdata_with_other_columns(spark, tmp_path):
+    from pytest import raises
+
+    from censusloom.schemas import CENSUS_COLUMNS
+    from censusloom.sources import read_birth_records, read_census, read_flows
+
+    one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
+    spark.createDataFrame([("751010101", "75", "11", "7599", "2004", "1", "100.5", "x")], "IRIS string, DEPT string, REGION string, CANTVILLE string, ANAI string, SEXE string, IPONDI string, EXTRA string").write.parquet(one)
+    spark.createDataFrame([(50.25, "2", 2003, "84", "01", "010010000")], "ipondi double, sexe string, ANAI int, region string, Dept string, IRIS string").write.parquet(two)
+    spark.createDataFrame([("2", "2003")], "SEXE string, ANAI string").write.parquet(three)
+    got = read_census(spark, [one, two])
+    assert got.columns == list(CENSUS_COLUMNS) and set(got.dtypes) == {(c, "string") for c in CENSUS_COLUMNS}
+    assert sorted(map(tuple, got.collect())) == [("010010000", "01", "84", None, "2003", "2", "50.25"), ("751010101", "75", "11", "7599", "2004", "1", "100.5")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "EXTRA" not in plan and "Exchange" not in plan
+    with raises(ValueError, match="three: no column IRIS, DEPT, REGION, IPONDI"):
+        read_census(spark, [one, three])
+    with raises(ValueError, match="one: no column COMMUNE, DCETUF, AGEREV10"):
+        read_flows(spark, [one])
+    with raises(ValueError, match="two: no column MNAI"):
+        read_birth_records(spark, two)
