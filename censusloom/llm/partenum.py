@@ -5,7 +5,7 @@ The shingle domain is partitioned by a hash, into as many parts as the sizes of
 the lower edge of their band are partitioned for that band too. With k = size / 3 differences at most k parts can
 disagree, so of any k + 1 parts that are not empty one must agree: the enumerated subsets are the single parts, and a
 signature is the shingles of one part. Each set gives its k + 1 signatures that are least frequent in the whole corpus
-(by a counting sketch of fixed size; any order that all sets share finds all pairs). A set with fewer than k + 1 parts
+(by a counting sketch that grows with the rows up to 32 MB; any order that all sets share finds all pairs). A set with fewer than k + 1 parts
 that are not empty gives all of them, and its k + 1 least single shingles, in case its partner is such a set too.
 
 Sets that share a signature form a group. Groups are settled in rounds. First every member is compared exactly with
@@ -31,8 +31,8 @@ from censusloom.llm.text import LOWER, SPACED, mix, slices, utf8, window_hashes,
 from censusloom.plans.storage import settle
 
 SHINGLE, PERCENT = 5, 75
-#: Cells of the frequency sketch: 2 ** CELL_BITS, a fixed size.
-CELL_BITS = 21
+#: Cells of the frequency sketch: a power of two of at least so many for each row, within these bounds (four bytes a cell).
+ROW_CELLS, LEAST_CELLS, MOST_CELLS = 16, 1 << 18, 1 << 23
 #: Bits of a parity sketch: four for each shingle, rounded up to a power of two, within these bounds.
 LEAST_BITS, MOST_BITS = 1 << 10, 1 << 17
 #: Groups up to this size have all their pairs looked at, larger ones the pairs of members outside the largest component.
@@ -111,9 +111,9 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int) -> Iterator[tuple[n
 def chosen(rows: np.ndarray, hashes: np.ndarray, n: int, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, signature): the rarest k + 1 of each row and band, or all and single shingles besides."""
     out = []
-    cells = np.uint64((1 << CELL_BITS) - 1)
+    cells = np.uint64(len(sketch) - 1)
     for r, s, wanted in signatures(rows, hashes, n):
-        order = np.lexsort((s, r << 40 | np.minimum(sketch[(s & cells).astype(np.int64)], (1 << 40) - 1)))
+        order = np.lexsort((s, r << 32 | sketch[(s & cells).astype(np.int64)].astype(np.int64)))
         r, s = r[order], s[order]
         count = np.bincount(r, minlength=n)
         rank = np.arange(len(r)) - (np.cumsum(count) - count)[r]
@@ -177,12 +177,16 @@ class _Sketches:
         return out
 
 
-def shingle_sets(df: DataFrame, size: int) -> DataFrame:
+def sketch_cells(rows: int) -> int:
+    return min(MOST_CELLS, max(LEAST_CELLS, 1 << (ROW_CELLS * rows - 1).bit_length()))
+
+
+def shingle_sets(df: DataFrame, size: int, cells: int) -> DataFrame:
     """doc, n, one, two for every row, and each task's sketch of signature counts (segment not null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "n", "one", "two", *counting.NAMES]
-        counted = np.zeros(1 << CELL_BITS, np.int64)
+        counted = np.zeros(cells, np.uint32)
         for batch in batches:
             for i, j, rows, hashes in _sets(batch.column(1), size):
                 n, one, two = _digests(rows, hashes, j - i)
@@ -414,8 +418,10 @@ def _linked_classes(df: DataFrame, size: int, text: str, key: str) -> _Linked:
     spark = df.sparkSession
     buckets = packed.buckets_of(spark)
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    tables = settle(shingle_sets(docs, size), "shingle_sets")
-    sketch = spark.sparkContext.broadcast(counting.total(tables.where("segment is not null"), 1 << CELL_BITS))
+    cells = sketch_cells(docs.count())
+    tables = settle(shingle_sets(docs, size, cells), "shingle_sets")
+    counts = np.minimum(counting.total(tables.where("segment is not null"), cells), np.iinfo(np.uint32).max)
+    sketch = spark.sparkContext.broadcast(counts.astype(np.uint32))
     sets = tables.where("segment is null").drop(*counting.NAMES)
     able_sets = sets.where("n > 0 and doc is not null")
     digest = F.struct("n", "one", "two")

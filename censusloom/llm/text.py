@@ -1,19 +1,24 @@
 """Words and word-window digests of an Arrow text column, as numpy arrays.
 
-Everything works on UTF-8 bytes. Digests are polynomial hashes modulo 2**64 with fixed random byte values, so the
-same words have the same digest in every task and every run.
+Everything works on UTF-8 bytes. Short words and windows of words have polynomial hashes modulo 2**64 with fixed random
+byte values, words of more than LONG_WORD bytes a BLAKE2 digest, since sequences of a thousand symbols can be chosen so
+that such a polynomial does not tell them apart whatever its base. The same words have the same digest in every task and
+every run. Sums run over some hundred thousand bytes or words at a time, so a long text needs no more memory for them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 MODULUS = 1 << 64
+#: Bytes of the longest word that is hashed by a polynomial, and bytes or words whose hashes are summed up at a time.
+LONG_WORD, SUMMED = 128, 1 << 18
 _WHITE = [0x20, *range(0x09, 0x0E)]
 
 
@@ -115,15 +120,40 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int,
     return mix((sums[ends] - sums[starts]) * powers(inverse, len(values) + 1)[starts])
 
 
+def _stretches(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of spans, whose starts and ends ascend, that lie within SUMMED places; one longer span by itself."""
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SUMMED, "right")))
+        yield i, j
+        i = j
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+    """A digest of every word; words ascend and do not overlap."""
     values, base, inverse = _tables(seed)
-    return _spans(values[buf], starts, ends, base, inverse)
+    out = np.zeros(len(starts), np.uint64)
+    for i, j in _stretches(starts, ends):
+        if ends[j - 1] - starts[i] <= SUMMED:
+            first = starts[i]
+            out[i:j] = _spans(values[buf[first : ends[j - 1]]], starts[i:j] - first, ends[i:j] - first, base, inverse)
+    key = seed.to_bytes(8, "little")
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        out[k] = int.from_bytes(blake2b(buf[starts[k] : ends[k]], digest_size=8, key=key).digest(), "little")
+    return out
 
 
 def window_hashes(hashes: np.ndarray, starts: np.ndarray, size: int | np.ndarray, seed: int = 1) -> np.ndarray:
-    """Digest of the size words from each start on."""
+    """Digest of the size words from each start on; windows of a thousand words or more are not told apart safely."""
     _, base, inverse = _tables(seed + 1000)
-    return _spans(hashes, starts, starts + size, base, inverse)
+    ends = starts + size
+    if len(hashes) <= 2 * SUMMED or not ((starts[1:] >= starts[:-1]).all() and (ends[1:] >= ends[:-1]).all()):
+        return _spans(hashes, starts, ends, base, inverse)
+    out = np.zeros(len(starts), np.uint64)
+    for i, j in _stretches(starts, ends):
+        first = starts[i]
+        out[i:j] = _spans(hashes[first : ends[j - 1]], starts[i:j] - first, ends[i:j] - first, base, inverse)
+    return out
 
 
 def window_starts(bounds: np.ndarray, size: int) -> np.ndarray:
