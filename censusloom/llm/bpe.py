@@ -2,9 +2,11 @@
 
 The merge list of a byte-level BPE is compiled into a transducer over bytes, one state at a time, when a byte is first
 read in that state. After any prefix, the last token of the prefix's encoding is the one suffix token that the merges
-leave standing next to the last token before it. A state therefore holds the last token that is certain and the bytes
-after it, with the last token of every prefix within these bytes. A token is emitted as soon as all prefixes from
-which a longer token may still start agree on it, so the lookahead is bounded by the longest token.
+leave standing next to the last token before it. A state therefore holds the bytes after the last token that is certain,
+with the last token of every prefix within these bytes. A token is emitted as soon as all prefixes from which a longer
+token may still start agree on it, so the lookahead is bounded by the longest token. The certain token itself is kept in
+a register beside the state: a move asks at most once whether a token may stand next to it, and has a target for either
+answer. So states do not multiply by the tokens before them.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ CACHED_STATES = 300_000
 CACHED_LENGTH = 64
 #: Pieces of a text that are held at a time.
 PIECES_AT_ONCE = 1 << 16
-_START, _NEVER = -1, 1 << 60
+_START, _NONE, _NEVER = -1, -1, 1 << 60
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,8 +42,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes one pre-tokenised piece after the other.
 
-    A state is (root, tail, ends): the last certain token, the bytes after it, and for each prefix of them its last
-    token with the place where that token starts, as token << 8 | place (-1: no longer needed).
+    A state is (tail, ends, starts): the bytes after the last certain token; for each prefix of them its last token
+    with the place where that token starts, as token << 8 | place (-1: no longer needed); and the places where a token
+    may start whose bytes so far are the start of longer tokens, each with its node in the tree of all tokens. A move
+    is (token it asks about or _NONE, target << 8, emitted code, last token emitted).
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -50,21 +54,40 @@ class Transducer:
         self.longest = max(map(len, ranks))
         if self.longest > 255:
             raise ValueError("tokens of more than 255 bytes are not supported")
-        self.prefixes = {token[:n] for token in ranks for n in range(1, len(token))}
+        self._tree()
+        self._halves: dict[int, tuple[int, int] | None] = {}
         self._agree: dict[int, bool] = {}
         self._reset()
 
+    def _tree(self) -> None:
+        """Tree of the tokens: node << 8 | byte -> next node, the token that ends at each node, and the inner nodes."""
+        self._next: dict[int, int] = {}
+        self._ends_at = [_NONE]
+        inner = set()
+        for token, rank in self.ranks.items():
+            node = 0
+            for byte in token:
+                inner.add(node)
+                node = self._next.setdefault(node << 8 | byte, len(self._ends_at))
+                if node == len(self._ends_at):
+                    self._ends_at.append(_NONE)
+            self._ends_at[node] = rank
+        self._inner = bytearray(len(self._ends_at))
+        for node in inner:
+            self._inner[node] = 1
+
     def _reset(self) -> None:
-        self._states = [(_START, b"", ())]
-        self._numbers = {(_START, b""): 0}
-        self._moves: dict[int, tuple[int, bytes]] = {}
+        self._states = [(b"", (), ((0, 0),))]
+        self._numbers = {((), b""): 0}
+        self._moves: dict[int, tuple[int, int, bytes, int]] = {}
+        self._denied: dict[int, tuple[int, int, bytes, int]] = {}
         self._last: dict[int, bytes] = {}
 
-    def merge(self, piece: bytes) -> list[int]:
-        """The merges themselves, lowest rank first, leftmost first; used for pairs of tokens only."""
+    def merge(self, piece: bytes, below: int = _NEVER) -> list[int]:
+        """The merges themselves, lowest rank first, leftmost first; only those below a rank."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
         ranks = [self.ranks.get(piece[i : i + 2], _NEVER) for i in range(len(piece) - 1)]
-        while ranks and (best := min(ranks)) != _NEVER:
+        while ranks and (best := min(ranks)) < below:
             i = ranks.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
             del ranks[i]
@@ -74,45 +97,83 @@ class Transducer:
                 ranks[i] = self.ranks.get(parts[i] + parts[i + 1], _NEVER)
         return [self.ranks[p] for p in parts]
 
+    def _halves_of(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that merge into this one last; (token, token) for a byte, None if merges never make it."""
+        if token not in self._halves:
+            data = self.bytes_of[token]
+            parts = self.merge(data, token)
+            self._halves[token] = (token, token) if len(data) == 1 else (parts[0], parts[1]) if len(parts) == 2 else None
+        return self._halves[token]
+
     def _stands(self, left: int, right: int) -> bool:
-        """Whether the merges leave these two tokens side by side."""
-        if left == _START:
-            return True
+        """Whether the merges leave these two tokens side by side.
+
+        They do if each token comes about by itself and no merge across the border comes before the merge that hides
+        one of its sides. So the last merges of both sides are undone, the later first: what touches the border is
+        then a smaller pair, that must not merge with a rank below the one undone last (from the left: or equal).
+        """
         pair = left << 32 | right
         known = self._agree.get(pair)
-        if known is None:
-            if len(self._agree) > CACHED_STATES:
-                self._agree.clear()
-            known = self._agree[pair] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+        if known is not None:
+            return known
+        if len(self._agree) > CACHED_STATES:
+            self._agree.clear()
+        known = self._agree[pair] = self._halves_of(left) is not None and self._halves_of(right) is not None and self._apart(left, right)
         return known
 
-    def _step(self, move: int) -> tuple[int, bytes]:
-        """Makes one transition (state << 8 | byte -> target << 8, emitted code), and its target if that is new."""
-        state, byte = move >> 8, move & 255
-        root, tail, ends = self._states[state]
+    def _apart(self, left: int, right: int) -> bool:
+        rank_of, bytes_of, limit = self.ranks.get, self.bytes_of, _NEVER
+        while True:
+            if rank_of(bytes_of[left] + bytes_of[right], _NEVER) < limit:
+                return False
+            a, b = self._halves_of(left)[1], self._halves_of(right)[0]
+            if a == left and b == right:
+                return True
+            # The later merge is undone first. A pair across the border with the same rank as a merge to its right
+            # stands further left and goes first; to its left, later.
+            if b == right or a != left and left > right:
+                limit, left = left, a
+            else:
+                limit, right = right + 1, b
+
+    def _step(self, move: int, granted: bool) -> tuple[int, int, bytes, int]:
+        """Makes the move from state << 8 by a byte, where the token it asks about may stand or not, and its target."""
+        byte, (tail, ends, starts) = move & 255, self._states[move >> 8]
         tail += bytes((byte,))
-        n, rank_of, prefixes = len(tail), self.ranks.get, self.prefixes
-        for j in range(n):
-            token = rank_of(tail[j:])
-            if token is not None and (not j or ends[j - 1] >= 0) and self._stands(ends[j - 1] >> 8 if j else root, token):
+        n, follow, ends_at, inner = len(tail), self._next.get, self._ends_at, self._inner
+        open_, meet, found, asked = [], [], False, _NONE
+        for j, node in starts:
+            node = follow(node << 8 | byte)
+            if node is None:
+                continue
+            if inner[node]:
+                open_.append((j, node))
+                meet.append(j)
+            token = ends_at[node]
+            if found or token == _NONE or self._halves_of(token) is None:
+                continue
+            if not j:
+                asked, found = token, granted
+            else:
+                found = self._stands(ends[j - 1] >> 8, token)
+            if found:
                 ends += (token << 8 | j,)
-                break
-        # The places where a later token may start; the paths to them meet at the last certain boundary.
-        open_ = [j for j in range(n) if (not j or ends[j - 1] >= 0) and tail[j:] in prefixes]
-        meet = [*open_, n]
+        # A later token may start at the open places and here; the paths to them meet at the last certain boundary.
+        open_.append((n, 0))
+        meet.append(n)
         while len(meet) > 1:
             parent = ends[meet.pop() - 1] & 255
             if parent not in meet:
                 meet.append(parent)
                 meet.sort()
-        cut, code = meet[0], b""
+        cut, code, last = meet[0], b"", _NONE
         if cut:
             out, j = [], cut
             while j:
                 out.append(ends[j - 1] >> 8)
                 j = ends[j - 1] & 255
             code = self.code_of(reversed(out))
-            root, tail = ends[cut - 1] >> 8, tail[cut:]
+            last, tail = ends[cut - 1] >> 8, tail[cut:]
             alive, kept = {cut}, []
             for i in range(cut + 1, n + 1):
                 end = ends[i - 1]
@@ -122,17 +183,16 @@ class Transducer:
                 else:
                     kept.append(-1)
             ends = tuple(kept)
-        # The token before the tail matters only while a token may still start right after it.
-        key = (root, tail) if not tail or tail in prefixes else (ends, tail)
-        target = self._numbers.get(key)
+            open_ = [(j - cut, node) for j, node in open_ if j in alive]
+        target = self._numbers.get((ends, tail))
         if target is None:
-            target = self._numbers[key] = len(self._states)
-            self._states.append((root, tail, ends))
-        made = self._moves[move] = (target << 8, code)
+            target = self._numbers[ends, tail] = len(self._states)
+            self._states.append((tail, ends, tuple(open_)))
+        made = (self._moves if granted else self._denied)[move] = (asked, target << 8, code, last)
         return made
 
     def _rest(self, state: int) -> bytes:
-        _, tail, ends = self._states[state]
+        tail, ends, _ = self._states[state]
         out, j = [], len(tail)
         while j:
             out.append(ends[j - 1] >> 8)
@@ -145,12 +205,22 @@ class Transducer:
         """Ids in decimal, each after a space: the transducer's output alphabet."""
         return b"".join([b" %d" % t for t in tokens])
 
+    def _move(self, state: int, byte: int, root: int) -> tuple[int, int, bytes, int]:
+        """The move from state << 8 by a byte, after the certain token root; made if it is new."""
+        move = state | byte
+        made = self._moves.get(move) or self._step(move, True)
+        if made[0] != _NONE and root != _START and not self._stands(root, made[0]):
+            made = self._denied.get(move) or self._step(move, False)
+        return made
+
     def stream(self, piece: Iterable[int]) -> Iterator[int]:
         """Tokens of a piece as soon as they are certain."""
-        state, known = 0, self._moves.get
+        state, root = 0, _START
         for byte in piece:
-            state, code = known(state | byte) or self._step(state | byte)
-            yield from map(int, code.split())
+            _, state, code, last = self._move(state, byte, root)
+            if code:
+                root = last
+                yield from map(int, code.split())
         yield from map(int, (self._last.get(state >> 8) or self._rest(state >> 8)).split())
 
     def encode(self, piece: bytes) -> bytes:
@@ -158,12 +228,16 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return b" %d" % whole
-        if len(self._moves) > CACHED_STATES:
+        if len(self._moves) + len(self._denied) > CACHED_STATES:
             self._reset()
-        state, known, codes = 0, self._moves.get, []
+        state, root, known, agree, codes = 0, _START, self._moves.get, self._agree.get, []
         for byte in piece:
-            state, code = known(state | byte) or self._step(state | byte)
+            asked, after, code, last = known(state | byte) or self._step(state | byte, True)
+            if asked != _NONE and root != _START and not agree(root << 32 | asked):
+                _, after, code, last = self._move(state, byte, root)
+            state = after
             if code:
+                root = last
                 codes.append(code)
         codes.append(self._last.get(state >> 8) or self._rest(state >> 8))
         return b"".join(codes)
@@ -203,18 +277,28 @@ def decode_stream(ids: Iterable[int], bytes_of: dict[int, bytes], at_once: int =
 
 
 class _Codes(dict):
-    """Piece -> its ids in decimal, each after a space; filled by the transducer. The last full table is kept behind."""
+    """Piece -> its ids in decimal, each after a space; filled by the transducer. The last full table is kept behind.
+
+    Pieces that are one token are always there.
+    """
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.transducer, self.before = transducer, {}
+        self.transducer, self.before, self.tokens = transducer, {}, {}
+        for token, rank in transducer.ranks.items():
+            try:
+                self.tokens[token.decode()] = b" %d" % rank
+            except UnicodeDecodeError:  # bytes that are no text are no piece
+                continue
+        self.update(self.tokens)
 
     def __missing__(self, piece: str) -> bytes:
         code = self.before.get(piece) or self.transducer.encode(piece.encode())
         if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
-                self.before = dict(self)
+            if len(self) >= CACHED_PIECES + len(self.tokens):
+                self.before = {p: c for p, c in self.items() if p not in self.tokens}
                 self.clear()
+                self.update(self.tokens)
             self[piece] = code
         return code
 
