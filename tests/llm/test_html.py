@@ -28,7 +28,7 @@ CASES = [
     ("text <unfinished attr='", "text"),
     ("<img alt='pic'> <noscript>no</noscript><template>no</template>", "pic"),
     ("", ""),
-    ("<select><option>no</select>end", "end"),
+    ("<select><option>no<option selected>yes</select>end", "yes end"),
 ]
 
 
@@ -101,3 +101,63 @@ def test_null_empty_and_repeated(spark):
 )
 def test_formulas_drawings_and_fields(page, text):
     assert extract(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("pick <select><option disabled>no<option>first<option>no</select>end", "pick first end"),
+        ("<select><optgroup label=x><option>no<option selected>a</optgroup><option selected>b <i>c</i></select>", "b c"),
+        ("<select multiple><option>a<option>b</select> <select size=3><option>c<option hidden>no<option>d</select>", "a b c d"),
+        ("<select></select>x<select hidden><option>no</select><datalist><option>no</datalist>", "x"),
+        ("<a title='x>y' class=\"a'b\">link</a>", "link"),
+        ("a<a title=\"un>closed>link", "a"),
+        ("a<a <b <c", "a"),
+        ("<a <b>x</b>", "x"),
+        ("<p a=1b=2 c = 'd' / e>x", "x"),
+        ("<p =x=z>y", "y"),
+        ("a</ b>c<>d</>e<1>", "a</ b>c<>d</>e<1>"),
+        ("a<!bogus b>c<?pi d>e<!--x--->f<!-- rest", "acef"),
+    ],
+)
+def test_choices_and_broken_tags(page, text):
+    assert extract(page) == text
+
+
+def test_columns_are_as_wide_as_their_cells():
+    wide = "w" * 70
+    page = f"<table><tr><td>{wide}<td>b<td>c</tr><tr><td>a<td>bb<td>c</tr></table>"
+    assert extract(page) == f"{wide}  b   c\n{'a':72}bb  c"
+    # Five columns from the left by rowspan 0, and a colspan of more than a hundred columns.
+    page = "<table><tr><td rowspan=0>s<td colspan=150>x<td>end</tr><tr><td>t<td>u</tr><tr><td>v</tr></table>"
+    assert [line.split() for line in extract(page).split("\n")] == [["s", "x", "end"], ["t", "u"], ["v"]]
+    assert extract(page).split("\n")[2].startswith("   v")
+
+
+def test_one_huge_cell_does_not_fill_every_row_with_blanks():
+    page = "<table><tr><td>" + "h" * 200_000 + "<td>z</tr>" + "<tr><td>a<td>b</tr>" * 2000 + "</table>"
+    lines = extract(page).split("\n")
+    assert sum(map(len, lines)) < 20 * 220_000 and lines[0] == "h" * 200_000 + "  z" and lines[1] == "a  b"
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<a ", "<a '", "<a <", "<", "</", "<!", "<!-", "<!--", "<a=", "<a b", "<div>", "<p>", "</p>", "</x>", "<b><p></b>", "<table>", "<table><td>", "<td>",
+     "<table><tr><td rowspan=9999>x", "<td colspan=1000 rowspan=0>x", "<li>", "<ul>", "<head>", " <!----><head>", "<select>", "<option>", "<svg>", "<p><table><td><div>", "&", "<dd>", "<i>", "<ul><li>x", "<blockquote>x", "<dl><dd>x"],
+)
+def test_time_follows_the_length_of_broken_pages(piece):
+    import time
+
+    def spent(n):
+        start = time.perf_counter()
+        extract(piece * n)
+        return time.perf_counter() - start
+
+    size = 300_000 // len(piece)
+    assert spent(size) < max(8 * spent(size // 4), 1.0) and spent(size) < 8
+
+
+def test_deep_nesting_keeps_all_text():
+    for piece in ("<table><tr><td>x{}<td>y", "<ul><li>x{}", "<blockquote>x{}"):
+        page = "".join(piece.format(k) for k in range(200))
+        assert re.findall(r"x\d+", extract(page)) == [f"x{k}" for k in range(200)]
