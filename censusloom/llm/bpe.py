@@ -12,6 +12,7 @@ answer. So states do not multiply by the tokens before them.
 from __future__ import annotations
 
 import base64
+import gc
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -27,6 +28,8 @@ from censusloom.llm.text import RELEASE, forget
 #: Pieces kept with their ids, and transitions kept; beyond that the tables start anew. This bounds memory only.
 CACHED_PIECES = 60_000
 CACHED_STATES = 300_000
+#: Bytes at the start of a piece that are read in one move once they are known.
+HEAD = 4
 #: Longer pieces are not kept.
 CACHED_LENGTH = 64
 #: Pieces of a text that are held at a time.
@@ -82,6 +85,7 @@ class Transducer:
         self._moves: dict[int, tuple[int, int, bytes, int]] = {}
         self._denied: dict[int, tuple[int, int, bytes, int]] = {}
         self._last: dict[int, bytes] = {}
+        self._heads: dict[bytes, tuple[int, int, bytes]] = {}
 
     def merge(self, piece: bytes, below: int = _NEVER) -> list[int]:
         """The merges themselves, lowest rank first, leftmost first; only those below a rank."""
@@ -230,8 +234,22 @@ class Transducer:
             return b" %d" % whole
         if len(self._moves) + len(self._denied) > CACHED_STATES:
             self._reset()
-        state, root, known, agree, codes = 0, _START, self._moves.get, self._agree.get, []
-        for byte in piece:
+        head = piece[:HEAD]
+        state, root, code = self._heads.get(head) or self._begin(head)
+        state, _, more = self._read(state, root, piece[HEAD:])
+        return code + more + (self._last.get(state >> 8) or self._rest(state >> 8))
+
+    def _begin(self, head: bytes) -> tuple[int, int, bytes]:
+        """State, certain token and code after the first bytes of a piece, which are read at once when they come again."""
+        if len(self._heads) >= CACHED_PIECES:
+            self._heads.clear()
+        made = self._heads[head] = self._read(0, _START, head)
+        return made
+
+    def _read(self, state: int, root: int, data: bytes) -> tuple[int, int, bytes]:
+        """State, certain token and code after some bytes."""
+        known, agree, codes = self._moves.get, self._agree.get, []
+        for byte in data:
             asked, after, code, last = known(state | byte) or self._step(state | byte, True)
             if asked != _NONE and root != _START and not agree(root << 32 | asked):
                 _, after, code, last = self._move(state, byte, root)
@@ -239,8 +257,7 @@ class Transducer:
             if code:
                 root = last
                 codes.append(code)
-        codes.append(self._last.get(state >> 8) or self._rest(state >> 8))
-        return b"".join(codes)
+        return state, root, b"".join(codes)
 
 
 class Utf8Stream:
@@ -334,6 +351,16 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         found, codes, bytes_of = _codec(path, pattern)
+        # The tables are millions of objects without cycles: looking through them for garbage again and again is in vain.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            yield from encoded(batches, found, codes, bytes_of)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encoded(batches: Iterator[pa.RecordBatch], found: regex.Pattern, codes: _Codes, bytes_of: dict[bytes, bytes]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for value in batch.column(1):
