@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from censusloom.llm.text import RELEASE, forget
 
 #: Pieces kept with their ids, and transitions kept; beyond that the tables start anew. This bounds memory only.
-CACHED_PIECES = 60_000
+CACHED_PIECES = 120_000
 CACHED_STATES = 300_000
 #: Bytes at the start of a piece that are read in one move once they are known.
 HEAD = 4
