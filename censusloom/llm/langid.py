@@ -19,6 +19,8 @@ from censusloom.llm.text import slices, utf8
 UNKNOWN = "und"
 #: The training sample: at most this many passages of so many characters for each language.
 PASSAGES, PASSAGE = 400, 400
+#: How many times as many documents as are needed are ranked.
+SLACK = 4
 #: Hidden units of each direction, bytes of a segment when reading and when training.
 HIDDEN, SEGMENT, TRAINED = 8, 128, 48
 STEPS, BATCH, RATE, SEED = 360, 192, 0.02, 7
@@ -156,14 +158,40 @@ def held_out(key: Column) -> Column:
 
 
 def sample(df: DataFrame, text: str, label: str, key: str) -> list[tuple[str, bytes]]:
-    """(label, passage) rows: for each label the documents of least hash, one passage from a hashed place of each."""
+    """(label, passage) rows: for each label the documents of least hash, one passage from a hashed place of each.
+
+    Equal passages of one key count once.
+
+    From the counts of the labels follows a hash below which about four times as many documents lie as are needed; so
+    a label's task sees some thousand rows, however many there are. Where these do not suffice (few of a label's texts
+    have a letter), all its rows are ranked.
+    """
     at = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.greatest(F.length(text) - PASSAGE, F.lit(1))).cast("int") + 1
-    rows = df.where(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key))).select(
+    known = df.where(F.col(label).isNotNull() & ~held_out(F.col(key)))
+    counts = {r["label"]: r["n"] for r in known.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = known.where(F.col(text).isNotNull()).select(
         F.col(label).alias("label"), F.substring(F.col(text), at, F.lit(PASSAGE)).alias("passage"), F.xxhash64(key).alias("hash")
     )
+    rows = rows.where(F.col("passage").rlike("\\p{L}"))
     rank = F.row_number().over(Window.partitionBy("label").orderBy("hash", "passage"))
-    kept = rows.where(F.col("passage").rlike("\\p{L}")).withColumn("rank", rank).where(F.col("rank") <= PASSAGES)
-    return sorted((r["label"], r["passage"].encode()) for r in kept.select("label", "passage").collect())
+    found: list[tuple[str, bytes]] = []
+    todo = {name: min(1.0, SLACK * PASSAGES / n) for name, n in counts.items()}
+    while todo:
+        # The labels are those the network tells apart, so their list is short.
+        limits = F.create_map(*[F.lit(x) for name, part in todo.items() for x in (name, _hash_below(part))])
+        kept = rows.where(F.col("hash") <= F.element_at(limits, F.col("label"))).distinct().withColumn("rank", rank).where(F.col("rank") <= PASSAGES)
+        got: dict[str, list[bytes]] = {name: [] for name in todo}
+        for r in kept.select("label", "passage").collect():
+            got[r["label"]].append(r["passage"].encode())
+        done = [name for name, part in todo.items() if part == 1.0 or len(got[name]) == PASSAGES]
+        found += [(name, passage) for name in done for passage in got[name]]
+        todo = {name: 1.0 for name in todo if name not in done}
+    return sorted(found)
+
+
+def _hash_below(part: float) -> int:
+    """The 64-bit number below which a part of all hashes lies."""
+    return (1 << 63) - 1 if part >= 1.0 else -(1 << 63) + int(part * (1 << 64))
 
 
 def fit(passages: list[tuple[str, bytes]]) -> tuple[list[str], Network | None]:

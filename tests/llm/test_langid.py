@@ -79,3 +79,21 @@ def test_unreadable_repeated_and_empty(spark):
     assert {r.lang_pred for r in predict_language(df.withColumn("lang", df.lang.substr(0, 0)).where("lang is null")).collect()} == {"und"}
     assert predict_language(df.where("false")).collect() == []
     assert fit([]) == ([], None)
+
+
+def test_sample_is_the_least_hashes_of_each_label(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from censusloom.llm import langid
+
+    monkeypatch.setattr(langid, "PASSAGES", 5)
+    rows = [(k, f"text {k} of words", "en" if k % 3 else "de") for k in range(600)] + [(7, "same", "fr")] * 300 + [(k, "123", "it") for k in range(900, 990)]
+    rows += [(k, "solo parole" if k in (995, 996) else "1", "it") for k in range(990, 1100)] + [(None, "x", "en"), (1, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.sample(df, "text", "lang", "doc_id")
+    hashes = {r[0]: r[1] for r in df.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id")).distinct().collect()}
+    want = []
+    for label in ("de", "en", "fr", "it"):
+        own = {(hashes[k], t) for k, t, lab in rows if lab == label and k is not None and t and zlib.crc32(str(k).encode()) % 5 and any(c.isalpha() for c in t)}
+        want += [(label, t.encode()) for _, t in sorted(own)[:5]]
+    assert got == sorted(want)

@@ -59,3 +59,31 @@ def test_hot_null_and_empty_keys(spark):
     assert len(got) == 62 and max(sizes.values()) - min(sizes.values()) <= 1
     assert len({(r._shard, r._slot) for r in got}) == 62
     assert shard(rows.where("false"), "doc_id", [F.col("n")]).collect() == []
+
+
+def test_a_hot_key_is_ranked_in_parts(spark):
+    """A third of all rows has no key: law and slots hold, and no window partition has more than a few of them."""
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("doc_id"), F.col("id").alias("_hash"), F.lit("x").alias("_row"))
+    got = shard(rows, "doc_id", [F.col("_hash")])
+    assert got.columns == ["doc_id", "_hash", "_row", "_shard", "_slot"]
+    found = got.collect()
+    assert sorted(r._hash for r in found) == list(range(9000))
+    sizes = Counter(r._shard for r in found)
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and len({(r._shard, r._slot) for r in found}) == 9000
+    assert max(r._slot for r in found) == 1124
+    from censusloom.llm import ring
+
+    key, tie = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull()), F.xxhash64("_hash", F.lit(17))
+    cell = F.shiftrightunsigned(key, 64 - ring.CELL_BITS).cast("int")
+    parts = rows.groupBy(cell, ring._parts(rows, cell, key, tie)).count().collect()
+    assert max(r["count"] for r in parts) < 3000 / ring.PARTS * 2
+
+
+def test_how_many_rows_another_shard_moves(spark):
+    """The new shard takes its ninth; the other rows that move are fewer than those that stay."""
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"))
+    before = {r.doc_id: r._shard for r in shard(rows, "doc_id", [F.col("doc_id")], shards=8).collect()}
+    after = {r.doc_id: r._shard for r in shard(rows, "doc_id", [F.col("doc_id")], shards=9).collect()}
+    new = sum(s == 8 for s in after.values())
+    moved = sum(before[k] != after[k] for k in before if after[k] != 8)
+    assert new in (2222, 2223) and moved / len(before) < 0.25, moved
