@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from censusloom.llm.components import components
+from censusloom.llm.units import column, deal, sides, work
 from censusloom.plans.storage import settle
 
 THRESHOLD = 0.93
@@ -110,30 +111,12 @@ def _signed(scheme: Scheme) -> Callable:
     return run
 
 
-def _column(table: pa.Table, name: str) -> np.ndarray:
-    return table[name].to_numpy()
-
-
-def _work(table: pa.Table) -> Iterator[np.ndarray]:
-    """Rows of each unit, ordered by class."""
-    unit, ids = _column(table, "unit"), _column(table, "id")
-    order = np.lexsort((ids, unit))
-    edges = np.flatnonzero(np.diff(unit[order])) + 1
-    yield from np.split(order, edges)
-
-
 def _first_agreement(signs: np.ndarray, a: np.ndarray, b: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Which pairs agree in this table and in none before it."""
     agree = signs[a] == signs[b]
     return agree.any(axis=1) & (agree.argmax(axis=1) == table[a]) & (table[a] == table[b])
 
 
-def _sides(side: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
-    """The two sets of rows that a unit compares; whether they are one and the same."""
-    whole = bool((side[own] == 3).all())
-    return (own, own, True) if whole else (own[side[own] == 1], own[side[own] == 2], False)
-
-
 def _screen(scheme: Scheme) -> Callable:
     """Of each unit the classes that have a candidate in it."""
 
@@ -142,10 +125,10 @@ def _screen(scheme: Scheme) -> Callable:
         size = signs.shape[1] * scheme.kind.itemsize
         wide = np.zeros((len(signs), -(-size // 8) * 8), np.uint8)
         wide[:, :size] = np.ascontiguousarray(signs).view(np.uint8).reshape(len(signs), size)
-        wide, side, number = wide.view(np.uint64), _column(table, "side"), _column(table, "number")
+        wide, side, number = wide.view(np.uint64), column(table, "side"), column(table, "number")
         hit = np.zeros(len(signs), bool)
-        for own in _work(table):
-            left, right, same = _sides(side, own)
+        for own in work(table):
+            left, right, same = sides(side, own)
             for k in range(0, len(left), 128):
                 part = left[k : k + 128]
                 apart = sum(np.bitwise_count(wide[part, w][:, None] ^ wide[right, w][None, :]).astype(np.uint16) for w in range(wide.shape[1]))
@@ -179,15 +162,15 @@ def _compare(scheme: Scheme) -> Callable:
 
     def run(table: pa.Table) -> pa.Table:
         signs = np.frombuffer(b"".join(table["signature"].to_pylist()), scheme.kind).reshape(-1, scheme.tables)
-        side, number, ids, copies = (_column(table, n) for n in ("side", "number", "id", "copies"))
+        side, number, ids, copies = (column(table, n) for n in ("side", "number", "id", "copies"))
         raw, labels = table["vector"].to_pylist(), table["label"].to_pylist()
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for unit in _work(table):
+        for unit in work(table):
             spaces: dict[tuple, list[int]] = {}
             for k in unit.tolist():
                 spaces.setdefault((labels[k], len(raw[k])), []).append(k)
             for own in map(np.array, spaces.values()):
-                left, right, same = _sides(side, own)
+                left, right, same = sides(side, own)
                 if not len(left) or not len(right):
                     continue
                 vectors = _units(np.frombuffer(b"".join(raw[k] for k in own), np.float64).reshape(len(own), -1))
@@ -220,16 +203,7 @@ def _found(classes: DataFrame, scheme: Scheme) -> DataFrame:
     part = F.expr(f"substring(signature, number * {bytes_} + 1, {bytes_})")
     entries = classes.select("id", "signature", F.col("label"), F.octet_length("vector").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(scheme.tables - 1))).alias("number"))
     entries = entries.select("id", "signature", "number", F.xxhash64("label", "size", "number", part).alias("bucket"))
-    heavy = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
-    heavy = settle(heavy.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "n"), "heavy")
-    more = heavy.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
-    packs = max(1, math.ceil((classes.count() * scheme.tables + more) / ENTRIES))
-    blocks = F.coalesce(F.col("blocks"), F.lit(1))
-    cut = entries.join(heavy.drop("n"), "bucket", "left").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    unit = F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"))
-    side = F.when(F.col("block") == F.col("other"), F.lit(3)).when(F.col("block") < F.col("other"), F.lit(1)).otherwise(F.lit(2))
-    units = cut.select("id", "signature", "number", unit.alias("unit"), side.alias("side")).withColumn("pack", F.pmod("unit", F.lit(packs)))
+    units = deal(entries, classes.count() * scheme.tables, BLOCK, ENTRIES)
     near = units.groupBy("pack").applyInArrow(_screen(scheme), "pack long, unit long, number int, side int, id long")
     full = near.join(classes.select("id", "label", "vector", "signature", "copies"), "id")
     return full.groupBy("pack").applyInArrow(_compare(scheme), "id long, links long, least long")

@@ -5,7 +5,7 @@ The shingle domain is partitioned by a hash, into as many parts as the sizes of
 the lower edge of their band are partitioned for that band too. With k = size / 3 differences at most k parts can
 disagree, so of any k + 1 parts that are not empty one must agree: the enumerated subsets are the single parts, and a
 signature is the shingles of one part. Each set gives its k + 1 signatures that are least frequent in the whole corpus
-(by a counting sketch that grows with the rows up to 32 MB; any order that all sets share finds all pairs). A set with fewer than k + 1 parts
+(by a counting sketch of fixed size; any order that all sets share finds all pairs). A set with fewer than k + 1 parts
 that are not empty gives all of them, and its k + 1 least single shingles, in case its partner is such a set too.
 
 Sets that share a signature form a group. Groups are settled in rounds. First every member is compared exactly with
@@ -31,8 +31,8 @@ from censusloom.llm.text import LOWER, SPACED, mix, slices, utf8, window_hashes,
 from censusloom.plans.storage import settle
 
 SHINGLE, PERCENT = 5, 75
-#: Cells of the frequency sketch: a power of two of at least so many for each row, within these bounds (four bytes a cell).
-ROW_CELLS, LEAST_CELLS, MOST_CELLS = 16, 1 << 18, 1 << 23
+#: Cells of the frequency sketch, of four bytes each. More cells for larger tables were measured: they cost disk and save no shuffle.
+CELLS = 1 << 21
 #: Bits of a parity sketch: four for each shingle, rounded up to a power of two, within these bounds.
 LEAST_BITS, MOST_BITS = 1 << 10, 1 << 17
 #: Groups up to this size have all their pairs looked at, larger ones the pairs of members outside the largest component.
@@ -177,16 +177,12 @@ class _Sketches:
         return out
 
 
-def sketch_cells(rows: int) -> int:
-    return min(MOST_CELLS, max(LEAST_CELLS, 1 << (ROW_CELLS * rows - 1).bit_length()))
-
-
-def shingle_sets(df: DataFrame, size: int, cells: int) -> DataFrame:
+def shingle_sets(df: DataFrame, size: int) -> DataFrame:
     """doc, n, one, two for every row, and each task's sketch of signature counts (segment not null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "n", "one", "two", *counting.NAMES]
-        counted = np.zeros(cells, np.uint32)
+        counted = np.zeros(CELLS, np.uint32)
         for batch in batches:
             for i, j, rows, hashes in _sets(batch.column(1), size):
                 n, one, two = _digests(rows, hashes, j - i)
@@ -414,13 +410,34 @@ def linked_texts(df: DataFrame, size: int = SHINGLE, text: str = "text", key: st
     return rows.select("doc", "n", "one", "two", "copies", F.coalesce("component", "rep").alias("group"))
 
 
+def first_of_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with one row of each group of linked texts: that with the least key and, of its rows in the group, the least text.
+
+    A shared key alone links nothing. Rows without a key or without words are linked with nothing and stay. The rows
+    that go are about as many as the rows that stay, so the joins are merged at every size, with one plan.
+    """
+    groups = settle(linked_texts(docs, text=text, key=key), "linked_texts")
+    groups = groups.join(groups.groupBy("group").agg(F.min("doc").alias("least"), F.sum("copies").alias("rows")), "group").where("rows > 1")
+    groups = settle(groups.select(F.struct("doc", "n", "one", "two").alias("_own"), "group", "copies", F.expr("doc = least").alias("first")), "groups")
+    own = F.struct(F.col(f"`{key}`").cast("long").alias("doc"), F.col("_set.n").alias("n"), F.col("_set.one").alias("one"), F.col("_set.two").alias("two"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key, set_digests()(F.col(f"`{text}`")).alias("_set"))
+    rows = rows.select("_row", own.alias("_own"))
+    kept = rows.join(groups.where("not first").select("_own").hint("merge"), "_own", "left_anti")
+    firsts = groups.where("first")
+    again = firsts.groupBy("group").agg(F.sum("copies").alias("rows")).where("rows > 1")
+    again = settle(firsts.join(again.select("group"), "group", "left_semi").select("_own", "group"), "again")
+    if again.isEmpty():
+        return kept.select("_row.*")
+    least = kept.join(again, "_own").groupBy("group").agg(F.min(F.struct(F.col(f"_row.`{text}`").alias("text"), F.col("_row").alias("row"))).alias("_least"))
+    return kept.join(again, "_own", "left_anti").select("_row.*").unionByName(least.select("_least.row.*"))
+
+
 def _linked_classes(df: DataFrame, size: int, text: str, key: str) -> _Linked:
     spark = df.sparkSession
     buckets = packed.buckets_of(spark)
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    cells = sketch_cells(docs.count())
-    tables = settle(shingle_sets(docs, size, cells), "shingle_sets")
-    counts = np.minimum(counting.total(tables.where("segment is not null"), cells), np.iinfo(np.uint32).max)
+    tables = settle(shingle_sets(docs, size), "shingle_sets")
+    counts = np.minimum(counting.total(tables.where("segment is not null"), CELLS), np.iinfo(np.uint32).max)
     sketch = spark.sparkContext.broadcast(counts.astype(np.uint32))
     sets = tables.where("segment is null").drop(*counting.NAMES)
     able_sets = sets.where("n > 0 and doc is not null")

@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from censusloom.llm.text import LOWER, SPACED, mix, slices, utf8, word_hashes, words
+from censusloom.llm.units import column, deal, sides, work
 from censusloom.plans.storage import settle
 
 BITS, RADIUS = 64, 3
 AT_ONCE = 1 << 19
+#: Fingerprints of a unit of comparison at most (twice as many for two blocks), and entries that travel together.
+BLOCK, ENTRIES = 2048, 1 << 16
 
 
 def fingerprints(column) -> np.ndarray:
@@ -65,23 +68,81 @@ def as_text(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
+def _signed(value: int) -> int:
+    return value - (1 << BITS) if value >> (BITS - 1) else value
+
+
+def block_masks(radius: int) -> list[int]:
+    """The bits of the key of each permuted block table: of every two of radius + 2 blocks."""
+    blocks = radius + 2
+    edges = [BITS * k // blocks for k in range(blocks + 1)]
+    masks = [(1 << edges[k + 1]) - (1 << edges[k]) for k in range(blocks)]
+    return [_signed(masks[a] | masks[b]) for a, b in combinations(range(blocks), 2)]
+
+
+def _near(table: pa.Table, radius: int, masks: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Fingerprints of a pack, and rows of the pairs within the radius; a pair counts in the first table it meets in."""
+    prints, number, side = (column(table, n) for n in ("id", "number", "side"))
+    bits, tables = prints.view(np.uint64), np.array(masks, np.int64)
+    for own in work(table):
+        left, right, same = sides(side, own)
+        for k in range(0, len(left), 256):
+            part = left[k : k + 256]
+            i, j = np.nonzero(np.bitwise_count(bits[part][:, None] ^ bits[right][None, :]) <= radius)
+            if same:
+                i, j = i[i + k < j], j[i + k < j]
+            a, b = part[i], right[j]
+            agree = ((prints[a] ^ prints[b])[:, None] & tables) == 0
+            first = agree.any(axis=1) & (agree.argmax(axis=1) == number[a]) & (number[a] == number[b])
+            yield prints, a[first], b[first]
+
+
+def _counted(radius: int, masks: list[int]):
+    def run(table: pa.Table) -> pa.Table:
+        near, prints = np.zeros(len(table), np.int64), column(table, "id")
+        for _, a, b in _near(table, radius, masks):
+            np.add.at(near, a, 1)
+            np.add.at(near, b, 1)
+        hit = np.flatnonzero(near)
+        return pa.table([prints[hit], near[hit]], names=["print", "n"])
+
+    return run
+
+
+def _listed(radius: int, masks: list[int]):
+    def run(table: pa.Table) -> pa.Table:
+        pairs = [(np.minimum(p[a], p[b]), np.maximum(p[a], p[b])) for p, a, b in _near(table, radius, masks)]
+        u, v = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else [np.zeros(0, np.int64)] * 2
+        return pa.table([u, v], names=["u", "v"])
+
+    return run
+
+
+def _units(prints: DataFrame, masks: list[int]) -> DataFrame:
+    """The distinct fingerprints, dealt by the bits of every block table into units of comparison."""
+    each = settle(prints.where("print is not null").select(F.col("print").alias("id")).distinct(), "prints")
+    dealt = each.select("id", F.posexplode(F.array(*[F.col("id").bitwiseAND(F.lit(m)) for m in masks])).alias("number", "part"))
+    return deal(dealt.select("id", "number", F.xxhash64("number", "part").alias("bucket")), each.count() * len(masks), BLOCK, ENTRIES)
+
+
+def near_counts(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """print, n_near: for every fingerprint (column print) that has others within the radius, how many different ones.
+
+    Equal fingerprints are one; nulls have no partner. Fingerprints with equal bits in two blocks meet in a bucket;
+    buckets are compared in units of bounded size, and no pair leaves a unit, only counts.
+    """
+    masks = block_masks(radius)
+    found = _units(prints, masks).groupBy("pack").applyInArrow(_counted(radius, masks), "print long, n long")
+    return found.groupBy("print").agg(F.sum("n").alias("n_near"))
+
+
 def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """All pairs u < v of different fingerprints (column print) at most radius bits apart, each once.
 
-    Equal fingerprints are one; nulls have no partner.
+    For callers that want the pairs themselves; their number may grow with the square of a group of near fingerprints.
     """
-    blocks = radius + 2
-    edges = [BITS * k // blocks for k in range(blocks + 1)]
-    masks = [((1 << edges[k + 1]) - (1 << edges[k])) for k in range(blocks)]
-    signed = lambda m: m - (1 << BITS) if m >> (BITS - 1) else m
-    tables = [signed(masks[a] | masks[b]) for a, b in combinations(range(blocks), 2)]
-    each = prints.where("print is not null").select("print").distinct()
-    dealt = each.select("print", F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(m)) for m in tables])).alias("table", "part"))
-    u, v = dealt.select(F.col("print").alias("u"), "table", "part"), dealt.select(F.col("print").alias("v"), "table", "part")
-    apart = F.col("u").bitwiseXOR(F.col("v"))
-    agreeing = [F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(k)) for k, m in enumerate(tables)]
-    near = u.join(v, ["table", "part"]).where((F.col("u") < F.col("v")) & (F.bit_count(apart) <= radius) & (F.coalesce(*agreeing) == F.col("table")))
-    return near.select("u", "v")
+    masks = block_masks(radius)
+    return _units(prints, masks).groupBy("pack").applyInArrow(_listed(radius, masks), "u long, v long")
 
 
 def _cuts(df: DataFrame, column: str, bins: int) -> list[int]:
@@ -138,9 +199,7 @@ def edited_likeness(df: DataFrame, key: str = "doc_id", text: str = "text", radi
     printed = settle(printed, "fingerprints")
     order = Window.partitionBy("bin").orderBy("place")
     rows = printed.withColumn("next", F.lead("print").over(order)).where("not tail")
-    pairs = near_pairs(rows.select("print"), radius)
-    counts = pairs.select(F.explode(F.array("u", "v")).alias("print")).groupBy("print").agg(F.count(F.lit(1)).alias("n_near"))
-    rows = rows.join(counts, "print", "left")
+    rows = rows.join(near_counts(rows.select("print"), radius), "print", "left")
     return rows.select(
         F.col("doc").alias(key), "n_chars", "edited_sha256", as_text(F.col("print")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("changed")).alias("near_edited"), likeness(F.col("print"), F.col("next")).alias("near_next"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),

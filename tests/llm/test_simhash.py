@@ -5,7 +5,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from censusloom.llm.simhash import edited_likeness, fingerprints, near_pairs
+from censusloom.llm import simhash
+from censusloom.llm.simhash import edited_likeness, fingerprints, near_counts, near_pairs
+from censusloom.llm.text import SPACED, mix, word_hashes
 
 
 def rows(seed=1, n=120):
@@ -49,6 +51,44 @@ def test_fingerprint_is_the_signed_vote():
     assert fingerprints(pa.array(["a  B a\\tb C".replace("\\t", "\t")]))[0] == got[0]
 
 
+def vote(text):
+    """The signed vote in plain Python: each pair of words, or a lone word, votes for its set bits and against the others."""
+    words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split(b" ") if w]
+    digest = [int(word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]), 9)[0]) for w in words]
+    terms = digest if len(words) == 1 else [int(mix(np.array([(3 * a + b) % 2**64], np.uint64))[0]) for a, b in zip(digest, digest[1:], strict=False)]
+    sums = [0] * 64
+    for term in terms:
+        for bit in range(64):
+            sums[bit] += 1 if term >> bit & 1 else -1
+    value = sum(1 << bit for bit in range(64) if sums[bit] > 0)
+    return value - 2**64 if value >> 63 else value
+
+
+def test_fingerprint_equals_a_vote_in_plain_python(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["Ab", "b", "世界", "dd", "e", "x" * 200]) for _ in range(rng.randrange(60))) for _ in range(80)]
+    texts += ["", None, "one", "  two  ", "a a", "a a a a b"]
+    want = [vote(t) for t in texts]
+    assert fingerprints(pa.array(texts)).tolist() == want
+    monkeypatch.setattr(simhash, "AT_ONCE", 300)
+    assert fingerprints(pa.array(texts)).tolist() == want
+    assert SPACED[ord("A")] and not SPACED[ord(" ")]
+
+
+def test_a_hot_block_is_counted_in_units(spark, monkeypatch):
+    """Hundreds of different fingerprints agree in most blocks: counts as by all pairs, and no row for a pair."""
+    rng = np.random.default_rng(4)
+    base = int(rng.integers(-(2**62), 2**62))
+    values = sorted({base ^ int(rng.integers(0, 1 << 9)) for _ in range(400)} | {int(v) for v in rng.integers(-(2**63), 2**63 - 1, 100)})
+    df = spark.createDataFrame([(v,) for v in [*values, *values[:50], None]], "print long")
+    want = {v: n for v in values if (n := sum(bin((v ^ w) & (2**64 - 1)).count("1") <= 3 for w in values) - 1)}
+    for block in (simhash.BLOCK, 32):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        got = near_counts(df)
+        assert {r["print"]: r["n_near"] for r in got.collect()} == want
+        assert {r["print"] for r in got.collect()} <= set(values) and max(want.values()) > 30
+
+
 def test_all_near_fingerprints(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(-(2**63), 2**63 - 1, 40)
