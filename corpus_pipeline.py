@@ -26,20 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A shared doc_id alone links nothing. Rows without a doc_id or without words are linked with nothing and stay.
     """
-    groups = settle(partenum.linked_texts(docs), "linked_texts")
-    groups = groups.join(groups.groupBy("group").agg(F.min("doc").alias("least"), F.sum("copies").alias("rows")), "group").where("rows > 1")
-    groups = settle(groups.select(F.struct("doc", "n", "one", "two").alias("_own"), "group", "copies", F.expr("doc = least").alias("first")), "groups")
-    own = F.struct(F.col("doc_id").cast("long").alias("doc"), F.col("_set.n").alias("n"), F.col("_set.one").alias("one"), F.col("_set.two").alias("two"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "doc_id", partenum.set_digests()(F.col("text")).alias("_set"))
-    rows = rows.select("_row", own.alias("_own"))
-    kept = rows.join(groups.where("not first").select("_own"), "_own", "left_anti")
-    firsts = groups.where("first")
-    again = firsts.groupBy("group").agg(F.sum("copies").alias("rows")).where("rows > 1")
-    again = settle(firsts.join(again.select("group"), "group", "left_semi").select("_own", "group"), "again")
-    if again.isEmpty():
-        return kept.select("_row.*")
-    least = kept.join(again, "_own").groupBy("group").agg(F.min(F.struct(F.col("_row.text").alias("text"), F.col("_row").alias("row"))).alias("_least"))
-    return kept.join(again, "_own", "left_anti").select("_row.*").unionByName(least.select("_least.row.*"))
+    return partenum.first_of_groups(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
