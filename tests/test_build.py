@@ -201,3 +201,14 @@ def test_no_python_and_no_cartesian_product(built):
     for df in built.levels.values():
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "Window" not in plan
+
+
+def test_no_area_row_is_exchanged(built):
+    """Departments come to the area rows, whatever the level; the settled tables' sizes decide it."""
+    for level in ("epci", "canton", "iris"):
+        listed = built.levels[level].groupBy("year", "department_code").agg(F.sum("population").alias("p"))
+        listed.collect()
+        plan = listed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan, level
+        above = plan.split("Exchange hashpartitioning")[1]
+        assert "partial_sum" in above.split("\n")[1] + above.split("\n")[2] and plan.count("BroadcastHashJoin") == 1
