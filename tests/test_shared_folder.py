@@ -10,6 +10,7 @@ from censusloom.plans import shared_folder
 
 SETTLING = [
     "all_ages_canton",
+    "all_ages_epci",
 ]
 
 
