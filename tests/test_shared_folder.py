@@ -11,6 +11,7 @@ from censusloom.plans import shared_folder
 SETTLING = [
     "all_ages_canton",
     "all_ages_epci",
+    "all_ages_iris",
 ]
 
 
