@@ -12,6 +12,7 @@ SETTLING = [
     "all_ages_canton",
     "all_ages_epci",
     "all_ages_iris",
+    "band_share_vs_national",
 ]
 
 
