@@ -13,6 +13,7 @@ SETTLING = [
     "all_ages_epci",
     "all_ages_iris",
     "band_share_vs_national",
+    "birth_month_all",
 ]
 
 
