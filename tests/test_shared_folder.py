@@ -14,6 +14,7 @@ SETTLING = [
     "all_ages_iris",
     "band_share_vs_national",
     "birth_month_all",
+    "birth_month_national",
 ]
 
 
