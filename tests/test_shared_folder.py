@@ -15,6 +15,7 @@ SETTLING = [
     "band_share_vs_national",
     "birth_month_all",
     "birth_month_national",
+    "birth_month_own",
 ]
 
 
