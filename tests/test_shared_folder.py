@@ -16,6 +16,7 @@ SETTLING = [
     "birth_month_all",
     "birth_month_national",
     "birth_month_own",
+    "birth_month_region",
 ]
 
 
