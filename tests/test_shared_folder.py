@@ -17,6 +17,7 @@ SETTLING = [
     "birth_month_national",
     "birth_month_own",
     "birth_month_region",
+    "blend_iris",
 ]
 
 
