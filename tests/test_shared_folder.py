@@ -18,6 +18,7 @@ SETTLING = [
     "birth_month_own",
     "birth_month_region",
     "blend_iris",
+    "blend_epci",
 ]
 
 
