@@ -19,6 +19,7 @@ SETTLING = [
     "birth_month_region",
     "blend_iris",
     "blend_epci",
+    "bottom20_share",
 ]
 
 
