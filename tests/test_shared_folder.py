@@ -20,6 +20,7 @@ SETTLING = [
     "blend_iris",
     "blend_epci",
     "bottom20_share",
+    "canton_weights",
 ]
 
 
