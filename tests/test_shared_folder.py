@@ -21,6 +21,7 @@ SETTLING = [
     "blend_epci",
     "bottom20_share",
     "canton_weights",
+    "bounds",
 ]
 
 
