@@ -22,6 +22,7 @@ SETTLING = [
     "bottom20_share",
     "canton_weights",
     "bounds",
+    "census_departments",
 ]
 
 
