@@ -23,6 +23,7 @@ SETTLING = [
     "canton_weights",
     "bounds",
     "census_departments",
+    "census_diff",
 ]
 
 
