@@ -24,6 +24,7 @@ SETTLING = [
     "bounds",
     "census_departments",
     "census_diff",
+    "census_scan",
 ]
 
 
