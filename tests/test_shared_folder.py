@@ -25,6 +25,7 @@ SETTLING = [
     "census_departments",
     "census_diff",
     "census_scan",
+    "child_parent_epci",
 ]
 
 
