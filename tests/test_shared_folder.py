@@ -26,6 +26,7 @@ SETTLING = [
     "census_diff",
     "census_scan",
     "child_parent_epci",
+    "census_scan_years",
 ]
 
 
