@@ -27,6 +27,7 @@ SETTLING = [
     "census_scan",
     "child_parent_epci",
     "census_scan_years",
+    "child_parent_iris",
 ]
 
 
