@@ -28,6 +28,7 @@ SETTLING = [
     "child_parent_epci",
     "census_scan_years",
     "child_parent_iris",
+    "cohort_totals",
 ]
 
 
