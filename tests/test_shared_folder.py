@@ -29,6 +29,7 @@ SETTLING = [
     "census_scan_years",
     "child_parent_iris",
     "cohort_totals",
+    "code_match_rate",
 ]
 
 
