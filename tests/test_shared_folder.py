@@ -30,6 +30,7 @@ SETTLING = [
     "child_parent_iris",
     "cohort_totals",
     "code_match_rate",
+    "commune_lookup",
 ]
 
 
