@@ -31,6 +31,7 @@ SETTLING = [
     "cohort_totals",
     "code_match_rate",
     "commune_lookup",
+    "commune_reference",
 ]
 
 
