@@ -32,6 +32,7 @@ SETTLING = [
     "code_match_rate",
     "commune_lookup",
     "commune_reference",
+    "coverage_by_department",
 ]
 
 
