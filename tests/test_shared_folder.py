@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from compare import differences, duckdb_views
 
@@ -34,6 +36,10 @@ SETTLING = [
     "commune_reference",
     "coverage_by_department",
 ]
+# Queries that run after another one, when the shared folder was cleared in between.
+LATER = [
+    "all_ages_epci",
+]
 
 
 @pytest.fixture
@@ -76,3 +82,20 @@ def test_a_local_path_that_is_not_there_is_refused(cluster, tmp_path, monkeypatc
 @pytest.mark.parametrize("name", SETTLING)
 def test_query_on_a_cluster(cluster, sf_dir, views, name):
     assert differences(queries.queries()[name](cluster, sf_dir), views, oracle.oracle_sql()[name]) == []
+
+
+def test_a_cleared_folder_that_loses_rows_is_refused(cluster, tmp_path, monkeypatch):
+    shared_folder(cluster)
+    shutil.rmtree(tmp_path)
+    some = cluster.range(1)
+    monkeypatch.setattr(cluster, "range", lambda *a: some)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="one machine"):
+            shared_folder(cluster)
+
+
+@pytest.mark.parametrize("name", LATER)
+def test_query_after_the_folder_was_cleared(cluster, sf_dir, views, tmp_path, name):
+    shared_folder(cluster)
+    shutil.rmtree(tmp_path)
+    assert differences(queries.queries()[name](cluster, sf_dir), views, oracle.oracle_sql()[name]) == []
