@@ -39,6 +39,7 @@ SETTLING = [
 # Queries that run after another one, when the shared folder was cleared in between.
 LATER = [
     "all_ages_epci",
+    "all_ages_iris",
 ]
 
 
