@@ -41,6 +41,7 @@ LATER = [
     "all_ages_epci",
     "all_ages_iris",
     "band_share_vs_national",
+    "birth_month_all",
 ]
 
 
