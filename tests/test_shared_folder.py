@@ -43,6 +43,7 @@ LATER = [
     "band_share_vs_national",
     "birth_month_all",
     "birth_month_national",
+    "birth_month_own",
 ]
 
 
