@@ -45,6 +45,7 @@ LATER = [
     "birth_month_national",
     "birth_month_own",
     "birth_month_region",
+    "blend_iris",
 ]
 
 
