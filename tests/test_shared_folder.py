@@ -46,6 +46,7 @@ LATER = [
     "birth_month_own",
     "birth_month_region",
     "blend_iris",
+    "blend_epci",
 ]
 
 
