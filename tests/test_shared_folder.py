@@ -47,6 +47,7 @@ LATER = [
     "birth_month_region",
     "blend_iris",
     "blend_epci",
+    "bottom20_share",
 ]
 
 
