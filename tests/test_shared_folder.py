@@ -48,6 +48,7 @@ LATER = [
     "blend_iris",
     "blend_epci",
     "bottom20_share",
+    "canton_weights",
 ]
 
 
