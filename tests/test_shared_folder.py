@@ -49,6 +49,7 @@ LATER = [
     "blend_epci",
     "bottom20_share",
     "canton_weights",
+    "bounds",
 ]
 
 
