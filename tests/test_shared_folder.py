@@ -51,6 +51,7 @@ LATER = [
     "canton_weights",
     "bounds",
     "census_departments",
+    "census_diff",
 ]
 
 
