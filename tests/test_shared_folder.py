@@ -52,6 +52,7 @@ LATER = [
     "bounds",
     "census_departments",
     "census_diff",
+    "census_scan",
 ]
 
 
