@@ -56,6 +56,7 @@ LATER = [
     "child_parent_epci",
     "census_scan_years",
     "child_parent_iris",
+    "cohort_totals",
 ]
 
 
