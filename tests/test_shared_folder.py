@@ -57,6 +57,7 @@ LATER = [
     "census_scan_years",
     "child_parent_iris",
     "cohort_totals",
+    "code_match_rate",
 ]
 
 
