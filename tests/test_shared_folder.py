@@ -58,6 +58,7 @@ LATER = [
     "child_parent_iris",
     "cohort_totals",
     "code_match_rate",
+    "commune_lookup",
 ]
 
 
