@@ -63,6 +63,11 @@ LATER = [
     "coverage_by_department",
 ]
 
+# Queries that settle before any other one has, when the folder that Spark made at the start was cleared by then.
+FIRST = [
+    "all_ages_iris",
+]
+
 
 @pytest.fixture
 def cluster(spark, tmp_path, monkeypatch):
@@ -77,6 +82,12 @@ def _name(spark, monkeypatch, folder):
     monkeypatch.setattr(spark.conf, "get", lambda key, *default: folder if key == "spark.checkpoint.dir" else get(key, *default))
 
 
+def _cleared(spark, tmp_path, monkeypatch):
+    """The shared folder as if Spark had made it for the application and somebody had cleared it away."""
+    _name(spark, monkeypatch, f"file:{tmp_path}/cleared")
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: f"file:{tmp_path}/cleared/0f0f")
+
+
 @pytest.fixture(scope="module")
 def views(sf_dir):
     return duckdb_views(sf_dir)
@@ -121,3 +132,30 @@ def test_query_after_the_folder_was_cleared(cluster, sf_dir, views, tmp_path, na
     shared_folder(cluster)
     shutil.rmtree(tmp_path)
     assert differences(queries.queries()[name](cluster, sf_dir), views, oracle.oracle_sql()[name]) == []
+
+
+def test_a_folder_that_spark_made_is_tried_once_cleared(cluster, tmp_path, monkeypatch):
+    _cleared(cluster, tmp_path, monkeypatch)
+    assert shared_folder(cluster) == f"file:{tmp_path}/cleared"
+
+
+def test_a_folder_that_spark_made_and_that_loses_rows_is_refused(cluster, tmp_path, monkeypatch):
+    _cleared(cluster, tmp_path, monkeypatch)
+    some = cluster.range(1)
+    monkeypatch.setattr(cluster, "range", lambda *a: some)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="one machine"):
+            shared_folder(cluster)
+
+
+def test_a_missing_folder_beside_the_one_that_spark_made_is_refused(cluster, tmp_path, monkeypatch):
+    _cleared(cluster, tmp_path, monkeypatch)
+    _name(cluster, monkeypatch, f"file:{tmp_path}/clear")
+    with pytest.raises(ValueError, match="one machine"):
+        shared_folder(cluster)
+
+
+@pytest.mark.parametrize("name", FIRST)
+def test_query_after_the_folder_that_spark_made_was_cleared(cluster, sf_dir, views, tmp_path, monkeypatch, name):
+    _cleared(cluster, tmp_path, monkeypatch)
+    assert differences(queries.queries()[name](cluster, sf_dir), views, oracle.oracle_sql()[name]) == []
