@@ -67,6 +67,7 @@ LATER = [
 FIRST = [
     "all_ages_iris",
     "band_share_vs_national",
+    "birth_month_all",
 ]
 
 
