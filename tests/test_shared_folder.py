@@ -69,6 +69,7 @@ FIRST = [
     "band_share_vs_national",
     "birth_month_all",
     "birth_month_national",
+    "birth_month_own",
 ]
 
 
