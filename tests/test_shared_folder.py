@@ -71,6 +71,7 @@ FIRST = [
     "birth_month_national",
     "birth_month_own",
     "birth_month_region",
+    "blend_iris",
 ]
 
 
