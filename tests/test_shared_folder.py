@@ -72,6 +72,7 @@ FIRST = [
     "birth_month_own",
     "birth_month_region",
     "blend_iris",
+    "blend_epci",
 ]
 
 
