@@ -73,6 +73,7 @@ FIRST = [
     "birth_month_region",
     "blend_iris",
     "blend_epci",
+    "bottom20_share",
 ]
 
 
