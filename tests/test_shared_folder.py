@@ -74,6 +74,7 @@ FIRST = [
     "blend_iris",
     "blend_epci",
     "bottom20_share",
+    "canton_weights",
 ]
 
 
