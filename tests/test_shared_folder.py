@@ -75,6 +75,7 @@ FIRST = [
     "blend_epci",
     "bottom20_share",
     "canton_weights",
+    "bounds",
 ]
 
 
