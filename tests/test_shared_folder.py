@@ -77,6 +77,7 @@ FIRST = [
     "canton_weights",
     "bounds",
     "census_departments",
+    "census_diff",
 ]
 
 
