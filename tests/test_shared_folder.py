@@ -78,6 +78,7 @@ FIRST = [
     "bounds",
     "census_departments",
     "census_diff",
+    "census_scan",
 ]
 
 
