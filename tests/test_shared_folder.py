@@ -82,6 +82,7 @@ FIRST = [
     "child_parent_epci",
     "census_scan_years",
     "child_parent_iris",
+    "cohort_totals",
 ]
 
 
