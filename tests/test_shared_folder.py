@@ -83,6 +83,7 @@ FIRST = [
     "census_scan_years",
     "child_parent_iris",
     "cohort_totals",
+    "code_match_rate",
 ]
 
 
