@@ -84,6 +84,7 @@ FIRST = [
     "child_parent_iris",
     "cohort_totals",
     "code_match_rate",
+    "commune_lookup",
 ]
 
 
