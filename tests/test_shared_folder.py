@@ -9,6 +9,7 @@ from compare import differences, duckdb_views
 
 from censusloom.catalog import oracle, queries
 from censusloom.plans import shared_folder
+from censusloom.plans.storage import Manifest, run_folder
 
 SETTLING = [
     "all_ages_canton",
@@ -176,6 +177,21 @@ def test_a_missing_folder_beside_the_one_that_spark_made_is_refused(cluster, tmp
         shared_folder(cluster)
 
 
+@pytest.mark.parametrize("master", ["spark://head:7077", "local[8]"])
+@pytest.mark.parametrize("mode", [0o1777, 0o755])
+def test_whom_the_shared_folder_is_open_to_may_settle_there(cluster, tmp_path, monkeypatch, master, mode):
+    monkeypatch.setattr(cluster.sparkContext, "master", master)
+    tmp_path.chmod(mode)
+    assert run_folder(cluster).startswith(f"file:{tmp_path}/censusloom/")
+    assert (tmp_path / "censusloom").stat().st_mode & 0o7777 == mode
+
+
+def test_each_user_resumes_tables_of_their_own(cluster, monkeypatch):
+    first = Manifest(cluster, "0f").folder
+    monkeypatch.setattr(cluster.sparkContext, "sparkUser", lambda: "another")
+    assert Manifest(cluster, "0f").folder.split("/")[-2:] != first.split("/")[-2:]
+
+
 @pytest.mark.parametrize("name", FIRST)
 def test_query_after_the_folder_that_spark_made_was_cleared(cluster, sf_dir, views, tmp_path, monkeypatch, name):
     _cleared(cluster, tmp_path, monkeypatch)
