@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import gc
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
 from itertools import islice
@@ -29,7 +29,7 @@ from censusloom.llm.text import RELEASE, forget
 CACHED_PIECES = 120_000
 CACHED_STATES = 300_000
 #: Bytes at the start of a piece that are read in one move once they are known.
-HEAD = 4
+HEAD = 6
 #: Longer pieces are not kept.
 CACHED_LENGTH = 64
 #: Pieces of a text that are held at a time.
@@ -45,10 +45,11 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes one pre-tokenised piece after the other.
 
-    A state is (tail, ends, starts): the bytes after the last certain token; for each prefix of them its last token
-    with the place where that token starts, as token << 8 | place (-1: no longer needed); and the places where a token
-    may start whose bytes so far are the start of longer tokens, each with its node in the tree of all tokens. A move
-    is (token it asks about or _NONE, target << 8, emitted code, last token emitted).
+    A state is (ends, starts), packed as integers of 32 bits: for each prefix of the bytes after the last certain token
+    its last token with that token's length, as token << 8 | length (-1: no longer needed); and the places where a token
+    may start whose bytes so far are the start of longer tokens, each after its node in the tree of all tokens. The last
+    of them is the end, after the root. A move is (token it asks about or _NONE, target << 8, emitted code, last token
+    emitted); of one that asks nothing and emits nothing only the target is kept.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -63,7 +64,10 @@ class Transducer:
         self._reset()
 
     def _tree(self) -> None:
-        """Tree of the tokens: node << 8 | byte -> next node, the token that ends at each node, and the inner nodes."""
+        """Tree of the tokens: node << 8 | byte -> next node, the token that ends at each node, and the inner nodes.
+
+        The integers of a token and its code are made once, as a hundred thousand moves hold them.
+        """
         self._next: dict[int, int] = {}
         self._ends_at = [_NONE]
         inner = set()
@@ -75,13 +79,15 @@ class Transducer:
                 if node == len(self._ends_at):
                     self._ends_at.append(_NONE)
             self._ends_at[node] = rank
+        self._emits = {rank: (b" %d" % rank, rank) for rank in self.ranks.values()}
         self._inner = bytearray(len(self._ends_at))
         for node in inner:
             self._inner[node] = 1
 
     def _reset(self) -> None:
-        self._states = [(b"", (), ((0, 0),))]
-        self._numbers = {((), b""): 0}
+        self._states = [array("i", (0, 0)).tobytes()]
+        self._numbers = {self._states[0]: 0}
+        self._plain: dict[int, int] = {}
         self._moves: dict[int, tuple[int, int, bytes, int]] = {}
         self._denied: dict[int, tuple[int, int, bytes, int]] = {}
         self._last: dict[int, bytes] = {}
@@ -142,66 +148,77 @@ class Transducer:
 
     def _step(self, move: int, granted: bool) -> tuple[int, int, bytes, int]:
         """Makes the move from state << 8 by a byte, where the token it asks about may stand or not, and its target."""
-        byte, (tail, ends, starts) = move & 255, self._states[move >> 8]
-        tail += bytes((byte,))
-        n, follow, ends_at, inner = len(tail), self._next.get, self._ends_at, self._inner
+        byte, state = move & 255, array("i", self._states[move >> 8]).tolist()
+        n = state[-1]
+        ends, first = state[:n], n
+        n += 1
+        follow, ends_at, inner, halves, stands = self._next.get, self._ends_at, self._inner, self._halves_of, self._stands
         open_, meet, found, asked = [], [], False, _NONE
-        for j, node in starts:
-            node = follow(node << 8 | byte)
+        for k in range(first, len(state), 2):
+            node = follow(state[k] << 8 | byte)
             if node is None:
                 continue
+            j = state[k + 1]
             if inner[node]:
-                open_.append((j, node))
+                open_ += node, j
                 meet.append(j)
             token = ends_at[node]
-            if found or token == _NONE or self._halves_of(token) is None:
+            if found or token == _NONE or halves(token) is None:
                 continue
             if not j:
                 asked, found = token, granted
             else:
-                found = self._stands(ends[j - 1] >> 8, token)
+                found = stands(ends[j - 1] >> 8, token)
             if found:
-                ends += (token << 8 | j,)
+                ends.append(token << 8 | n - j)
         # A later token may start at the open places and here; the paths to them meet at the last certain boundary.
-        open_.append((n, 0))
+        open_ += 0, n
         meet.append(n)
         while len(meet) > 1:
-            parent = ends[meet.pop() - 1] & 255
+            place = meet.pop()
+            parent = place - (ends[place - 1] & 255)
             if parent not in meet:
                 meet.append(parent)
                 meet.sort()
         cut, code, last = meet[0], b"", _NONE
         if cut:
-            out, j = [], cut
-            while j:
-                out.append(ends[j - 1] >> 8)
-                j = ends[j - 1] & 255
-            code = self.code_of(reversed(out))
-            last, tail = ends[cut - 1] >> 8, tail[cut:]
+            code, last = self._path(ends, cut)
             alive, kept = {cut}, []
-            for i in range(cut + 1, n + 1):
-                end = ends[i - 1]
-                if end >= 0 and end & 255 in alive:
+            for i, end in enumerate(ends[cut:], cut + 1):
+                if end >= 0 and i - (end & 255) in alive:
                     alive.add(i)
-                    kept.append(end - cut)
+                    kept.append(end)
                 else:
                     kept.append(-1)
-            ends = tuple(kept)
-            open_ = [(j - cut, node) for j, node in open_ if j in alive]
-        target = self._numbers.get((ends, tail))
+            for k in range(0, len(open_), 2):
+                if open_[k + 1] in alive:
+                    kept += open_[k], open_[k + 1] - cut
+            ends = kept
+        else:
+            ends += open_
+        state = array("i", ends).tobytes()
+        target = self._numbers.get(state)
         if target is None:
-            target = self._numbers[ends, tail] = len(self._states)
-            self._states.append((tail, ends, tuple(open_)))
-        made = (self._moves if granted else self._denied)[move] = (asked, target << 8, code, last)
+            target = self._numbers[state] = len(self._states) << 8
+            self._states.append(state)
+        if asked == _NONE and not code:
+            self._plain[move] = target
+            return asked, target, code, last
+        made = (self._moves if granted else self._denied)[move] = (asked, target, code, last)
         return made
 
-    def _rest(self, state: int) -> bytes:
-        tail, ends, _ = self._states[state]
-        out, j = [], len(tail)
+    def _path(self, ends: Sequence[int], j: int) -> tuple[bytes, int]:
+        """Code of the first j bytes, and the last token of it."""
+        out = []
         while j:
             out.append(ends[j - 1] >> 8)
-            j = ends[j - 1] & 255
-        code = self._last[state] = self.code_of(reversed(out))
+            j -= ends[j - 1] & 255
+        code, last = self._emits[out[0]]
+        return (code if len(out) == 1 else self.code_of(reversed(out))), last
+
+    def _rest(self, state: int) -> bytes:
+        ends = array("i", self._states[state])
+        code = self._last[state] = self._path(ends, ends[-1])[0] if ends[-1] else b""
         return code
 
     @staticmethod
@@ -212,6 +229,9 @@ class Transducer:
     def _move(self, state: int, byte: int, root: int) -> tuple[int, int, bytes, int]:
         """The move from state << 8 by a byte, after the certain token root; made if it is new."""
         move = state | byte
+        after = self._plain.get(move)
+        if after is not None:
+            return _NONE, after, b"", _NONE
         made = self._moves.get(move) or self._step(move, True)
         if made[0] != _NONE and root != _START and not self._stands(root, made[0]):
             made = self._denied.get(move) or self._step(move, False)
@@ -232,7 +252,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return b" %d" % whole
-        if len(self._moves) + len(self._denied) > CACHED_STATES:
+        if len(self._plain) + len(self._moves) + len(self._denied) > CACHED_STATES:
             self._reset()
         head = piece[:HEAD]
         state, root, code = self._heads.get(head) or self._begin(head)
@@ -248,15 +268,17 @@ class Transducer:
 
     def _read(self, state: int, root: int, data: bytes) -> tuple[int, int, bytes]:
         """State, certain token and code after some bytes."""
-        known, agree, codes = self._moves.get, self._agree.get, []
+        plain, known, agree, codes = self._plain.get, self._moves.get, self._agree.get, []
         for byte in data:
-            asked, after, code, last = known(state | byte) or self._step(state | byte, True)
-            if asked != _NONE and root != _START and not agree(root << 32 | asked):
-                _, after, code, last = self._move(state, byte, root)
+            after = plain(state | byte)
+            if after is None:
+                asked, after, code, last = known(state | byte) or self._step(state | byte, True)
+                if asked != _NONE and root != _START and not agree(root << 32 | asked):
+                    _, after, code, last = self._move(state, byte, root)
+                if code:
+                    root = last
+                    codes.append(code)
             state = after
-            if code:
-                root = last
-                codes.append(code)
         return state, root, b"".join(codes)
 
 
@@ -362,9 +384,9 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text: str = "text",
 
     def encoded(batches: Iterator[pa.RecordBatch], found: regex.Pattern, codes: _Codes, bytes_of: dict[bytes, bytes]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, number, ends = [], array("i"), array("i", (0,))
             for value in batch.column(1):
-                n, number, coded, decoded, machine = 0, array("i"), sha256(), sha256(), Utf8Stream()
+                n, coded, decoded, machine = 0, sha256(), sha256(), Utf8Stream()
                 for pieces in _groups(found, value.as_py() or ""):
                     code = b"".join(map(codes.__getitem__, pieces))
                     listed = code.split()
@@ -374,12 +396,14 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text: str = "text",
                     if ids:
                         number.extend(map(int, listed))
                 decoded.update(machine.finish())
-                rows.append((n, coded.hexdigest(), decoded.hexdigest(), number))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+                rows.append((n, coded.hexdigest(), decoded.hexdigest()))
+                ends.append(len(number))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 3
             arrays = [batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())]
             names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
-                arrays.append(pa.array(columns[3], pa.list_(pa.int32())))
+                values = pa.Array.from_buffers(pa.int32(), len(number), [None, pa.py_buffer(number)])
+                arrays.append(pa.ListArray.from_arrays(pa.Array.from_buffers(pa.int32(), len(ends), [None, pa.py_buffer(ends)]), values))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -75,3 +76,17 @@ def test_documents(spark, library, monkeypatch):
         want.append((d, len(ids), digest, sha256((t or "").encode()).hexdigest(), ids))
     assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
     assert bpe.encode_documents(df.where("false"), PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_kept_states_are_small():
+    """Two workers of an executor keep hundreds of thousands of them."""
+    transducer = bpe.Transducer(bpe.load_ranks(PATH))
+    rng = random.Random(5)
+    pieces = [bytes(rng.choice(b"abcdefghilmnoprstu") for _ in range(rng.randrange(4, 16))) for _ in range(4000)]
+    tracemalloc.start()
+    for piece in pieces:
+        transducer.encode(piece)
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(transducer._states) > 10_000
+    assert size / len(transducer._states) < 750
